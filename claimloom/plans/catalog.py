@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from claimloom.plans import ingest_queries  # noqa: F401
+from claimloom.plans import ingest_queries, quality_queries  # noqa: F401
 from claimloom.plans.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
