@@ -1,6 +1,12 @@
 """All registered queries."""
 
-from claimloom.plans import ingest_queries, quality_queries  # noqa: F401
+from claimloom.plans import (  # noqa: F401
+    drift_queries,
+    feature_queries,
+    ingest_queries,
+    metric_queries,
+    quality_queries,
+)
 from claimloom.plans.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
