@@ -4,6 +4,7 @@ from claimloom.plans import (  # noqa: F401
     drift_queries,
     feature_queries,
     ingest_queries,
+    knn_queries,
     metric_queries,
     quality_queries,
 )
