@@ -6,6 +6,7 @@ from claimloom.plans import (  # noqa: F401
     ingest_queries,
     knn_queries,
     metric_queries,
+    model_queries,
     quality_queries,
 )
 from claimloom.plans.registry import ORACLE, QUERIES
