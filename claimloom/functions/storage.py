@@ -1,5 +1,6 @@
 """Shared-folder storage for intermediate tables."""
 
+import math
 import tempfile
 import uuid
 
@@ -29,12 +30,34 @@ def cut(frame: DataFrame) -> DataFrame:
     return frame.checkpoint(eager=True)
 
 
-def as_table(frame: DataFrame, name: str) -> DataFrame:
+def as_table(frame: DataFrame, name: str, split: bool = False) -> DataFrame:
     """Write ``frame`` as Parquet in the shared folder and read it back.
 
-    Unlike a checkpoint the result keeps column pruning and filter pushdown.
+    Unlike a checkpoint the result keeps column pruning and filter pushdown. With
+    ``split`` a small table is written again in as many parts as there are cores,
+    for steps that compute much per row.
     """
     spark = frame.sparkSession
     path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    table = spark.read.schema(frame.schema).parquet(path)
+    if split and table.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:
+        return as_table(spread(table), name)
+    return table
+
+
+def tasks_for(spark: SparkSession, work: float = 0, per_task: float = 1) -> int:
+    """Tasks for ``work`` units at ``per_task`` each, at least one per core."""
+    return max(spark.sparkContext.defaultParallelism, math.ceil(work / per_task))
+
+
+def spread(frame: DataFrame, work: float = 0, per_task: float = 1) -> DataFrame:
+    """Split a stored table further when its next step needs more tasks than it has.
+
+    Adaptive execution sizes partitions by bytes. A small table that costs much
+    computing per row would otherwise be worked off by one or two tasks.
+    """
+    tasks = tasks_for(frame.sparkSession, work, per_task)
+    if frame.rdd.getNumPartitions() >= tasks:
+        return frame
+    return frame.repartition(tasks)

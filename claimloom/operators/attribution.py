@@ -11,13 +11,16 @@ from pyspark.sql import types as T
 
 from claimloom import settings as S
 from claimloom.functions.skew import lookup_join
-from claimloom.functions.storage import cut
+from claimloom.functions.storage import cut, spread
 from claimloom.operators.candidates import estimator_of, preprocessor_of
 from claimloom.operators.encoders import FEATURE_VECTOR, feature_names
 
 # Every feature doubles the number of coalitions.
 MAX_FEATURES = 12
 
+# Pairs of a vector and a background row per task.
+BLENDS_PER_TASK = 20_000
+
 CONTRIBUTIONS = T.ArrayType(
     T.StructType(
         [
@@ -29,18 +32,23 @@ CONTRIBUTIONS = T.ArrayType(
 )
 
 
-def _coalition_weights(n: int) -> list[list[float]]:
-    """Per feature, the factor of every coalition's value in its Shapley value."""
-    share = [factorial(s) * factorial(n - s - 1) / factorial(n) for s in range(n)]
+def _coalition_shares(n: int) -> list[list[float]]:
+    """Shapley weight of joining ``s`` others, among ``d`` features that matter."""
     return [
-        [
-            share[bin(mask).count("1") - 1] if mask >> i & 1 else -share[bin(mask).count("1")]
-            for mask in range(2**n)
-        ]
-        for i in range(n)
+        [factorial(s) * factorial(d - s - 1) / factorial(d) for s in range(d)] for d in range(n + 1)
     ]
 
 
+def _coalitions(n: int) -> Column:
+    """For every set of features, as a bit mask, all of its subsets."""
+    return F.array(
+        *[
+            F.array(*[F.lit(mask) for mask in range(2**n) if mask & ~players == 0])
+            for players in range(2**n)
+        ]
+    )
+
+
 def _output(model: Model) -> Column:
     """Model output as an array: class probabilities, or the single prediction."""
     if "probabilityCol" in [p.name for p in model.params]:
@@ -66,10 +74,11 @@ def shapley(
     """Exact Shapley values of every row's features, for each model output.
 
     A coalition takes its features from the row and the others from a background
-    row. Equal feature vectors are explained once. All blends of one vector are
-    built and averaged inside one task, so only one row per vector is shuffled.
-    Returns the rows with ``shap``: an array over features of arrays over outputs,
-    and ``base``: the mean output over the background.
+    row. A feature that is equal in both changes nothing, so only coalitions of the
+    features that differ are scored. Equal feature vectors are explained once. All
+    blends of one vector are built and averaged inside one task, so only one row
+    per vector is shuffled. Returns the rows with ``shap``: an array over features
+    of arrays over outputs, and ``base``: the mean output over the background.
     """
     model = estimator_of(fitted)
     names = feature_names(preprocessor_of(fitted))
@@ -81,26 +90,52 @@ def shapley(
         raise ValueError("A background sample is needed to explain this model")
     encoded = preprocessor_of(fitted).transform(rows).withColumn("__x", vector_to_array(FEATURE_VECTOR))
     vectors = cut(encoded.select("__x").distinct())
+    vectors = spread(vectors, vectors.count() * len(blends), BLENDS_PER_TASK)
     samples = F.array(
         *[
             F.struct(F.array(*[F.lit(v) for v in b]).alias("b"), F.lit(share).alias("share"))
             for b, share in blends
         ]
     )
-    masks = F.explode(F.sequence(F.lit(0), F.lit(2**n - 1)))
+    players = sum(
+        F.when(F.col("__x")[i] != F.col("s.b")[i], F.lit(1 << i)).otherwise(F.lit(0)) for i in range(n)
+    )
     pieces = [
         F.when(F.col("mask").bitwiseAND(F.lit(1 << i)) != 0, F.col("__x")[i]).otherwise(F.col("s.b")[i])
         for i in range(n)
     ]
     blended = (
         vectors.select("__x", F.explode(samples).alias("s"))
-        .select("__x", "s", masks.alias("mask"))
-        .select("__x", "mask", "s.share", array_to_vector(F.array(*pieces)).alias(FEATURE_VECTOR))
+        .withColumn("players", players)
+        .select("*", F.explode(_coalitions(n)[F.col("players")]).alias("mask"))
+        .select(
+            "__x", "players", "mask", "s.share", array_to_vector(F.array(*pieces)).alias(FEATURE_VECTOR)
+        )
     )
-    scored = model.transform(blended).select("__x", "mask", "share", _output(model).alias("out"))
-    tables = [F.array(*[F.lit(w) for w in row]) for row in _coalition_weights(n)]
+    shares = F.array(*[F.array(*[F.lit(w) for w in row]).cast("array<double>") for row in _coalition_shares(n)])
+    scored = model.transform(blended).select(
+        "players",
+        "__x",
+        "mask",
+        "share",
+        F.get(shares, F.bit_count("players")).alias("weights"),
+        F.bit_count("mask").alias("size"),
+        _output(model).alias("out"),
+    )
+
+    def factor(i: int) -> Column:
+        bit = F.lit(1 << i)
+        joined = F.get("weights", F.col("size") - 1)
+        apart = -F.get("weights", F.col("size"))
+        return (
+            F.when(F.col("players").bitwiseAND(bit) == 0, F.lit(0.0))
+            .when(F.col("mask").bitwiseAND(bit) != 0, joined)
+            .otherwise(apart)
+        ) * F.col("share")
+
+    scored = scored.select("__x", "mask", "share", "out", *[factor(i).alias(f"k_{i}") for i in range(n)])
     sums = [
-        F.sum(tables[i][F.col("mask")] * F.col("share") * F.col("out")[c]).alias(f"phi_{i}_{c}")
+        F.sum(F.col(f"k_{i}") * F.col("out")[c]).alias(f"phi_{i}_{c}")
         for i in range(n)
         for c in range(classes)
     ]

@@ -124,7 +124,7 @@ class BoostedClassifier(Estimator, _BoostingParams, DefaultParamsReadable, Defau
 
         pool = ThreadPool(get(self.parallelism))
         try:
-            models = pool.map(inheritable_thread_target(fit_class), range(get(self.numClasses)))
+            models = pool.map(inheritable_thread_target(dataset.sparkSession)(fit_class), range(get(self.numClasses)))
         finally:
             pool.close()
             rows.unpersist()

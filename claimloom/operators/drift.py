@@ -172,20 +172,39 @@ def batch_drift(
         return frame.withColumns(binned) if binned else frame
 
     columns = [*categorical, *edges]
-    pairs = F.array(
+    counts = (
+        as_text(current)
+        .select(batch, F.inline(_pairs(columns)))
+        .groupBy(batch, "column_name", "value")
+        .agg(F.count(F.lit(1)).alias("rows"))
+    )
+    return drift_of_counts(counts, as_text(reference), batch, columns)
+
+
+def _pairs(columns: Sequence[str]) -> Column:
+    return F.array(
         *[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns]
     )
-    ref = as_text(reference).select(F.inline(pairs)).filter("value IS NOT NULL")
-    ref_counts = ref.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("ref"))
+
+
+def drift_of_counts(
+    counts: DataFrame, reference: DataFrame, batch: str, columns: Sequence[str]
+) -> DataFrame:
+    """The same from counts per batch, column and value that already exist."""
+    ref_counts = (
+        reference.select(F.inline(_pairs(columns)))
+        .filter("value IS NOT NULL")
+        .groupBy("column_name", "value")
+        .agg(F.count(F.lit(1)).alias("ref"))
+    )
     ref_totals = ref_counts.groupBy("column_name").agg(F.sum("ref").alias("ref_rows"))
     shares = ref_counts.join(F.broadcast(ref_totals), "column_name").select(
         "column_name", "value", (F.col("ref") / F.col("ref_rows")).alias("p")
     )
-    cur = as_text(current).select(batch, F.inline(pairs)).filter("value IS NOT NULL")
-    counts = cur.groupBy(batch, "column_name", "value").agg(F.count(F.lit(1)).alias("cur"))
-    totals = counts.groupBy(batch, "column_name").agg(F.sum("cur").alias("rows"))
+    known = counts.filter("value IS NOT NULL").withColumnRenamed("rows", "cur")
+    totals = known.groupBy(batch, "column_name").agg(F.sum("cur").alias("rows"))
     cells = (
-        counts.join(totals, [batch, "column_name"])
+        known.join(totals, [batch, "column_name"])
         .join(shares, ["column_name", "value"], "left")
         .withColumn("p", F.coalesce("p", F.lit(0.0)))
     )

@@ -252,14 +252,21 @@ def leaked_values(table: DataFrame, test_only: DataFrame) -> DataFrame:
     )
 
 
-def with_class_weights(frame: DataFrame, label: str, output: str = "weight") -> DataFrame:
+def with_class_weights(
+    frame: DataFrame, label: str, classes: Sequence, output: str = "weight"
+) -> DataFrame:
     """Inverse-frequency class weights with mean one.
 
-    A class of ``n_c`` rows out of ``n``, with ``k`` classes, weighs ``n / (k * n_c)``;
-    the mean over all rows is then one already. Classes are few by definition.
+    A class of ``n_c`` rows out of ``n``, with ``k`` classes present, weighs
+    ``n / (k * n_c)``; the mean over all rows is then one already. The classes are
+    counted in one pass and the weights become constants of the plan.
     """
-    counts = frame.groupBy(label).agg(F.count(F.lit(1)).alias("n_c"))
-    facts = counts.agg(F.sum("n_c").alias("n"), F.count(F.lit(1)).alias("k"))
-    scale = facts.select(F.col("n") / F.col("k")).scalar()
-    weights = counts.select(label, (scale / F.col("n_c")).alias(output))
-    return frame.join(F.broadcast(weights), label)
+    counts = frame.agg(
+        *[F.count_if(F.col(label) == F.lit(c)).alias(f"n_{i}") for i, c in enumerate(classes)]
+    ).first()
+    present = {c: counts[f"n_{i}"] for i, c in enumerate(classes) if counts[f"n_{i}"]}
+    mean = sum(present.values()) / len(present) if present else 0.0
+    weight = F.lit(None).cast("double")
+    for c, n in present.items():
+        weight = F.when(F.col(label) == F.lit(c), F.lit(mean / n)).otherwise(weight)
+    return frame.withColumn(output, weight)

@@ -8,11 +8,13 @@ MapReduce", 2012). Rings are cut into blocks of bounded size, each pair of a que
 block and a base block is one task-sized group, and it returns k rows per query.
 """
 
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml import Estimator
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -23,13 +25,15 @@ from pyspark.sql import functions as F
 
 from claimloom.functions.ranks import hash_of
 from claimloom.functions.skew import lookup_join
-from claimloom.functions.storage import as_table, cut
+from claimloom.functions.storage import as_table, cut, spread, tasks_for
 from claimloom.operators.encoders import TableModel
 
-# Pivots and rings bound what the driver holds: MAX_PIVOTS * RINGS ring facts.
+# Pivots and rings bound what the driver holds: MAX_PIVOTS * MAX_RINGS ring facts.
 MAX_PIVOTS = 256
-RINGS = 16
+MAX_RINGS = 16
+RING_ROWS = 1000
 BLOCK_ROWS = 4096
+PAIRS_PER_TASK = 50_000_000
 # Distances are compared after rounding, so equal distances tie by id.
 DIGITS = 9
 SLACK = 1e-9
@@ -85,21 +89,27 @@ def _assign(base: DataFrame, pivots: np.ndarray) -> DataFrame:
     return base.mapInPandas(nearest, f"{kinds}, cell int, gap double")
 
 
-def _ring_facts(assigned: DataFrame, pivots: np.ndarray) -> tuple[Rings, float]:
-    widest = assigned.agg(F.max("gap")).first()[0] or 0.0
-    width = widest / RINGS or 1.0
+def _ring_facts(assigned: DataFrame, pivots: np.ndarray, rows: int) -> tuple[Rings, list[float]]:
+    """Facts of every ring, and the ring width of every cell.
+
+    Cells are cut into rings only as far as rings stay worth a visit of their own.
+    """
+    rings = int(min(MAX_RINGS, max(1, rows / len(pivots) / RING_ROWS)))
+    reach = {r["cell"]: r["far"] for r in assigned.groupBy("cell").agg(F.max("gap").alias("far")).collect()}
+    widths = [(reach.get(c) or 1.0) / rings * (1 + SLACK) for c in range(len(pivots))]
     facts = (
-        assigned.groupBy("cell", _ring(width).alias("ring"))
+        assigned.groupBy("cell", _ring(widths).alias("ring"))
         .agg(F.count(F.lit(1)).alias("rows"), F.min("gap").alias("low"), F.max("gap").alias("high"))
         .orderBy("cell", "ring")
         .collect()
     )
     columns = {c: np.array([r[c] for r in facts]) for c in ("cell", "ring", "low", "high", "rows")}
-    return Rings(pivots=pivots, **columns), width
+    return Rings(pivots=pivots, **columns), widths
 
 
-def _ring(width: float):
-    return F.least(F.floor(F.col("gap") / F.lit(width)), F.lit(RINGS - 1)).cast("int")
+def _ring(widths: list[float]):
+    width = F.array(*[F.lit(w) for w in widths])[F.col("cell")]
+    return F.floor(F.col("gap") / width).cast("int")
 
 
 def _visits(queries: DataFrame, rings: Rings, k: int) -> DataFrame:
@@ -146,20 +156,28 @@ def knn_join(
         .filter(F.col("copy_no") <= wanted)
         .drop("copy_no")
     )
-    distinct = cut(distinct)
+    distinct = spread(cut(distinct))
     rows = distinct.count()
     pivots = _choose_pivots(distinct, rows, seed)
     assigned = cut(_assign(distinct, pivots))
-    rings, width = _ring_facts(assigned, pivots)
-    visits = cut(_visits(queries.select("id", "vec"), rings, wanted))
+    rings, widths = _ring_facts(assigned, pivots, rows)
+    asked = spread(cut(queries.select("id", "vec")))
+    visits = cut(_visits(asked, rings, wanted))
 
-    # Block counts per ring: at most MAX_PIVOTS * RINGS rows each.
+    # Block counts per ring: at most MAX_PIVOTS * MAX_RINGS rows each.
     parts = lambda n: F.ceil(n / F.lit(BLOCK_ROWS)).cast("int")
-    base_blocks = assigned.groupBy("cell", _ring(width).alias("ring")).agg(
-        parts(F.count(F.lit(1))).alias("base_blocks")
+    n_rows = F.count(F.lit(1))
+    base_blocks = assigned.groupBy("cell", _ring(widths).alias("ring")).agg(
+        n_rows.alias("base_rows"), parts(n_rows).alias("base_blocks")
+    )
+    query_blocks = visits.groupBy("cell", "ring").agg(
+        n_rows.alias("query_rows"), parts(n_rows).alias("query_blocks")
     )
-    query_blocks = visits.groupBy("cell", "ring").agg(parts(F.count(F.lit(1))).alias("query_blocks"))
-    blocks = F.broadcast(base_blocks.join(query_blocks, ["cell", "ring"]))
+    sizes = cut(base_blocks.join(query_blocks, ["cell", "ring"]))
+    pairs = sizes.agg(F.sum(F.col("base_rows").cast("double") * F.col("query_rows"))).first()[0] or 0
+    tasks = tasks_for(queries.sparkSession, pairs, PAIRS_PER_TASK)
+    sizes = sizes.select("cell", "ring", "base_blocks", "query_blocks")
+    blocks = F.broadcast(sizes)
     every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
     left = (
         visits.join(blocks, ["cell", "ring"])
@@ -168,7 +186,7 @@ def knn_join(
         .select("cell", "ring", "query_block", "base_block", "id", "vec")
     )
     right = (
-        assigned.withColumn("ring", _ring(width))
+        assigned.withColumn("ring", _ring(widths))
         .join(blocks, ["cell", "ring"])
         .withColumn("base_block", F.pmod(F.xxhash64("id"), F.col("base_blocks")).cast("int"))
         .withColumn("query_block", every("query_blocks"))
@@ -201,8 +219,9 @@ def knn_join(
     q_type = queries.schema["id"].dataType.simpleString()
     b_type = base.schema["id"].dataType.simpleString()
     candidates = (
-        left.groupBy(*keys)
-        .cogroup(right.groupBy(*keys))
+        left.repartition(tasks, *keys)
+        .groupBy(*keys)
+        .cogroup(right.repartition(tasks, *keys).groupBy(*keys))
         .applyInPandas(nearest, f"id {q_type}, neighbour {b_type}, distance double")
     )
     if exclude_self:
@@ -325,3 +344,8 @@ class NeighbourModel(TableModel, _NeighbourParams):
             F.col("prediction").alias(self.getPredictionCol()),
         )
         return lookup_join(keyed, cut(answers), ["__vec"], "left").drop("__vec")
+
+
+# Send the numpy helpers to the workers with the functions that use them, so the
+# package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

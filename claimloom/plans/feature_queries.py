@@ -160,7 +160,7 @@ def leaked_codes(t):
 )
 def class_weights(t):
     train, _ = t.train_test()
-    weighted = encoders.with_class_weights(train, S.TIER)
+    weighted = encoders.with_class_weights(train, S.TIER, S.TIERS)
     return weighted.select("BENE_ID", INP, S.FLAG_COLUMN, OUT, S.TIER, F.round("weight", 6).alias("weight"))
 
 

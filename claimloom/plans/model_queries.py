@@ -3,13 +3,14 @@
 Model sizes are reduced (``SMALL``) because every query fits its own model.
 """
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from claimloom import settings as S
 from claimloom.functions import clean
 from claimloom.operators import attribution, candidates, drift, scoring, splits, tuning
 from claimloom.operators.candidates import SMALL, as_pipeline
-from claimloom.operators.encoders import feature_names
+from claimloom.operators.encoders import FEATURE_VECTOR, build_preprocessor, feature_names
 from claimloom.plans import training
 from claimloom.plans.quality_queries import row_texts
 from claimloom.plans.registry import query
@@ -205,10 +206,38 @@ def explode_probabilities(t):
     return attribution.probability_table(scored, "BENE_ID")
 
 
-@query("feature_names")
-def model_feature_names(t):
-    train, _ = t.train_test()
-    from claimloom.operators.encoders import build_preprocessor
+_MEANS = [
+    ("PRNCPAL_DGNS_CD_inp_freq", "avg(a.n / CAST(x.total AS DOUBLE))"),
+    ("PRNCPAL_DGNS_CD_out_freq", "avg(b.n / CAST(x.total AS DOUBLE))"),
+    ("CLM_E_POA_IND_SW1_U", "avg(CASE WHEN x.CLM_E_POA_IND_SW1 = 'U' THEN 1.0 ELSE 0.0 END)"),
+    ("CLM_E_POA_IND_SW1_Y", "avg(CASE WHEN x.CLM_E_POA_IND_SW1 = 'Y' THEN 1.0 ELSE 0.0 END)"),
+    ("Number_of_Claims_inp", "0.0"),
+    ("Number_of_Claims_out", "0.0"),
+    ("Median_Income", "0.0"),
+]
+
 
-    names = feature_names(build_preprocessor().fit(train))
-    return train.limit(1).select(F.posexplode(F.array(*[F.lit(n) for n in names])).alias("position", "feature"))
+@query(
+    "feature_means",
+    f"""WITH {FOLDS}, f1 AS (SELECT PRNCPAL_DGNS_CD_inp AS v, count(*) AS n FROM train GROUP BY 1),
+    f2 AS (SELECT PRNCPAL_DGNS_CD_out AS v, count(*) AS n FROM train GROUP BY 1),
+    sized AS (SELECT *, count(*) OVER () AS total FROM train),
+    x AS (SELECT {", ".join(f"{e} AS m{i}" for i, (_, e) in enumerate(_MEANS))}
+      FROM sized x JOIN f1 a ON a.v = x.PRNCPAL_DGNS_CD_inp JOIN f2 b ON b.v = x.PRNCPAL_DGNS_CD_out)
+    {" UNION ALL ".join(f"SELECT {i} AS position, '{n}' AS feature, round(CAST(m{i} AS DOUBLE), 6) AS mean FROM x" for i, (n, _) in enumerate(_MEANS))}""",
+)
+def feature_means(t):
+    """Mean of every assembled feature over the training fold, by its name."""
+    train, _ = t.train_test()
+    fitted = build_preprocessor().fit(train)
+    x = vector_to_array(FEATURE_VECTOR)
+    names = feature_names(fitted)
+    means = fitted.transform(train).agg(*[F.avg(x[i]).alias(f"m{i}") for i in range(len(names))])
+    pairs = F.array(
+        *[
+            F.struct(F.lit(i).alias("position"), F.lit(n).alias("feature"),
+                     F.abs(F.round(f"m{i}", 6)).alias("mean"))
+            for i, n in enumerate(names)
+        ]
+    )
+    return means.select(F.inline(pairs))

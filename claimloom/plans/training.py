@@ -52,11 +52,12 @@ def ingest_and_validate(claims: DataFrame, income: DataFrame) -> DataFrame:
 
 def split(frame: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Labelled train and test tables sharing no person."""
-    folds = as_table(splits.group_split(frame), "folds")
+    folds = as_table(splits.group_split(frame), "folds", split=True)
     splits.require_disjoint(folds)
     labelled = folds.withColumn(LABEL, clean.to_zero_based(F.col(S.TIER)))
     train = labelled.filter("fold = 'train'").drop("fold")
-    return with_class_weights(train, LABEL, WEIGHT), labelled.filter("fold = 'test'").drop("fold")
+    labels = [float(i) for i in range(len(S.TIERS))]
+    return with_class_weights(train, LABEL, labels, WEIGHT), labelled.filter("fold = 'test'").drop("fold")
 
 
 def tune(

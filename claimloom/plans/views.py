@@ -94,7 +94,7 @@ class Tables:
         key = (self.spark.sparkContext.applicationId, self.folder)
         if key not in _WRITTEN:
             merged = rollup.merged_claims(self.raw_inpatient(), self.raw_outpatient())
-            _WRITTEN[key] = as_table(merged, "claims")
+            _WRITTEN[key] = as_table(merged, "claims", split=True)
         return _WRITTEN[key]
 
     def modeling(self) -> DataFrame:
