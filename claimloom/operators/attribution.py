@@ -49,10 +49,15 @@ def _coalitions(n: int) -> Column:
     )
 
 
-def _output(model: Model) -> Column:
+def padded(shares: Column, classes: int) -> Column:
+    """Class probabilities with zeros for top classes absent from training."""
+    return F.array(*[F.coalesce(F.get(shares, F.lit(c)), F.lit(0.0)) for c in range(classes)])
+
+
+def _output(model: Model, classes: int) -> Column:
     """Model output as an array: class probabilities, or the single prediction."""
     if "probabilityCol" in [p.name for p in model.params]:
-        return vector_to_array(model.getOrDefault("probabilityCol"))
+        return padded(vector_to_array(model.getOrDefault("probabilityCol")), classes)
     return F.array(F.col(model.getOrDefault("predictionCol")))
 
 
@@ -120,7 +125,7 @@ def shapley(
         "share",
         F.get(shares, F.bit_count("players")).alias("weights"),
         F.bit_count("mask").alias("size"),
-        _output(model).alias("out"),
+        _output(model, classes).alias("out"),
     )
 
     def factor(i: int) -> Column:

@@ -226,17 +226,20 @@ def classifiers(sizes: Sizes = Sizes(), seed: int = S.SEED) -> dict[str, Estimat
     }
 
 
-def regressors(rows: int, sizes: Sizes = Sizes(), seed: int = S.SEED) -> dict[str, Estimator]:
-    """The four log-charge regressors.
-
-    MLlib divides the squared error by twice the number of ``rows``, so a ridge
-    penalty ``alpha`` on the plain sum becomes ``alpha / rows`` here.
+def regressors(
+    rows: int, deviation: float = 1.0, sizes: Sizes = Sizes(), seed: int = S.SEED
+) -> dict[str, Estimator]:
+    """The four log-charge regressors for a training fold of ``rows`` rows.
+
+    MLlib divides the squared error by twice the number of rows and scales the label
+    by its population ``deviation``. A ridge penalty ``alpha`` on the plain sum of
+    squares is therefore ``alpha * deviation / rows`` here.
     """
     target = S.LOG_TOTAL
     return {
         "linear_regression": LinearRegression(labelCol=target, solver="auto"),
         "ridge_regression": LinearRegression(
-            labelCol=target, regParam=sizes.alpha / max(rows, 1), elasticNetParam=0.0,
+            labelCol=target, regParam=sizes.alpha * deviation / max(rows, 1), elasticNetParam=0.0,
             standardization=False,
         ),
         "random_forest_regressor": RandomForestRegressor(
@@ -250,6 +253,16 @@ def regressors(rows: int, sizes: Sizes = Sizes(), seed: int = S.SEED) -> dict[st
     }
 
 
+def fitting_regressors(
+    train: DataFrame, sizes: Sizes = Sizes(), seed: int = S.SEED
+) -> dict[str, Estimator]:
+    """The regressors with the penalty scaled to a training table."""
+    facts = train.agg(
+        F.count(S.LOG_TOTAL).alias("rows"), F.stddev_pop(S.LOG_TOTAL).alias("deviation")
+    ).first()
+    return regressors(facts["rows"], facts["deviation"] or 1.0, sizes, seed)
+
+
 def as_pipeline(model: Estimator) -> Pipeline:
     """Preprocessing and model as one object that is saved and loaded together."""
     return Pipeline(stages=[build_preprocessor(), model])

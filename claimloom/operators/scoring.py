@@ -52,7 +52,7 @@ def predict_tier(bundle: Bundle, rows: DataFrame, explain: bool = True) -> DataF
     else:
         contributions, temporary = attribution.no_contributions(), []
     scored, added = _scored(bundle.classifier, rows)
-    shares = vector_to_array("probability")
+    shares = attribution.padded(vector_to_array("probability"), len(S.TIERS))
     labels = F.array(*[F.lit(str(t)) for t in S.TIERS])
     tier = clean.to_tier(F.col("prediction"))
     results = {

@@ -24,7 +24,7 @@ def _fit_classifier(t, name: str):
 
 def _fit_regressor(t, name: str):
     train, test = training.split(t.model_rows())
-    return as_pipeline(candidates.regressors(train.count(), SMALL)[name]).fit(train), train, test
+    return as_pipeline(candidates.fitting_regressors(train, SMALL)[name]).fit(train), train, test
 
 
 def _tier_query(query_name: str, name: str):
@@ -86,7 +86,7 @@ def feature_importance(t):
 def _bundle(t, classifier: str = "decision_tree", background: bool = False) -> tuple:
     train, test = training.split(t.model_rows())
     tier = as_pipeline(candidates.classifiers(SMALL)[classifier]).fit(train)
-    charge = as_pipeline(candidates.regressors(train.count(), SMALL)["linear_regression"]).fit(train)
+    charge = as_pipeline(candidates.fitting_regressors(train, SMALL)["linear_regression"]).fit(train)
     sample = splits.sample_rows(train, row_texts(), 10).select(*S.FEATURES) if background else None
     names = {"classifier": classifier, "regressor": "linear_regression"}
     return scoring.Bundle(tier, charge, names, sample), test.select("BENE_ID", *S.FEATURES)

@@ -18,7 +18,7 @@ from claimloom.operators.candidates import (
     Sizes,
     as_pipeline,
     classifiers,
-    regressors,
+    fitting_regressors,
 )
 from claimloom.operators.encoders import with_class_weights
 from claimloom.operators.tuning import SEARCH_SPACES, Tuned, tune_classifier
@@ -117,7 +117,7 @@ def train_regressors(
 ) -> dict[str, Fitted]:
     """Fit every regressor and score it on the held-out fold."""
     results = {}
-    for name, model in regressors(train.count(), sizes).items():
+    for name, model in fitting_regressors(train, sizes).items():
         fitted = as_pipeline(model).fit(train)
         results[name] = Fitted(fitted, evaluate_regressor(fitted, test))
         logger.info("%s %s", name, results[name].metrics)
