@@ -6,9 +6,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot when it alone holds more than this share of the rows, so there
-# are never more than 1 / HOT_SHARE hot keys and their list is safe to broadcast.
+from claimloom.functions.storage import as_table
+
+# A key is hot when it alone holds more than this share of the rows and more rows
+# than one task takes easily. There are never more than 1 / HOT_SHARE hot keys, so
+# their list is safe to hold and to broadcast.
 HOT_SHARE = 1 / 1000
+HOT_ROWS = 1_000_000
 
 # Lookup tables up to this many rows are broadcast; larger ones are shuffled.
 BROADCAST_ROWS = 500_000
@@ -21,14 +25,19 @@ def broadcast_if_small(table: DataFrame, max_rows: int = BROADCAST_ROWS) -> Data
     return table
 
 
-def hot_keys(frame: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
-    """Keys holding more than ``share`` of all rows, at most ``1 / share`` of them."""
-    total = frame.agg(F.count(F.lit(1)).alias("n"))
-    return (
-        frame.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("key_rows"))
-        .filter(F.col("key_rows") > F.lit(share) * total.scalar())
-    )
+def hot_keys(
+    frame: DataFrame, keys: Sequence[str], share: float = HOT_SHARE, least: int | None = None
+) -> DataFrame | None:
+    """Keys holding more than ``share`` of the rows, or ``None`` when there are none."""
+    least = HOT_ROWS if least is None else least
+    total = frame.count()
+    if total <= least:
+        return None
+    counts = frame.groupBy(*keys).agg(F.count(F.lit(1)).alias("key_rows"))
+    found = counts.filter(F.col("key_rows") > max(share * total, least)).collect()
+    if not found:
+        return None
+    return frame.sparkSession.createDataFrame(found, counts.schema)
 
 
 def _no_nulls(keys: Sequence[str]) -> Column:
@@ -36,21 +45,20 @@ def _no_nulls(keys: Sequence[str]) -> Column:
 
 
 def lookup_join(
-    rows: DataFrame,
-    table: DataFrame,
-    keys: Sequence[str],
-    how: str = "left",
-    share: float = HOT_SHARE,
+    rows: DataFrame, table: DataFrame, keys: Sequence[str], how: str = "left"
 ) -> DataFrame:
     """Join ``rows`` with a ``table`` that has one row per key.
 
     Rows of hot keys never move: the few table rows they need are broadcast to
     them. Rows with a null key match nothing and skip the join. Only the rest is
-    shuffled, and no key in it exceeds ``share`` of the rows.
+    shuffled, and no key in it is hot. Without hot keys this is a plain join.
     """
     keys = list(keys)
+    hot = hot_keys(rows, keys)
+    if hot is None:
+        return rows.join(table, keys, how)
+    hot = F.broadcast(hot.select(*keys).filter(_no_nulls(keys)))
     keyed = rows.filter(_no_nulls(keys))
-    hot = F.broadcast(hot_keys(keyed, keys, share).select(*keys))
     hot_table = F.broadcast(table.join(hot, keys, "left_semi"))
     spread = keyed.join(hot, keys, "left_semi").join(hot_table, keys, how)
     shuffled = keyed.join(hot, keys, "left_anti").join(table, keys, how)
@@ -61,27 +69,28 @@ def lookup_join(
     return joined
 
 
-def fan_out_join(
-    left: DataFrame, right: DataFrame, key: str, share: float = HOT_SHARE
-) -> DataFrame:
+def fan_out_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Inner many-to-many join that splits keys with a large product of rows.
 
-    A key producing more than ``share`` of all output rows is cut into pieces:
-    its left rows are spread by hash, its right rows are copied once per piece.
-    ``left`` should hold distinct rows (a roll-up does), so the hash spreads them.
+    A key producing a hot share of all output rows is cut into pieces: its left
+    rows are spread by hash, its right rows are copied once per piece. ``left``
+    should hold distinct rows (a roll-up does), so the hash spreads them. Both
+    sides are stored first: counting their keys then reads one column instead of
+    computing the roll-ups again.
     """
+    left, right = as_table(left, "left"), as_table(right, "right")
     per_left = left.groupBy(key).agg(F.count(F.lit(1)).alias("l_rows"))
     per_right = right.groupBy(key).agg(F.count(F.lit(1)).alias("r_rows"))
     pairs = per_left.join(per_right, key).select(
         key, "l_rows", (F.col("l_rows").cast("double") * F.col("r_rows")).alias("out_rows")
     )
-    allowed = pairs.agg((F.sum("out_rows") * share).alias("n")).scalar()
-    hot = F.broadcast(
-        pairs.filter(F.col("out_rows") > allowed).select(
-            key,
-            F.least(F.ceil(F.col("out_rows") / allowed), F.col("l_rows")).cast("int").alias("pieces"),
-        )
-    )
+    allowed = max(HOT_SHARE * (pairs.agg(F.sum("out_rows")).first()[0] or 0), HOT_ROWS)
+    pieces = F.least(F.ceil(F.col("out_rows") / F.lit(allowed)), F.col("l_rows")).cast("int")
+    found = pairs.filter(F.col("out_rows") > allowed).select(key, pieces.alias("pieces"))
+    rows = found.collect()
+    if not rows:
+        return left.join(right, key)
+    hot = F.broadcast(left.sparkSession.createDataFrame(rows, found.schema))
     spread = (
         left.join(hot, key, "left")
         .withColumn("pieces", F.coalesce("pieces", F.lit(1)))

@@ -50,18 +50,27 @@ def null_counts(frame: DataFrame, columns: Sequence[str] | None = None) -> DataF
 
 def numeric_summary(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, deviation, extremes and exact quartiles per column."""
-    long = unpivot(frame, columns, "double")
-    moments = long.groupBy("column_name").agg(
-        F.count("value").alias("rows"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
+    statistics = {
+        "rows": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max,
+    }
+    # The moments need no long form and no shuffle of rows.
+    wide = frame.agg(
+        *[
+            function(F.col(c).cast("double")).alias(f"{name}_{i}")
+            for i, c in enumerate(columns)
+            for name, function in statistics.items()
+        ]
+    )
+    rows = F.array(
+        *[
+            F.struct(F.lit(c).alias("column_name"), *[F.col(f"{n}_{i}").alias(n) for n in statistics])
+            for i, c in enumerate(columns)
+        ]
     )
     quartiles = exact_quantiles(
-        long, ["column_name"], "value", {"q25": 0.25, "q50": 0.5, "q75": 0.75}
+        unpivot(frame, columns, "double"), ["column_name"], "value", {"q25": 0.25, "q50": 0.5, "q75": 0.75}
     )
-    return moments.join(quartiles, "column_name", "left")
+    return wide.select(F.inline(rows)).join(quartiles, "column_name", "left")
 
 
 def scaler_statistics(frame: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from claimloom import settings as S
 from claimloom.functions.ranks import exact_quantiles, hash_cuts, hash_of, number_copies
+from claimloom.functions.storage import as_table, cut
 
 # A key above this share of the rows is placed on its own; there are at most 100.
 HEAVY_SHARE = 1 / 100
@@ -42,11 +43,11 @@ def group_split(
         keys = frame.select(key).distinct().select(
             key_hash(key, seed).alias("h"), F.lit(1).alias("w")
         )
-        cuts = hash_cuts(keys, "h", "w", _first(share))
-        cut = cuts[None][0] if cuts else ""
+        cuts = hash_cuts(cut(keys), "h", "w", _first(share))
+        edge = cuts[None][0] if cuts else ""
     else:
-        cut = f"{min(int(share * 16**8), 16**8 - 1):08x}"
-    in_test = key_hash(key, seed) <= F.lit(cut)
+        edge = f"{min(int(share * 16**8), 16**8 - 1):08x}"
+    in_test = key_hash(key, seed) <= F.lit(edge)
     return frame.withColumn("fold", F.when(in_test, F.lit("test")).otherwise(F.lit("train")))
 
 
@@ -69,7 +70,7 @@ def group_kfold(
     The few heavy keys go to the lightest fold one by one; the others fill the
     folds up in hash order.
     """
-    counts = frame.groupBy(key).agg(F.count(F.lit(1)).alias("w"))
+    counts = cut(frame.groupBy(key).agg(F.count(F.lit(1)).alias("w")))
     total = counts.agg(F.sum("w")).first()[0] or 0
     is_heavy = F.col("w") > HEAVY_SHARE * total
     heavy = sorted(counts.filter(is_heavy).collect(), key=lambda r: (-r.w, r[key]))
@@ -121,7 +122,8 @@ def naive_split(
 
 
 def _row_hashes(frame: DataFrame, columns: Sequence[Column], seed: int) -> tuple[DataFrame, Column]:
-    numbered = number_copies(frame, frame.columns)
+    # Stored, because finding the cuts and applying them both read it.
+    numbered = as_table(number_copies(frame, frame.columns), "numbered")
     return numbered, hash_of(*columns, F.col("copy_no").cast("string"), seed=seed)
 
 
@@ -138,8 +140,8 @@ def stratified_split(
         numbered.select(stratum, h.alias("h"), F.lit(1).alias("w")), "h", "w", _first(share), stratum
     )
     in_train = F.lit(False)
-    for value, (cut,) in cuts.items():
-        in_train = in_train | (F.col(stratum).eqNullSafe(F.lit(value)) & (h <= F.lit(cut)))
+    for value, (edge,) in cuts.items():
+        in_train = in_train | (F.col(stratum).eqNullSafe(F.lit(value)) & (h <= F.lit(edge)))
     return numbered.withColumn("fold", F.when(in_train, F.lit("train")).otherwise(F.lit("test")))
 
 

@@ -4,12 +4,13 @@ Model sizes are reduced (``SMALL``) because every query fits its own model.
 """
 
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimloom import settings as S
 from claimloom.functions import clean
 from claimloom.operators import attribution, candidates, drift, scoring, splits, tuning
-from claimloom.operators.candidates import SMALL, as_pipeline
+from claimloom.operators.candidates import SMALL
 from claimloom.operators.encoders import FEATURE_VECTOR, build_preprocessor, feature_names
 from claimloom.plans import training
 from claimloom.plans.quality_queries import row_texts
@@ -17,24 +18,24 @@ from claimloom.plans.registry import query
 from claimloom.plans.sql import FOLDS, SCORES
 
 
-def _fit_classifier(t, name: str):
+def _encoded(t) -> tuple[training.Encoded, DataFrame, DataFrame]:
     train, test = training.split(t.model_rows())
-    return as_pipeline(candidates.classifiers(SMALL)[name]).fit(train), train, test
+    return training.encode(train, test), train, test
 
 
-def _fit_regressor(t, name: str):
-    train, test = training.split(t.model_rows())
-    return as_pipeline(candidates.fitting_regressors(train, SMALL)[name]).fit(train), train, test
+def _classifier(name: str):
+    return candidates.classifiers(SMALL)[name]
 
 
 def _tier_query(query_name: str, name: str):
     @query(query_name)
     def build(t):
         """Confusion counts of the held-out fold."""
-        model, _, test = _fit_classifier(t, name)
-        scored = model.transform(test)
-        return scored.groupBy(
-            F.col(S.TIER).alias("tier"), clean.to_tier(F.col("prediction")).alias("predicted_tier")
+        data, _, _ = _encoded(t)
+        model, _ = data.fit(_classifier(name))
+        guess = clean.to_tier(F.col("prediction")).alias("predicted_tier")
+        return model.transform(data.test).groupBy(
+            clean.to_tier(F.col("label")).alias("tier"), guess
         ).agg(F.count(F.lit(1)).alias("rows"))
 
 
@@ -42,8 +43,9 @@ def _charge_query(query_name: str, name: str):
     @query(query_name)
     def build(t):
         """Predicted charge of every held-out row."""
-        model, _, test = _fit_regressor(t, name)
-        return model.transform(test).select(
+        data, _, test = _encoded(t)
+        _, pipeline = data.fit(candidates.fitting_regressors(data.train, SMALL)[name])
+        return pipeline.transform(test).select(
             "BENE_ID", *S.CODE_COLUMNS, S.FLAG_COLUMN, S.LOG_TOTAL, F.col("prediction").alias("predicted_log")
         )
 
@@ -79,14 +81,15 @@ def tuned_params(t):
 
 @query("feature_importance")
 def feature_importance(t):
-    model, _, _ = _fit_classifier(t, "random_forest")
-    return candidates.feature_importance(model)
+    data, _, _ = _encoded(t)
+    _, pipeline = data.fit(_classifier("random_forest"))
+    return candidates.feature_importance(pipeline)
 
 
 def _bundle(t, classifier: str = "decision_tree", background: bool = False) -> tuple:
-    train, test = training.split(t.model_rows())
-    tier = as_pipeline(candidates.classifiers(SMALL)[classifier]).fit(train)
-    charge = as_pipeline(candidates.fitting_regressors(train, SMALL)["linear_regression"]).fit(train)
+    data, train, test = _encoded(t)
+    _, tier = data.fit(_classifier(classifier))
+    _, charge = data.fit(candidates.fitting_regressors(data.train, SMALL)["linear_regression"])
     sample = splits.sample_rows(train, row_texts(), 10).select(*S.FEATURES) if background else None
     names = {"classifier": classifier, "regressor": "linear_regression"}
     return scoring.Bundle(tier, charge, names, sample), test.select("BENE_ID", *S.FEATURES)
@@ -115,9 +118,10 @@ def shapley_exact(t):
 
 @query("prediction_drift")
 def prediction_drift(t):
-    model, train, test = _fit_classifier(t, "decision_tree")
+    data, _, _ = _encoded(t)
+    model, _ = data.fit(_classifier("decision_tree"))
     tier = clean.to_tier(F.col("prediction")).alias("predicted_tier")
-    reference, current = (model.transform(rows).select(tier) for rows in (train, test))
+    reference, current = (model.transform(rows).select(tier) for rows in (data.train, data.test))
     numeric = drift.numeric_drift(reference, current, ["predicted_tier"])
     return numeric.join(drift.categorical_drift(reference, current, ["predicted_tier"]), "column_name")
 

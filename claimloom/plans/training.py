@@ -4,7 +4,8 @@ import logging
 import uuid
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
+from pyspark.ml import Estimator, Model, PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,11 +17,10 @@ from claimloom.operators.candidates import (
     LABEL,
     WEIGHT,
     Sizes,
-    as_pipeline,
     classifiers,
     fitting_regressors,
 )
-from claimloom.operators.encoders import with_class_weights
+from claimloom.operators.encoders import FEATURE_VECTOR, build_preprocessor, with_class_weights
 from claimloom.operators.tuning import SEARCH_SPACES, Tuned, tune_classifier
 from claimloom.sources import bundles, runs
 
@@ -74,10 +74,8 @@ def tier_scores() -> dict[float, str]:
     return {float(i): f"__p{i}" for i in range(len(S.TIERS))}
 
 
-def evaluate_classifier(model: PipelineModel, test: DataFrame) -> dict[str, float]:
+def evaluate_classifier(model: Model, test: DataFrame) -> dict[str, float]:
     """Held-out metrics; the AUC is left out when a tier is absent from the test fold."""
-    from pyspark.ml.functions import vector_to_array
-
     scores = tier_scores()
     shares = vector_to_array("probability")
     scored = as_table(
@@ -93,33 +91,60 @@ def evaluate_classifier(model: PipelineModel, test: DataFrame) -> dict[str, floa
     return result
 
 
-def evaluate_regressor(model: PipelineModel, test: DataFrame) -> dict[str, float]:
+def evaluate_regressor(model: Model, test: DataFrame) -> dict[str, float]:
     scored = as_table(model.transform(test).select(S.LOG_TOTAL, "prediction"), "scored")
     return metrics.regression_metrics(scored, S.LOG_TOTAL).first().asDict()
 
 
+@dataclass
+class Encoded:
+    """Both folds with assembled features, and the encoders fitted on the first."""
+
+    encoder: PipelineModel
+    train: DataFrame
+    test: DataFrame
+
+    def fit(self, model: Estimator) -> tuple[Model, PipelineModel]:
+        """The fitted model, alone and behind its encoders as one saved object."""
+        fitted = model.fit(self.train)
+        return fitted, PipelineModel(stages=[self.encoder, fitted])
+
+
+def encode(train: DataFrame, test: DataFrame) -> Encoded:
+    """Fit the encoders once and store the features for all candidates.
+
+    Every candidate would fit the same encoders on the same fold, and tree models
+    read their input many times.
+    """
+    encoder = build_preprocessor().fit(train)
+    kept = [LABEL, S.LOG_TOTAL, FEATURE_VECTOR]
+    return Encoded(
+        encoder,
+        as_table(encoder.transform(train).select(*kept, WEIGHT), "train", split=True),
+        as_table(encoder.transform(test).select(*kept), "test", split=True),
+    )
+
+
 def train_classifiers(
-    train: DataFrame, test: DataFrame, tuned: dict[str, Tuned] | None = None, sizes: Sizes = Sizes()
+    data: Encoded, tuned: dict[str, Tuned] | None = None, sizes: Sizes = Sizes()
 ) -> dict[str, Fitted]:
     """Fit every classifier and score it on the held-out fold."""
     results = {}
     for name, model in classifiers(sizes).items():
         if tuned and name in tuned:
             model = model.copy({model.getParam(k): v for k, v in tuned[name].settings.items()})
-        fitted = as_pipeline(model).fit(train)
-        results[name] = Fitted(fitted, evaluate_classifier(fitted, test))
+        fitted, pipeline = data.fit(model)
+        results[name] = Fitted(pipeline, evaluate_classifier(fitted, data.test))
         logger.info("%s %s", name, results[name].metrics)
     return results
 
 
-def train_regressors(
-    train: DataFrame, test: DataFrame, sizes: Sizes = Sizes()
-) -> dict[str, Fitted]:
+def train_regressors(data: Encoded, sizes: Sizes = Sizes()) -> dict[str, Fitted]:
     """Fit every regressor and score it on the held-out fold."""
     results = {}
-    for name, model in fitting_regressors(train, sizes).items():
-        fitted = as_pipeline(model).fit(train)
-        results[name] = Fitted(fitted, evaluate_regressor(fitted, test))
+    for name, model in fitting_regressors(data.train, sizes).items():
+        fitted, pipeline = data.fit(model)
+        results[name] = Fitted(pipeline, evaluate_regressor(fitted, data.test))
         logger.info("%s %s", name, results[name].metrics)
     return results
 
@@ -200,8 +225,9 @@ def run(
     run_id = uuid.uuid4().hex
     train, test = split(ingest_and_validate(claims, income))
     tuned = tune(train, n_iter, spaces, sizes)
-    tiers = train_classifiers(train, test, tuned, sizes)
-    charges = train_regressors(train, test, sizes)
+    data = encode(train, test)
+    tiers = train_classifiers(data, tuned, sizes)
+    charges = train_regressors(data, sizes)
     log = []
     for name, found in tuned.items():
         params = {**found.settings, "cv": "grouped folds by person", "scoring": "macro_f1"}

@@ -2,15 +2,17 @@
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from claimloom import settings as S
 from claimloom.functions import clean
-from claimloom.functions.storage import as_table
+from claimloom.functions.storage import as_table, spread
 from claimloom.operators import enrich, quality, rollup, splits
 from claimloom.sources import tables as sources
 
 # Merged claims already written in this application, by application and folder.
 _WRITTEN: dict[tuple[str, str], DataFrame] = {}
+_SCHEMAS: dict[tuple[str, str], StructType] = {}
 
 
 class Tables:
@@ -21,7 +23,12 @@ class Tables:
         self.folder = folder
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A given table; its schema is looked up once per application."""
+        path = f"{self.folder}/{name}.parquet"
+        key = (self.spark.sparkContext.applicationId, path)
+        if key not in _SCHEMAS:
+            _SCHEMAS[key] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[key]).parquet(path)
 
     def raw(self) -> DataFrame:
         """Line items seen as raw claims; ids are negative on purpose."""
@@ -29,6 +36,8 @@ class Tables:
             "l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice", "l_discount", "l_tax",
             "l_returnflag", "l_linestatus",
         )
+        # A single small file would be one task for everything that follows.
+        lines = spread(lines)
         orders = self.read("orders").select("o_orderkey", "o_custkey", "o_orderpriority")
         customers = self.read("customer").select("c_custkey", "c_nationkey")
         parts = self.read("part").select("p_partkey", "p_type", "p_brand", "p_size")

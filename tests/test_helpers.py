@@ -20,21 +20,35 @@ def skewed(spark):
 
 
 def test_hot_keys_are_bounded_and_found(skewed):
-    hot = [r.k for r in skew.hot_keys(skewed, ["k"], 0.05).collect()]
+    hot = [r.k for r in skew.hot_keys(skewed, ["k"], 0.05, 0).collect()]
     assert hot == [7]
-    assert skew.hot_keys(skewed, ["k"], 0.0001).count() <= 10_000
+    assert skew.hot_keys(skewed, ["k"], 1 / 40, 0).count() <= 40
+    assert skew.hot_keys(skewed, ["k"]) is None
 
 
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
-@pytest.mark.parametrize("share", [0.05, 0.001])
-def test_lookup_join_equals_plain_join(spark, skewed, how, share):
+@pytest.mark.parametrize("least", [0, 10**6])
+def test_lookup_join_equals_plain_join(spark, skewed, monkeypatch, how, least):
+    monkeypatch.setattr(skew, "HOT_ROWS", least)
     table = spark.createDataFrame([(k, k * 10) for k in range(0, 300)], "k int, v int")
     plain = skewed.join(table, "k", how)
-    ours = skew.lookup_join(skewed, table, ["k"], how, share).select(*plain.columns)
+    ours = skew.lookup_join(skewed, table, ["k"], how).select(*plain.columns)
     assert sorted(map(str, ours.collect())) == sorted(map(str, plain.collect()))
 
 
-def test_fan_out_join_equals_plain_join(spark):
+def test_rows_of_hot_keys_are_not_shuffled(spark, skewed, monkeypatch):
+    monkeypatch.setattr(skew, "HOT_ROWS", 100)
+    monkeypatch.setattr(skew, "HOT_SHARE", 0.05)
+    table = spark.createDataFrame([(k, k * 10) for k in range(0, 300)], "k int, v int")
+    hot = skew.hot_keys(skewed, ["k"])
+    assert [r.k for r in hot.collect()] == [7]
+    joined = skew.lookup_join(skewed, table, ["k"], "left")
+    assert joined.count() == skewed.count() and joined.filter("k = 7 AND v = 70").count() > 900
+
+
+@pytest.mark.parametrize("least", [0, 50, 10**6])
+def test_fan_out_join_equals_plain_join(spark, monkeypatch, least):
+    monkeypatch.setattr(skew, "HOT_ROWS", least)
     left = spark.createDataFrame(
         [(1, i) for i in range(300)] + [(k, k) for k in range(2, 50)], "k int, a int"
     )
@@ -42,9 +56,8 @@ def test_fan_out_join_equals_plain_join(spark):
         [(1, i) for i in range(40)] + [(k, -k) for k in range(2, 60) for _ in range(2)], "k int, b int"
     )
     plain = left.join(right, "k")
-    for share in (0.01, 0.5):
-        ours = skew.fan_out_join(left, right, "k", share).select(*plain.columns)
-        assert sorted(map(tuple, ours.collect())) == sorted(map(tuple, plain.collect()))
+    ours = skew.fan_out_join(left, right, "k").select(*plain.columns)
+    assert sorted(map(tuple, ours.collect())) == sorted(map(tuple, plain.collect()))
 
 
 def test_broadcast_only_when_small(spark):
