@@ -10,10 +10,10 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimloom.functions.storage import cut
+from claimloom.functions.storage import as_table
 
 # Groups up to this many rows are ordered by one task; above it buckets are used.
-WINDOW_ROWS = 200_000
+WINDOW_ROWS = 1_000_000
 BUCKETS = 512
 
 # Hex digits of an md5 hash that name a bucket: 65,536 even buckets.
@@ -85,6 +85,13 @@ def hash_cuts(
     return cuts
 
 
+def _bucket_edges(frame: DataFrame, order: str) -> list[float]:
+    """Values that cut the rows into nearly even buckets."""
+    shares = [i / BUCKETS for i in range(1, BUCKETS)]
+    edges = F.percentile_approx(F.col(order).cast("double"), shares, 20 * BUCKETS)
+    return sorted(set(frame.agg(edges.alias("edges")).first()["edges"] or []))
+
+
 def running_totals(
     frame: DataFrame, by: Sequence[str], order: str, sums: Sequence[str]
 ) -> DataFrame:
@@ -95,20 +102,14 @@ def running_totals(
     ``next_value`` (the following value of the group, null at its end).
     """
     by = list(by)
-    frame = cut(frame)
-    probe = frame.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.percentile_approx(
-            F.col(order).cast("double"), [i / BUCKETS for i in range(1, BUCKETS)], 20 * BUCKETS
-        ).alias("edges"),
-    ).first()
-    rows, edges = probe["rows"], sorted(set(probe["edges"] or []))
-    if rows <= WINDOW_ROWS or len(edges) < 2:
-        frame = frame.withColumn("bucket", F.lit(0.0))
-    else:
+    frame = as_table(frame, "ordered")
+    edges = _bucket_edges(frame, order) if frame.count() > WINDOW_ROWS else []
+    if edges:
         frame = Bucketizer(
             splits=[float("-inf"), *edges, float("inf")], inputCol=order, outputCol="bucket"
         ).transform(frame)
+    else:
+        frame = frame.withColumn("bucket", F.lit(0.0))
     whole = Window.partitionBy(*by)
     earlier = whole.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (

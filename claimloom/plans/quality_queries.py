@@ -311,7 +311,8 @@ def scaler_statistics(t):
 
 @query("group_split", f"WITH {FOLDS} SELECT BENE_ID, fold, count(*) AS rows FROM folds GROUP BY 1, 2")
 def group_split(t):
-    return t.folds().groupBy("BENE_ID", "fold").agg(F.count(F.lit(1)).alias("rows"))
+    folds = splits.group_split(t.model_rows())
+    return folds.groupBy("BENE_ID", "fold").agg(F.count(F.lit(1)).alias("rows"))
 
 
 @query(

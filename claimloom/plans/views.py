@@ -1,5 +1,7 @@
 """Claims-shaped views over the given tables."""
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -10,8 +12,8 @@ from claimloom.functions.storage import as_table, spread
 from claimloom.operators import enrich, quality, rollup, splits
 from claimloom.sources import tables as sources
 
-# Merged claims already written in this application, by application and folder.
-_WRITTEN: dict[tuple[str, str], DataFrame] = {}
+# Tables already written in this application, by application, folder and name.
+_WRITTEN: dict[tuple[str, str, str], DataFrame] = {}
 _SCHEMAS: dict[tuple[str, str], StructType] = {}
 
 
@@ -100,10 +102,14 @@ class Tables:
 
     def claims(self) -> DataFrame:
         """Merged claims, the ingestion boundary: written once, then scanned."""
-        key = (self.spark.sparkContext.applicationId, self.folder)
+        return self._stored(
+            "claims", lambda: rollup.merged_claims(self.raw_inpatient(), self.raw_outpatient())
+        )
+
+    def _stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        key = (self.spark.sparkContext.applicationId, self.folder, name)
         if key not in _WRITTEN:
-            merged = rollup.merged_claims(self.raw_inpatient(), self.raw_outpatient())
-            _WRITTEN[key] = as_table(merged, "claims", split=True)
+            _WRITTEN[key] = as_table(build(), name, split=True)
         return _WRITTEN[key]
 
     def modeling(self) -> DataFrame:
@@ -114,8 +120,8 @@ class Tables:
         return quality.accepted(self.modeling(), quality.modeling_schema().rules)
 
     def folds(self) -> DataFrame:
-        """Model rows with the grouped train/test fold."""
-        return splits.group_split(self.model_rows())
+        """Model rows with the grouped train/test fold, written once."""
+        return self._stored("folds", lambda: splits.group_split(self.model_rows()))
 
     def train_test(self) -> tuple[DataFrame, DataFrame]:
         folds = self.folds()
