@@ -15,6 +15,7 @@ from claimloom.functions.storage import as_table
 # Groups up to this many rows are ordered by one task; above it buckets are used.
 WINDOW_ROWS = 1_000_000
 BUCKETS = 512
+MAX_BUCKETS = 20_000
 
 # Hex digits of an md5 hash that name a bucket: 65,536 even buckets.
 PREFIX = 4
@@ -85,10 +86,11 @@ def hash_cuts(
     return cuts
 
 
-def _bucket_edges(frame: DataFrame, order: str) -> list[float]:
-    """Values that cut the rows into nearly even buckets."""
-    shares = [i / BUCKETS for i in range(1, BUCKETS)]
-    edges = F.percentile_approx(F.col(order).cast("double"), shares, 20 * BUCKETS)
+def _bucket_edges(frame: DataFrame, order: str, rows: int) -> list[float]:
+    """Values that cut the rows into nearly even buckets of at most ``WINDOW_ROWS``."""
+    buckets = min(max(BUCKETS, 2 * rows // WINDOW_ROWS), MAX_BUCKETS)
+    shares = [i / buckets for i in range(1, buckets)]
+    edges = F.percentile_approx(F.col(order).cast("double"), shares, 20 * buckets)
     return sorted(set(frame.agg(edges.alias("edges")).first()["edges"] or []))
 
 
@@ -103,7 +105,8 @@ def running_totals(
     """
     by = list(by)
     frame = as_table(frame, "ordered")
-    edges = _bucket_edges(frame, order) if frame.count() > WINDOW_ROWS else []
+    rows = frame.count()
+    edges = _bucket_edges(frame, order, rows) if rows > WINDOW_ROWS else []
     if edges:
         frame = Bucketizer(
             splits=[float("-inf"), *edges, float("inf")], inputCol=order, outputCol="bucket"

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from claimloom import settings as S
 from claimloom.functions.ranks import exact_quantiles, running_totals
+from claimloom.functions.storage import as_table
 from claimloom.operators.profile import unpivot
 
 # Smallest reference deviation, and the share that stands for an
@@ -178,7 +179,8 @@ def batch_drift(
         .groupBy(batch, "column_name", "value")
         .agg(F.count(F.lit(1)).alias("rows"))
     )
-    return drift_of_counts(counts, as_text(reference), batch, columns)
+    # Stored, so that an arriving batch is read once.
+    return drift_of_counts(as_table(counts, "counts"), as_text(reference), batch, columns)
 
 
 def _pairs(columns: Sequence[str]) -> Column:

@@ -29,7 +29,7 @@ from claimloom.functions.storage import as_table, cut, spread, tasks_for
 from claimloom.operators.encoders import TableModel
 
 # Pivots and rings bound what the driver holds: MAX_PIVOTS * MAX_RINGS ring facts.
-MAX_PIVOTS = 256
+MAX_PIVOTS = 1024
 MAX_RINGS = 16
 RING_ROWS = 1000
 BLOCK_ROWS = 4096
@@ -117,8 +117,9 @@ def _visits(queries: DataFrame, rings: Rings, k: int) -> DataFrame:
 
     def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for start in range(0, len(batch), 512):
-                part = batch.iloc[start : start + 512]
+            step = max(1, 1_000_000 // len(rings.rows))
+            for start in range(0, len(batch), step):
+                part = batch.iloc[start : start + step]
                 to_pivot = _distances(_matrix(part["vec"], rings.pivots.shape[1]), rings.pivots)
                 to_cell = to_pivot[:, rings.cell]
                 farthest = to_cell + rings.high

@@ -177,3 +177,37 @@ def test_tuning_keeps_people_together_and_ranks_settings(folds):
     found = tuning.tune_classifier("boosted_trees", train, 2, 2, {"maxIter": [1, 2]}, TINY)
     assert found.score == max(t["score"] for t in found.tried) and len(found.tried) == 2
     assert found.settings in [t["settings"] for t in found.tried]
+
+
+def test_drift_job_from_files(spark, claims, income, exported, bundle, tmp_path):
+    from claimloom.__main__ import main
+    from claimloom.plans import monitoring
+
+    claims.write.parquet(str(tmp_path / "claims.parquet"))
+    income.write.parquet(str(tmp_path / "income.parquet"))
+    shared = ["--claims", str(tmp_path / "claims.parquet"), "--income", str(tmp_path / "income.parquet"),
+              "--models", exported]
+    main(["drift", *shared, "--output", str(tmp_path / "drift")])
+    for part, columns in (("features", len(S.FEATURES)), ("predictions", 1)):
+        summary = spark.read.parquet(str(tmp_path / "drift" / part / "summary")).first()
+        assert summary["columns"] == columns and 0 <= summary.drifted_share <= 1
+    shifted = claims.withColumn("Median_Income", F.lit(1_000_000.0))
+    shifted.write.csv(str(tmp_path / "batch.csv"), header=True)
+    main(["drift", *shared, "--output", str(tmp_path / "moved"), "--current", str(tmp_path / "batch.csv")])
+    scores = spark.read.parquet(str(tmp_path / "moved" / "features" / "column_scores"))
+    assert {r.column_name: r.drifted for r in scores.collect()}["Median_Income"]
+    assert monitoring.PREDICTION == "predicted_tier"
+
+
+def test_score_job_from_files(spark, claims, exported, tmp_path):
+    from claimloom.__main__ import main
+
+    rows = claims.limit(6).withColumn("Median_Income", F.lit(60510.0)).withColumn(
+        S.FLAG_COLUMN, F.when(F.col("BENE_ID") == claims.first().BENE_ID, "X").otherwise(F.col(S.FLAG_COLUMN))
+    )
+    rows.write.parquet(str(tmp_path / "in.parquet"))
+    main(["score", "--requests", str(tmp_path / "in.parquet"), "--models", exported,
+          "--output", str(tmp_path / "out"), "--no-explanations"])
+    good, bad = (spark.read.parquet(str(tmp_path / "out" / p)) for p in ("scores", "rejected"))
+    assert good.count() + bad.count() == 6 and bad.count() >= 1
+    assert good.filter("predicted_charge > 0 AND tier BETWEEN 1 AND 5").count() == good.count()
