@@ -324,17 +324,21 @@ def group_split(t):
     heavy AS (SELECT BENE_ID, w, row_number() OVER (ORDER BY w DESC, BENE_ID) AS i
               FROM counts, grand WHERE w > total / 100.0),
     pack(i, bene, fold, loads) AS (
-      SELECT CAST(0 AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS INTEGER), [0.0, 0.0, 0.0]
+      SELECT CAST(0 AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS INTEGER),
+        [0::DOUBLE, 0::DOUBLE, 0::DOUBLE]
       UNION ALL
       SELECT h.i, h.BENE_ID, CAST(list_position(loads, list_min(loads)) - 1 AS INTEGER),
         list_transform(loads, lambda x, j: CASE WHEN j = list_position(loads, list_min(loads))
-                                                THEN x + h.w ELSE x END)
+                                                THEN x + CAST(h.w AS DOUBLE) ELSE x END)
       FROM pack p JOIN heavy h ON h.i = p.i + 1),
     state AS (SELECT loads FROM pack ORDER BY i DESC LIMIT 1),
     light AS (SELECT BENE_ID, w, h, sum(w) OVER (ORDER BY h) AS upto FROM counts, grand
               WHERE w <= total / 100.0),
-    level AS (SELECT loads, (SELECT total FROM grand) / 3.0 AS lvl FROM state),
-    targets AS (SELECT ceil(lvl - loads[1]) AS t1, ceil(2 * lvl - loads[1] - loads[2]) AS t2 FROM level)
+    sorted AS (SELECT loads, list_sort(loads) AS s, CAST((SELECT total FROM grand) AS DOUBLE) AS total FROM state),
+    level AS (SELECT loads, CASE WHEN s[3] <= total / 3 THEN total / 3
+      WHEN s[2] <= (total - s[3]) / 2 THEN (total - s[3]) / 2 ELSE total - s[3] - s[2] END AS lvl FROM sorted),
+    targets AS (SELECT ceil(greatest(lvl - loads[1], 0)) AS t1,
+      ceil(greatest(lvl - loads[1], 0) + greatest(lvl - loads[2], 0)) AS t2 FROM level)
     SELECT BENE_ID, w AS rows, CASE WHEN upto - w < t1 THEN 0 WHEN upto - w < t2 THEN 1 ELSE 2 END AS fold
     FROM light, targets
     UNION ALL SELECT h.BENE_ID, h.w, p.fold FROM pack p JOIN heavy h ON p.i = h.i""",
