@@ -139,20 +139,28 @@ def _visits(queries: DataFrame, rings: Rings, k: int) -> DataFrame:
 
 
 def knn_join(
-    queries: DataFrame, base: DataFrame, k: int, seed: int = 42, exclude_self: bool = False
+    queries: DataFrame,
+    base: DataFrame,
+    k: int,
+    seed: int = 42,
+    exclude_self: bool = False,
+    carry: str | None = None,
 ) -> DataFrame:
     """The ``k`` nearest base rows of every query row, exactly.
 
     Both tables have an ``id`` and a ``vec`` (array of doubles). Returns ``id``,
     ``neighbour``, ``distance`` (rounded) and ``rank``; ties go to the lower id.
-    ``exclude_self`` leaves out the base row with the query's own id.
+    ``exclude_self`` leaves out the base row with the query's own id. ``carry`` names
+    a base column to bring along, such as the label: a join on popular neighbours
+    afterwards would be skewed.
     """
     wanted = k + 1 if exclude_self else k
+    extra = [carry] if carry else []
     # Of equal base vectors only the first few ids can ever be neighbours. The
     # group limit is applied before the shuffle, so many copies cost little.
     copies = Window.partitionBy("vec").orderBy("id")
     distinct = (
-        base.select("id", "vec")
+        base.select("id", "vec", *extra)
         .withColumn("copy_no", F.row_number().over(copies))
         .filter(F.col("copy_no") <= wanted)
         .drop("copy_no")
@@ -191,13 +199,14 @@ def knn_join(
         .join(blocks, ["cell", "ring"])
         .withColumn("base_block", F.pmod(F.xxhash64("id"), F.col("base_blocks")).cast("int"))
         .withColumn("query_block", every("query_blocks"))
-        .select("cell", "ring", "query_block", "base_block", "id", "vec")
+        .select("cell", "ring", "query_block", "base_block", "id", "vec", *extra)
     )
     keys = ["cell", "ring", "query_block", "base_block"]
 
     def nearest(q: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(b):
-            return pd.DataFrame({"id": q["id"][:0], "neighbour": b["id"][:0], "distance": np.empty(0)})
+            empty = {"id": q["id"][:0], "neighbour": b["id"][:0], "distance": np.empty(0)}
+            return pd.DataFrame({**empty, **{c: b[c][:0] for c in extra}})
         b = b.sort_values("id")
         names, points = b["id"].to_numpy(), _matrix(b["vec"], 0)
         found = []
@@ -212,6 +221,7 @@ def knn_join(
                         "id": np.repeat(part["id"].to_numpy(), order.shape[1]),
                         "neighbour": names[order].ravel(),
                         "distance": np.take_along_axis(gaps, order, axis=1).ravel(),
+                        **{c: b[c].to_numpy()[order].ravel() for c in extra},
                     }
                 )
             )
@@ -219,11 +229,12 @@ def knn_join(
 
     q_type = queries.schema["id"].dataType.simpleString()
     b_type = base.schema["id"].dataType.simpleString()
+    carried = "".join(f", `{c}` {base.schema[c].dataType.simpleString()}" for c in extra)
     candidates = (
         left.repartition(tasks, *keys)
         .groupBy(*keys)
         .cogroup(right.repartition(tasks, *keys).groupBy(*keys))
-        .applyInPandas(nearest, f"id {q_type}, neighbour {b_type}, distance double")
+        .applyInPandas(nearest, f"id {q_type}, neighbour {b_type}, distance double{carried}")
     )
     if exclude_self:
         candidates = candidates.filter(F.col("id") != F.col("neighbour"))
@@ -268,12 +279,13 @@ def k_grid(rows: DataFrame, classes: list, ks: list[int], folds: int = 5, seed:
     fold = F.pmod(F.conv(F.substring(hash_of(F.col("id").cast("string"), seed=seed), 1, 8), 16, 10)
                   .cast("long"), F.lit(folds)).cast("int")
     rows = cut(rows.withColumn("fold", fold))
-    labels = rows.select(F.col("id").alias("neighbour"), "label")
     found = None
     for i in range(folds):
-        near = knn_join(rows.filter(F.col("fold") == i), rows.filter(F.col("fold") != i), max(ks), seed)
+        near = knn_join(
+            rows.filter(F.col("fold") == i), rows.filter(F.col("fold") != i), max(ks), seed, carry="label"
+        )
         found = near if found is None else found.unionByName(near)
-    labelled = cut(found.join(labels, "neighbour"))
+    labelled = cut(found)
     truth = rows.select("id", F.col("label").alias("truth"))
     scores = None
     for k in ks:
@@ -336,9 +348,7 @@ class NeighbourModel(TableModel, _NeighbourParams):
             keyed.select(F.col("__vec").alias("vec")).distinct()
             .withColumn("id", F.monotonically_increasing_id())
         )
-        near = knn_join(asked, self.table, k)
-        labels = self.table.select(F.col("id").alias("neighbour"), "label")
-        votes = vote(near.join(labels, "neighbour"), classes)
+        votes = vote(knn_join(asked, self.table, k, carry="label"), classes)
         answers = votes.join(asked, "id").select(
             F.col("vec").alias("__vec"),
             array_to_vector("shares").alias(self.getProbabilityCol()),

@@ -38,8 +38,7 @@ def knn_join(t):
 )
 def knn_vote(t):
     rows = _vectors(t)
-    labels = rows.select(F.col("id").alias("neighbour"), "label")
-    near = knn.knn_join(rows, rows, 5, exclude_self=True).join(labels, "neighbour")
+    near = knn.knn_join(rows, rows, 5, exclude_self=True, carry="label")
     votes = knn.vote(near, list(range(10)))
     return votes.select("id", "prediction", F.round(F.array_max("shares"), 6).alias("confidence"))
 

@@ -228,7 +228,9 @@ _MEANS = [
     sized AS (SELECT *, count(*) OVER () AS total FROM train),
     x AS (SELECT {", ".join(f"{e} AS m{i}" for i, (_, e) in enumerate(_MEANS))}
       FROM sized x JOIN f1 a ON a.v = x.PRNCPAL_DGNS_CD_inp JOIN f2 b ON b.v = x.PRNCPAL_DGNS_CD_out)
-    {" UNION ALL ".join(f"SELECT {i} AS position, '{n}' AS feature, round(CAST(m{i} AS DOUBLE), 6) AS mean FROM x" for i, (n, _) in enumerate(_MEANS))}""",
+    {" UNION ALL ".join(
+        f"SELECT {i} AS position, '{n}' AS feature, round(CAST(m{i} AS DOUBLE), 6) AS mean FROM x"
+        for i, (n, _) in enumerate(_MEANS))}""",
 )
 def feature_means(t):
     """Mean of every assembled feature over the training fold, by its name."""
