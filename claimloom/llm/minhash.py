@@ -11,7 +11,7 @@ document; components of the confirmed links leave few outsiders per bucket, and
 compared with the other members in blocks of bounded size, where only links come out.
 """
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +29,7 @@ PERMUTATIONS = BANDS * ROWS // 2
 # Most outsiders and most members that meet in one block.
 BLOCK = 512
 
-_factors = np.random.Generator(np.random.PCG64(7)).integers(0, 2**32, PERMUTATIONS, dtype=np.uint32) | np.uint32(1)
+FACTORS = np.random.Generator(np.random.PCG64(7)).integers(0, 2**32, PERMUTATIONS, dtype=np.uint32) | np.uint32(1)
 
 
 def _values(shingles: np.ndarray) -> np.ndarray:
@@ -38,7 +38,7 @@ def _values(shingles: np.ndarray) -> np.ndarray:
     most = np.zeros(PERMUTATIONS, np.uint32)
     short = (shingles >> np.uint64(32)).astype(np.uint32)
     for i in range(0, len(short), 8192):
-        hashed = short[i : i + 8192, None] * _factors
+        hashed = short[i : i + 8192, None] * FACTORS
         np.minimum(least, hashed.min(axis=0), out=least)
         np.maximum(most, hashed.max(axis=0), out=most)
     return np.stack([least, most], axis=1).ravel()
@@ -51,7 +51,7 @@ def signatures(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: st
         salt = K.mix(np.arange(1, BANDS + 1, dtype=np.uint64))
         for batch in batches:
             for first, end, data, offsets in K.blocks(batch.column(1)):
-                grams, counts = K.distinct_per_text(*K.text_grams(K.Words(data, offsets), words))
+                grams, counts = K.distinct_per_text(*K.text_grams(K.byte_words(data, offsets), words))
                 bounds = np.cumsum(counts) - counts
                 full = np.flatnonzero(counts)
                 s1, s2 = np.zeros(len(counts), np.uint64), np.zeros(len(counts), np.uint64)
@@ -87,7 +87,7 @@ def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, end, data, offsets in K.blocks(batch.column(1)):
-                grams, counts = K.distinct_per_text(*K.text_grams(K.Words(data, offsets), words))
+                grams, counts = K.distinct_per_text(*K.text_grams(K.byte_words(data, offsets), words))
                 bounds = np.cumsum(counts) - counts
                 values = [grams[b : b + n].tobytes() for b, n in zip(bounds, counts)]
                 yield pa.RecordBatch.from_arrays(
@@ -208,6 +208,37 @@ def _outsiders(colliding: DataFrame, labels: DataFrame) -> DataFrame:
     return members.unionByName(outside)
 
 
+def linked_classes(classes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
+    """``node`` and ``label`` (smallest linked rep) of the classes that have links.
+
+    ``classes`` has a row per different shingle set: ``rep`` and its bucket ``keys``.
+    ``sets_of(wanted)`` gives ``doc_id`` and ``shingles`` of the reps in ``wanted``.
+    """
+    buckets = classes.select("rep", F.explode("keys").alias("key")).distinct()
+    shared = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("rep").alias("hub"))
+    colliding = as_table(buckets.join(shared.filter("size > 1"), "key"), "buckets")
+    sets = as_table(sets_of(colliding.select("rep").distinct()), "sets").dropDuplicates(["doc_id"])
+
+    pairs = colliding.filter("rep != hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
+    links = as_table(confirmed(pairs, sets, percent), "links")
+    labels = as_table(components(links), "labels")
+
+    blocks = as_table(_outsiders(colliding, labels), "blocks")
+    filled = (
+        blocks.join(sets, blocks["rep"] == sets["doc_id"])
+        .select("key", "i", "j", "rep", "label", "outside", "shingles")
+        .repartition("key", "i", "j")
+        .sortWithinPartitions("key", "i", "j")
+    )
+    found = filled.mapInArrow(_block_links(percent), "a long, b long")
+    more = as_table(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "found")
+    # The blocks compare 32-bit hashes, which can only find too much; links count after the full check.
+    more = as_table(confirmed(more, sets, percent), "links")
+    # Joining the stars of the first round with the new links gives the final components.
+    stars = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
+    return as_table(components(stars.unionByName(more)), "labels")
+
+
 def near_duplicates(
     docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -232,35 +263,12 @@ def near_duplicates(
         .agg(F.min("doc_id").alias("rep"), F.first("keys").alias("keys")),
         "classes",
     )
-    buckets = classes.select("rep", F.explode("keys").alias("key")).distinct()
-    shared = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("rep").alias("hub"))
-    colliding = as_table(buckets.join(shared.filter("size > 1"), "key"), "buckets")
-
-    wanted = colliding.select("rep").distinct()
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    sets = as_table(
-        shingle_sets(texts.join(wanted, texts["doc_id"] == wanted["rep"], "left_semi"), words), "sets"
-    ).dropDuplicates(["doc_id"])
 
-    pairs = colliding.filter("rep != hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
-    links = as_table(confirmed(pairs, sets, percent), "links")
-    labels = as_table(components(links), "labels")
-
-    blocks = as_table(_outsiders(colliding, labels), "blocks")
-    filled = (
-        blocks.join(sets, blocks["rep"] == sets["doc_id"])
-        .select("key", "i", "j", "rep", "label", "outside", "shingles")
-        .repartition("key", "i", "j")
-        .sortWithinPartitions("key", "i", "j")
-    )
-    found = filled.mapInArrow(_block_links(percent), "a long, b long")
-    more = as_table(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "found")
-    # The blocks compare 32-bit hashes, which can only find too much; links count after the full check.
-    more = as_table(confirmed(more, sets, percent), "links")
-    # Joining the stars of the first round with the new links gives the final components.
-    stars = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
-    final = as_table(components(stars.unionByName(more)), "labels")
+    def sets_of(wanted: DataFrame) -> DataFrame:
+        texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+        return shingle_sets(texts.join(wanted, texts["doc_id"] == wanted["rep"], "left_semi"), words)
 
+    final = linked_classes(classes.select("rep", "keys"), sets_of, percent)
     named = classes.join(final, classes["rep"] == final["node"], "left").select(
         *identity, F.coalesce("label", "rep").alias("component_id")
     )

@@ -67,40 +67,62 @@ def blocks(column: pa.Array, most: int = BLOCK_BYTES) -> Iterator[tuple[int, int
 
 
 class Words:
-    """Words of a block: ``[^\\x20\\x09-\\x0D]+`` runs that never cross texts."""
+    """Words of a block: runs of characters that are ``inside``, never crossing texts.
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool = True):
-        self.texts = len(offsets) - 1
-        inside = ~IS_SPACE[data]
-        before = np.empty(len(data), dtype=bool)
+    ``codes`` is a 64-bit code per character; a word's hash is a polynomial in them.
+    Without codes the words are not hashed.
+    """
+
+    def __init__(self, inside: np.ndarray, codes: np.ndarray | None, offsets: np.ndarray):
+        before = np.empty(len(inside), dtype=bool)
         before[1:] = inside[:-1]
-        begins = offsets[:-1][offsets[:-1] < len(data)]
-        before[begins] = False
+        before[offsets[:-1][offsets[:-1] < len(inside)]] = False
         self.starts = np.flatnonzero(inside & ~before)
-        after = np.empty(len(data), dtype=bool)
+        after = np.empty(len(inside), dtype=bool)
         after[:-1] = inside[1:]
-        ends = offsets[1:][offsets[1:] > 0] - 1
-        after[ends] = False
+        after[offsets[1:][offsets[1:] > 0] - 1] = False
         self.ends = np.flatnonzero(inside & ~after) + 1
         # first[t] .. first[t + 1] are the words of text t
         self.first = np.searchsorted(self.starts, offsets)
-        self.hashes = self._hashes(LOWER[data] if lower else data)
-
-    def _hashes(self, data: np.ndarray) -> np.ndarray:
-        """A 64-bit hash per word: a polynomial in its bytes' codes, mixed with its length."""
-        if not len(self.starts):
-            return np.zeros(0, np.uint64)
-        lengths = self.ends - self.starts
-        total = int(lengths.sum())
-        bounds = np.cumsum(lengths) - lengths
-        place = np.arange(total) - np.repeat(bounds, lengths)
-        codes = BYTE_CODES[data[place + np.repeat(self.starts, lengths)]]
-        codes *= powers(BASE, int(lengths.max()))[place]
-        return mix(np.add.reduceat(codes, bounds) ^ lengths.astype(np.uint64))
+        if codes is not None:
+            self.hashes = span_hashes(codes, self.starts, self.ends)
 
     def counts(self) -> np.ndarray:
         return np.diff(self.first)
 
+    def texts(self) -> np.ndarray:
+        """The text of each word."""
+        return np.repeat(np.arange(len(self.first) - 1), self.counts())
+
+
+def byte_words(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> Words:
+    """Words ``[^\\x20\\x09-\\x0D]+``, with A-Z lower-cased if asked."""
+    return Words(~IS_SPACE[data], BYTE_CODES[LOWER[data] if lower else data], offsets)
+
+
+def span_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each span: a polynomial in its codes, mixed with its length."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    lengths = ends - starts
+    out = np.zeros(len(starts), np.uint64)
+    some = lengths > 0
+    starts, lengths = starts[some], lengths[some]
+    if len(starts):
+        bounds = np.cumsum(lengths) - lengths
+        place = np.arange(int(lengths.sum())) - np.repeat(bounds, lengths)
+        terms = codes[place + np.repeat(starts, lengths)]
+        terms *= powers(BASE, int(lengths.max()))[place]
+        out[some] = mix(np.add.reduceat(terms, bounds) ^ lengths.astype(np.uint64))
+    return out
+
+
+def count_per_text(marks: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Number of marked characters of each text."""
+    upto = np.zeros(len(marks) + 1, np.int64)
+    np.cumsum(marks, out=upto[1:])
+    return upto[offsets[1:]] - upto[offsets[:-1]]
+
 
 def gram_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
     """Hash of each run of ``n`` consecutive hashes."""
@@ -151,6 +173,14 @@ def distinct_per_text(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarra
     return values[new], np.bincount(text[new], minlength=len(counts)).astype(np.int64)
 
 
-def segment_reduce(how: np.ufunc, values: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """``how.reduceat`` per run of ``counts`` values; runs must not be empty."""
-    return how.reduceat(values, np.cumsum(counts) - counts)
+def sliding(how: np.ufunc, values: np.ndarray, width: int) -> np.ndarray:
+    """``how`` (minimum or maximum) of each ``width`` consecutive unsigned values."""
+    n = len(values) - width + 1
+    if n <= 0:
+        return values[:0]
+    # Never wins inside a whole window: windows do not reach into the padding.
+    rows = np.concatenate([values, np.zeros(-len(values) % width, values.dtype)]).reshape(-1, width)
+    ahead = how.accumulate(rows, axis=1).ravel()
+    back = how.accumulate(rows[:, ::-1], axis=1)[:, ::-1].ravel()
+    # A window is the end of one row and the beginning of the next.
+    return how(back[:n], ahead[width - 1 : width - 1 + n])
