@@ -2,9 +2,22 @@
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from claimloom.llm import minhash, suffixes
+from claimloom.llm import (
+    decontaminate,
+    hosts,
+    language,
+    lines,
+    minhash,
+    packing,
+    passages,
+    quality,
+    secrets,
+    suffixes,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -31,6 +44,96 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
 
 
+@query("op2_quality_rules")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality"
+    )
+
+
+@query("op3_decontamination")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op4_suffix_array")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.without_repeats(table(spark, sf_dir, "documents"), length=400)
+
+
+@query("op5_secret_scan")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
+OP6_SQL = """
+WITH given AS (
+    SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+),
+numbered AS (
+    SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS pos FROM given
+),
+keyed AS (
+    SELECT doc_id, pos, line, translate(
+        trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS line_key
+    FROM numbered
+),
+repeated AS (
+    SELECT line_key, max(doc_id) AS keeper FROM keyed
+    WHERE length(line_key) >= 20
+    GROUP BY line_key HAVING count(DISTINCT doc_id) >= 3
+),
+marked AS (
+    SELECT k.doc_id, k.pos, k.line, r.keeper IS NULL OR r.keeper = k.doc_id AS stays
+    FROM keyed k LEFT JOIN repeated r ON k.line_key = r.line_key
+)
+SELECT doc_id,
+       CAST(count(*) AS BIGINT) AS n_lines,
+       CAST(count(*) FILTER (WHERE NOT stays) AS BIGINT) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE stays), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+
+@query("op6_line_dedup", OP6_SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.without_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        F.col("__n_lines").alias("n_lines"),
+        F.col("__n_dropped").alias("n_dropped"),
+        F.sha2("text", 256).alias("kept_sha256"),
+    )
+
+
+@query("op7_language_id")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.predict(table(spark, sf_dir, "documents"))
+
+
+URL_RULES = (
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+)
+
+
+@query("op8_url_filter")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hosts.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def vocabulary() -> str:
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op9_packing")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"), vocabulary())
+
+
+@query("op10_substring_dedup")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))
