@@ -18,6 +18,7 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--inpatient", required=True)
     job.add_argument("--outpatient", required=True)
     job.add_argument("--output", required=True)
+    job.add_argument("--rejects", default=None, help="folder for rows with unreadable cells; default: they end the job")
     job = jobs.add_parser("train", help="validate, tune, fit, compare and export models")
     job.add_argument("--claims", required=True)
     job.add_argument("--income", required=True)
@@ -27,6 +28,13 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--models", required=True)
     job.add_argument("--output", required=True)
     job.add_argument("--no-explanations", action="store_true")
+    job = jobs.add_parser("stream-score", help="score requests as their files arrive")
+    job.add_argument("--requests", required=True, help="folder of JSON files")
+    job.add_argument("--models", required=True)
+    job.add_argument("--output", required=True)
+    job.add_argument("--checkpoint", required=True)
+    job.add_argument("--no-explanations", action="store_true")
+    job.add_argument("--until-empty", action="store_true", help="end when all present files are scored")
     job = jobs.add_parser("drift", help="compare a batch with the training fold")
     job.add_argument("--claims", required=True)
     job.add_argument("--income", required=True)
@@ -43,8 +51,10 @@ def main(arguments: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName(f"claimloom {options.job}").getOrCreate()
     if options.job == "rollup":
         merged = rollup.merged_claims(
-            tables.load_raw_extract(spark, options.inpatient),
-            tables.load_raw_extract(spark, options.outpatient),
+            *[
+                tables.load_raw_extract(spark, path, options.rejects and f"{options.rejects}/{side}")
+                for side, path in (("inpatient", options.inpatient), ("outpatient", options.outpatient))
+            ]
         )
         tables.write_claims(merged, options.output)
     elif options.job == "train":
@@ -52,10 +62,20 @@ def main(arguments: list[str] | None = None) -> None:
         training.run(spark, claims, tables.load_income(spark, options.income), options.models)
     elif options.job == "score":
         bundle = bundles.load_bundle(spark, options.models)
-        accepted, rejected = stream.check_requests(tables.load_current(spark, options.requests))
+        accepted, rejected = stream.check_requests(tables.load_current(spark, options.requests, typed=False))
         scored = stream.score_requests(bundle, accepted, not options.no_explanations)
         scored.write.mode("overwrite").parquet(f"{options.output}/scores")
         rejected.write.mode("overwrite").parquet(f"{options.output}/rejected")
+    elif options.job == "stream-score":
+        running = stream.start_scoring(
+            stream.read_requests(spark, options.requests),
+            bundles.load_bundle(spark, options.models),
+            options.output,
+            options.checkpoint,
+            not options.no_explanations,
+            **({"availableNow": True} if options.until_empty else {"processingTime": "30 seconds"}),
+        )
+        running.awaitTermination()
     else:
         claims = tables.load_claims(spark, options.claims)
         income = tables.load_income(spark, options.income)

@@ -23,14 +23,18 @@ def drop_incomplete(frame: DataFrame, columns: Sequence[str] | None = None) -> D
     return frame.dropna("any", subset=list(columns) if columns else None)
 
 
-def parse_currency(column: Column | str) -> Column:
-    """Number in a currency text; null when nothing numeric is left.
+def bare_number(column: Column | str) -> Column:
+    """A currency text without its marks and white space.
 
     U+00A0 is named on its own because Java's white-space class leaves it out.
     """
     text = (F.col(column) if isinstance(column, str) else column).cast("string")
-    bare = F.regexp_replace(text, r"[$,\s\u00A0]", "")
-    number = bare.try_cast("double")
+    return F.regexp_replace(text, r"[$,\s\u00A0]", "")
+
+
+def parse_currency(column: Column | str) -> Column:
+    """Number in a currency text; null when nothing numeric is left."""
+    number = bare_number(column).try_cast("double")
     return F.when(F.isnan(number), F.lit(None)).otherwise(number)
 
 

@@ -94,17 +94,23 @@ def _bucket_edges(frame: DataFrame, order: str, rows: int) -> list[float]:
     return sorted(set(frame.agg(edges.alias("edges")).first()["edges"] or []))
 
 
+def ordered_value(column: str) -> Column:
+    """Whether a number can be ordered: neither null nor NaN."""
+    return F.col(column).isNotNull() & ~F.isnan(F.col(column).cast("double"))
+
+
 def running_totals(
     frame: DataFrame, by: Sequence[str], order: str, sums: Sequence[str]
 ) -> DataFrame:
     """Running totals of ``sums`` in ``order`` within each ``by`` group.
 
     ``frame`` holds one row per group and value and its groups are few (columns,
-    classes). Adds ``before_<c>`` (excluding the row), ``total_<c>`` and
+    classes). Rows whose value has no place in the order (null or NaN) take no part,
+    neither in the result nor in the totals. Adds ``before_<c>`` (excluding the row), ``total_<c>`` and
     ``next_value`` (the following value of the group, null at its end).
     """
     by = list(by)
-    frame = as_table(frame, "ordered")
+    frame = as_table(frame.filter(ordered_value(order)), "ordered")
     rows = frame.count()
     edges = _bucket_edges(frame, order, rows) if rows > WINDOW_ROWS else []
     if edges:
@@ -154,7 +160,7 @@ def exact_quantiles(
     """
     by = list(by)
     counts = (
-        frame.filter(F.col(value).isNotNull())
+        frame.filter(ordered_value(value))
         .groupBy(*by, value)
         .agg(F.count(F.lit(1)).alias("n"))
     )

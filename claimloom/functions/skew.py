@@ -1,106 +1,45 @@
-"""Joins that stay balanced when one key holds a large part of the rows."""
+"""Joins that stay balanced when one key holds a large part of the rows.
+
+Adaptive execution splits an oversized partition of a sort-merge join by its map outputs, also
+when a single key fills it: the rows side of a lookup, the larger side of a
+many-to-many join. Inputs are read once and no key has to be counted beforehand.
+"""
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.functions.storage import as_table
-
-# A key is hot when it alone holds more than this share of the rows and more rows
-# than one task takes easily. There are never more than 1 / HOT_SHARE hot keys, so
-# their list is safe to hold and to broadcast.
-HOT_SHARE = 1 / 1000
-HOT_ROWS = 1_000_000
-
-# Lookup tables up to this many rows are broadcast; larger ones are shuffled.
+# Lookup tables up to this many rows and estimated bytes are broadcast; larger ones are shuffled.
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64_000_000
 
-
-def broadcast_if_small(table: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark ``table`` for broadcast only after counting that it is small."""
-    if table.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(table)
-    return table
+_WIDTHS = {"int": 4, "bigint": 8, "double": 8, "float": 4, "boolean": 1, "date": 4, "timestamp": 8}
 
 
-def hot_keys(
-    frame: DataFrame, keys: Sequence[str], share: float = HOT_SHARE, least: int | None = None
-) -> DataFrame | None:
-    """Keys holding more than ``share`` of the rows, or ``None`` when there are none."""
-    least = HOT_ROWS if least is None else least
-    total = frame.count()
-    if total <= least:
-        return None
-    counts = frame.groupBy(*keys).agg(F.count(F.lit(1)).alias("key_rows"))
-    found = counts.filter(F.col("key_rows") > max(share * total, least)).collect()
-    if not found:
-        return None
-    return frame.sparkSession.createDataFrame(found, counts.schema)
+def _row_bytes(table: DataFrame) -> int:
+    """Bytes of a row of fixed-width columns; texts and the rest are measured by the caller."""
+    return sum(_WIDTHS.get(f.dataType.simpleString(), 0) for f in table.schema)
 
 
-def _no_nulls(keys: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+def broadcast_if_small(table: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Mark ``table`` for broadcast only after measuring that it is small."""
+    wide = [f.name for f in table.schema if f.dataType.simpleString() not in _WIDTHS]
+    texts = [F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)) for c in wide]
+    size = sum(texts, F.lit(_row_bytes(table)))
+    found = table.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("rows"), F.sum(size).alias("bytes")).first()
+    if found["rows"] <= max_rows and (found["bytes"] or 0) <= max_bytes:
+        return F.broadcast(table)
+    return table
 
 
 def lookup_join(
     rows: DataFrame, table: DataFrame, keys: Sequence[str], how: str = "left"
 ) -> DataFrame:
-    """Join ``rows`` with a ``table`` that has one row per key.
-
-    Rows of hot keys never move: the few table rows they need are broadcast to
-    them. Rows with a null key match nothing and skip the join. Only the rest is
-    shuffled, and no key in it is hot. Without hot keys this is a plain join.
-    """
-    keys = list(keys)
-    hot = hot_keys(rows, keys)
-    if hot is None:
-        return rows.join(table, keys, how)
-    hot = F.broadcast(hot.select(*keys).filter(_no_nulls(keys)))
-    keyed = rows.filter(_no_nulls(keys))
-    hot_table = F.broadcast(table.join(hot, keys, "left_semi"))
-    spread = keyed.join(hot, keys, "left_semi").join(hot_table, keys, how)
-    shuffled = keyed.join(hot, keys, "left_anti").join(table, keys, how)
-    joined = spread.unionByName(shuffled)
-    if how in ("left", "left_anti"):
-        unkeyed = rows.filter(~_no_nulls(keys))
-        joined = joined.unionByName(unkeyed, allowMissingColumns=True)
-    return joined
+    """Join ``rows`` with a ``table`` that has one row per key; ``rows`` may be skewed."""
+    return rows.join(table, list(keys), how)
 
 
 def fan_out_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Inner many-to-many join that splits keys with a large product of rows.
-
-    A key producing a hot share of all output rows is cut into pieces: its left
-    rows are spread by hash, its right rows are copied once per piece. ``left``
-    should hold distinct rows (a roll-up does), so the hash spreads them. Both
-    sides are stored first: counting their keys then reads one column instead of
-    computing the roll-ups again.
-    """
-    left, right = as_table(left, "left"), as_table(right, "right")
-    per_left = left.groupBy(key).agg(F.count(F.lit(1)).alias("l_rows"))
-    per_right = right.groupBy(key).agg(F.count(F.lit(1)).alias("r_rows"))
-    pairs = per_left.join(per_right, key).select(
-        key, "l_rows", (F.col("l_rows").cast("double") * F.col("r_rows")).alias("out_rows")
-    )
-    allowed = max(HOT_SHARE * (pairs.agg(F.sum("out_rows")).first()[0] or 0), HOT_ROWS)
-    pieces = F.least(F.ceil(F.col("out_rows") / F.lit(allowed)), F.col("l_rows")).cast("int")
-    found = pairs.filter(F.col("out_rows") > allowed).select(key, pieces.alias("pieces"))
-    rows = found.collect()
-    if not rows:
-        return left.join(right, key)
-    hot = F.broadcast(left.sparkSession.createDataFrame(rows, found.schema))
-    spread = (
-        left.join(hot, key, "left")
-        .withColumn("pieces", F.coalesce("pieces", F.lit(1)))
-        .withColumn("piece", F.pmod(F.xxhash64(*left.columns), F.col("pieces")).cast("int"))
-        .drop("pieces")
-    )
-    copied = (
-        right.join(hot, key, "left")
-        .withColumn("pieces", F.coalesce("pieces", F.lit(1)))
-        .withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
-        .drop("pieces")
-    )
-    return spread.join(copied, [key, "piece"]).drop("piece")
+    """Inner many-to-many join; either side may be skewed."""
+    return left.join(right, key)

@@ -18,6 +18,9 @@ from claimloom.operators.encoders import FEATURE_VECTOR, feature_names
 # Every feature doubles the number of coalitions.
 MAX_FEATURES = 12
 
+# Different background vectors.
+MAX_BACKGROUND = 2_000
+
 # Pairs of a vector and a background row per task.
 BLENDS_PER_TASK = 20_000
 
@@ -62,13 +65,20 @@ def _output(model: Model, classes: int) -> Column:
 
 
 def background_vectors(fitted: PipelineModel, background: DataFrame) -> list[tuple[list, float]]:
-    """Distinct background vectors with their shares; the sample is small by design."""
-    encoded = preprocessor_of(fitted).transform(background.limit(S.BACKGROUND_ROWS))
+    """Distinct background vectors with their shares; all rows of the background count.
+
+    They become part of the plan, so a background with very many different vectors is an
+    error: draw a sample first (``splits.sample_rows``).
+    """
+    encoded = preprocessor_of(fitted).transform(background)
     rows = (
         encoded.groupBy(vector_to_array(FEATURE_VECTOR).alias("b"))
         .agg(F.count(F.lit(1)).alias("n"))
+        .limit(MAX_BACKGROUND + 1)
         .collect()
     )
+    if len(rows) > MAX_BACKGROUND:
+        raise ValueError(f"more than {MAX_BACKGROUND} different background vectors; draw a sample")
     total = sum(r.n for r in rows)
     return sorted((list(r.b), r.n / total) for r in rows)
 

@@ -55,6 +55,8 @@ class Sizes:
     rounds: int = 400
     round_depth: int = 6
     rate: float = 0.1
+    # Fewer bins than code frequencies would merge values before a tree sees them.
+    max_bins: int = 256
     row_share: float = 0.9
     feature_share: str = "0.9"
     alpha: float = 1.0
@@ -79,6 +81,7 @@ class _BoostingParams(
     minInstancesPerNode = Param(
         Params._dummy(), "minInstancesPerNode", "least rows per leaf", TypeConverters.toInt
     )
+    maxBins = Param(Params._dummy(), "maxBins", "bins per feature", TypeConverters.toInt)
     parallelism = Param(
         Params._dummy(), "parallelism", "classes fitted at a time", TypeConverters.toInt
     )
@@ -96,7 +99,7 @@ class BoostedClassifier(Estimator, _BoostingParams, DefaultParamsReadable, Defau
         super().__init__()
         self._setDefault(
             numClasses=len(S.TIERS), maxIter=400, maxDepth=6, stepSize=0.1, subsamplingRate=0.9,
-            featureSubsetStrategy="0.9", minInstancesPerNode=1, parallelism=2, seed=S.SEED,
+            featureSubsetStrategy="0.9", minInstancesPerNode=1, maxBins=256, parallelism=2, seed=S.SEED,
             labelCol=LABEL, featuresCol="features", predictionCol="prediction",
             probabilityCol="probability",
         )
@@ -113,7 +116,7 @@ class BoostedClassifier(Estimator, _BoostingParams, DefaultParamsReadable, Defau
             maxDepth=get(self.maxDepth), stepSize=get(self.stepSize),
             subsamplingRate=get(self.subsamplingRate),
             featureSubsetStrategy=get(self.featureSubsetStrategy),
-            minInstancesPerNode=get(self.minInstancesPerNode), seed=get(self.seed),
+            minInstancesPerNode=get(self.minInstancesPerNode), maxBins=get(self.maxBins), seed=get(self.seed),
         )
         if weighted:
             shared["weightCol"] = self.getWeightCol()
@@ -211,17 +214,17 @@ def classifiers(sizes: Sizes = Sizes(), seed: int = S.SEED) -> dict[str, Estimat
         "knn": NeighbourClassifier(k=sizes.neighbours, labelCol=LABEL),
         "decision_tree": DecisionTreeClassifier(
             labelCol=LABEL, weightCol=WEIGHT, maxDepth=sizes.tree_depth,
-            minInstancesPerNode=sizes.tree_leaf, seed=seed,
+            minInstancesPerNode=sizes.tree_leaf, maxBins=sizes.max_bins, seed=seed,
         ),
         "random_forest": RandomForestClassifier(
             labelCol=LABEL, weightCol=WEIGHT, numTrees=sizes.forest_trees,
             maxDepth=sizes.forest_depth, minInstancesPerNode=sizes.forest_leaf,
-            featureSubsetStrategy="sqrt", seed=seed,
+            featureSubsetStrategy="sqrt", maxBins=sizes.max_bins, seed=seed,
         ),
         "boosted_trees": BoostedClassifier(
             labelCol=LABEL, weightCol=WEIGHT, maxIter=sizes.rounds, maxDepth=sizes.round_depth,
             stepSize=sizes.rate, subsamplingRate=sizes.row_share,
-            featureSubsetStrategy=sizes.feature_share, seed=seed,
+            featureSubsetStrategy=sizes.feature_share, maxBins=sizes.max_bins, seed=seed,
         ),
     }
 
@@ -244,11 +247,13 @@ def regressors(
         ),
         "random_forest_regressor": RandomForestRegressor(
             labelCol=target, numTrees=sizes.forest_trees, maxDepth=sizes.forest_depth,
-            minInstancesPerNode=sizes.forest_leaf, featureSubsetStrategy="all", seed=seed,
+            minInstancesPerNode=sizes.forest_leaf, featureSubsetStrategy="all",
+            maxBins=sizes.max_bins, seed=seed,
         ),
         "boosted_regressor": GBTRegressor(
             labelCol=target, maxIter=sizes.rounds, maxDepth=sizes.round_depth, stepSize=sizes.rate,
-            subsamplingRate=sizes.row_share, featureSubsetStrategy=sizes.feature_share, seed=seed,
+            subsamplingRate=sizes.row_share, featureSubsetStrategy=sizes.feature_share,
+            maxBins=sizes.max_bins, seed=seed,
         ),
     }
 

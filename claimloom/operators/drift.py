@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimloom import settings as S
-from claimloom.functions.ranks import exact_quantiles, running_totals
+from claimloom.functions.ranks import exact_quantiles, ordered_value, running_totals
 from claimloom.functions.storage import as_table
 from claimloom.operators.profile import unpivot
 
@@ -16,6 +16,9 @@ from claimloom.operators.profile import unpivot
 MIN_DEVIATION = 0.001
 EMPTY_SHARE = 0.0001
 
+# Score of a column that has values on one side only; without values on both sides it is 0.
+FULL_DRIFT = 1.0
+
 
 def column_roles(
     reference: DataFrame,
@@ -47,24 +50,42 @@ def _stacked_counts(
     )
 
 
+def _one_row_each(scores: DataFrame, columns: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """A row for every requested column, also when it holds no value at all."""
+    asked = scores.sparkSession.createDataFrame([(c,) for c in columns], "column_name string")
+    return asked.join(scores, "column_name", "left").select(
+        "column_name", *[F.coalesce(F.col(n), F.lit(0.0)).alias(n) for n in names]
+    )
+
+
 def numeric_drift(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Scaled Wasserstein-1 distance and two-sample KS statistic per column."""
+    """Scaled Wasserstein-1 distance and two-sample KS statistic per column.
+
+    Null and NaN are no values. A column with values on one side only scores ``FULL_DRIFT``.
+    """
     counts = _stacked_counts(reference, current, columns, "double")
     ordered = running_totals(counts, ["column_name"], "value", ["ref", "cur"])
     gap = F.abs(
-        (F.col("before_ref") + F.col("ref")) / F.col("total_ref")
-        - (F.col("before_cur") + F.col("cur")) / F.col("total_cur")
+        F.try_divide(F.col("before_ref") + F.col("ref"), F.col("total_ref"))
+        - F.try_divide(F.col("before_cur") + F.col("cur"), F.col("total_cur"))
     )
+    one_side = (F.max("total_ref") == 0) | (F.max("total_cur") == 0)
     distances = ordered.groupBy("column_name").agg(
         F.coalesce(F.sum(gap * (F.col("next_value") - F.col("value"))), F.lit(0.0)).alias("distance"),
         F.max(gap).alias("ks"),
+        one_side.alias("one_side"),
     )
-    spread = unpivot(reference, columns, "double").groupBy("column_name").agg(
-        F.greatest(F.stddev_pop("value"), F.lit(MIN_DEVIATION)).alias("deviation")
+    spread = (
+        unpivot(reference, columns, "double").filter(ordered_value("value")).groupBy("column_name").agg(
+            F.greatest(F.stddev_pop("value"), F.lit(MIN_DEVIATION)).alias("deviation")
+        )
     )
-    return distances.join(F.broadcast(spread), "column_name").select(
-        "column_name", (F.col("distance") / F.col("deviation")).alias("wasserstein"), "ks"
+    scores = distances.join(F.broadcast(spread), "column_name", "left").select(
+        "column_name",
+        F.when(F.col("one_side"), FULL_DRIFT).otherwise(F.col("distance") / F.col("deviation")).alias("wasserstein"),
+        F.when(F.col("one_side"), FULL_DRIFT).otherwise(F.col("ks")).alias("ks"),
     )
+    return _one_row_each(scores, columns, ("wasserstein", "ks"))
 
 
 def _divergence(p: Column, q: Column) -> Column:
@@ -81,23 +102,32 @@ def _stability(p: Column, q: Column) -> Column:
 
 
 def categorical_drift(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Jensen-Shannon distance, chi-square statistic and stability index per column."""
+    """Jensen-Shannon distance, chi-square statistic and stability index per column.
+
+    A column with values on one side only has the distance ``FULL_DRIFT`` and a
+    chi-square of 0, because no counts can be expected for the other side.
+    """
     counts = _stacked_counts(reference, current, columns, "string")
     totals = counts.groupBy("column_name").agg(
         F.sum("ref").cast("double").alias("ref_rows"), F.sum("cur").cast("double").alias("cur_rows")
     )
     cells = counts.join(F.broadcast(totals), "column_name")
-    p, q = F.col("ref") / F.col("ref_rows"), F.col("cur") / F.col("cur_rows")
+    p, q = (
+        F.coalesce(F.try_divide(F.col(c), F.col(n)), F.lit(0.0)) for c, n in (("ref", "ref_rows"), ("cur", "cur_rows"))
+    )
     pooled = (F.col("ref") + F.col("cur")) / (F.col("ref_rows") + F.col("cur_rows"))
     chi = sum(
-        F.try_divide(F.pow(F.col(c) - pooled * F.col(n), F.lit(2)), pooled * F.col(n))
+        F.coalesce(F.try_divide(F.pow(F.col(c) - pooled * F.col(n), F.lit(2)), pooled * F.col(n)), F.lit(0.0))
         for c, n in (("ref", "ref_rows"), ("cur", "cur_rows"))
     )
-    return cells.groupBy("column_name").agg(
-        F.sqrt(F.greatest(F.sum(_divergence(p, q)), F.lit(0.0))).alias("jensen_shannon"),
+    one_side = (F.max("ref_rows") == 0) | (F.max("cur_rows") == 0)
+    distance = F.sqrt(F.greatest(F.sum(_divergence(p, q)), F.lit(0.0)))
+    scores = cells.groupBy("column_name").agg(
+        F.when(one_side, FULL_DRIFT).otherwise(distance).alias("jensen_shannon"),
         F.sum(chi).alias("chi_square"),
         F.sum(_stability(p, q)).alias("psi"),
     )
+    return _one_row_each(scores, columns, ("jensen_shannon", "chi_square", "psi"))
 
 
 def column_scores(
@@ -165,7 +195,9 @@ def batch_drift(
     """Jensen-Shannon distance of every batch from one reference, per column.
 
     Numbers are compared by the reference bins in ``edges``. A value absent from a
-    batch adds half its reference share, so batches need not be filled up first.
+    batch adds half its reference share, so batches need not be filled up first. Every batch
+    seen has a row for every column; a column without values in it, or in the
+    reference, scores ``FULL_DRIFT``, or 0 when neither has any.
     """
 
     def as_text(frame: DataFrame) -> DataFrame:
@@ -212,7 +244,21 @@ def drift_of_counts(
     )
     q = F.col("cur") / F.col("rows")
     absent = (1 - F.sum("p")) / 2
-    return cells.groupBy(batch, "column_name").agg(
-        F.max("rows").alias("rows"),
-        F.sqrt(F.greatest(F.sum(_divergence(F.col("p"), q)) + absent, F.lit(0.0))).alias("jensen_shannon"),
+    scores = cells.groupBy(batch, "column_name").agg(
+        F.max("rows").alias("known_rows"),
+        F.sqrt(F.greatest(F.sum(_divergence(F.col("p"), q)) + absent, F.lit(0.0))).alias("score"),
+    )
+    names = F.array(*[F.lit(c) for c in columns])
+    asked = counts.select(batch).distinct().select(batch, F.explode(names).alias("column_name"))
+    # One row per column.
+    known_reference = F.broadcast(ref_totals)
+    return (
+        asked.join(scores, [batch, "column_name"], "left")
+        .join(known_reference, "column_name", "left")
+        .select(
+            batch,
+            "column_name",
+            F.coalesce("known_rows", F.lit(0)).cast("long").alias("rows"),
+            F.coalesce("score", F.when(F.col("ref_rows") > 0, FULL_DRIFT), F.lit(0.0)).alias("jensen_shannon"),
+        )
     )

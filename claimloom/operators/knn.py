@@ -298,6 +298,10 @@ def k_grid(rows: DataFrame, classes: list, ks: list[int], folds: int = 5, seed:
     return scores
 
 
+# Parts in which the copies of one training vector are thinned out first.
+COPY_PARTS = 256
+
+
 class _NeighbourParams(HasFeaturesCol, HasLabelCol, HasPredictionCol, HasProbabilityCol):
     k = Param(Params._dummy(), "k", "number of neighbours", TypeConverters.toInt)
     classes = Param(Params._dummy(), "classes", "class labels", TypeConverters.toListFloat)
@@ -315,16 +319,17 @@ class NeighbourClassifier(Estimator, _NeighbourParams, DefaultParamsReadable, De
     def _fit(self, dataset: DataFrame) -> "NeighbourModel":
         label = F.col(self.getLabelCol()).cast("double")
         vec = vector_to_array(self.getFeaturesCol())
-        # Equal vectors keep one row per label and copy, at most k of each.
-        copies = Window.partitionBy("vec").orderBy("label", "id")
+        # Of equal vectors k rows are enough. A hash that does not see the label chooses
+        # them, so labels keep their chances; first among parts of a vector's copies,
+        # then among what the parts kept.
         rows = (
             dataset.select(vec.alias("vec"), label.alias("label"))
             .withColumn("id", F.monotonically_increasing_id())
         )
-        rows = cut(rows)
-        kept = rows.withColumn("c", F.row_number().over(copies)).filter(
-            F.col("c") <= self.getOrDefault(self.k)
-        )
+        kept = cut(rows).withColumn("chance", F.xxhash64("id")).withColumn("part", F.pmod("chance", F.lit(COPY_PARTS)))
+        for copies in (("vec", "part"), ("vec",)):
+            place = F.row_number().over(Window.partitionBy(*copies).orderBy("chance", "id"))
+            kept = kept.withColumn("c", place).filter(F.col("c") <= self.getOrDefault(self.k))
         table = as_table(kept.select("id", "vec", "label"), "neighbours")
         classes = [r[0] for r in table.select("label").distinct().orderBy("label").collect()]
         top = int(max(classes)) + 1 if classes else 0

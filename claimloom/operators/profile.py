@@ -120,20 +120,13 @@ def frequency_table(frame: DataFrame, columns: Sequence[str], normalize: bool =
     )
 
 
-def codes_by_frequency(frame: DataFrame, column: str) -> DataFrame:
-    """Codes having each frequency, sorted, one line per three-character category.
-
-    The category keeps every list short: a validated code has at most four
-    characters more.
-    """
-    counts = frame.groupBy(F.col(column).alias("code")).agg(F.count(F.lit(1)).alias("frequency"))
+def codes_by_frequency(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Each code with how often it occurs, per column; the list of a frequency is its rows."""
     return (
-        counts.filter(F.col("code").isNotNull())
-        .groupBy("frequency", F.substring("code", 1, 3).alias("category"))
-        .agg(
-            F.count(F.lit(1)).alias("n_codes"),
-            F.array_join(F.array_sort(F.collect_list("code")), ", ").alias("codes"),
-        )
+        unpivot(frame, columns, "string")
+        .filter(F.col("value").isNotNull())
+        .groupBy("column_name", F.col("value").alias("code"))
+        .agg(F.count(F.lit(1)).alias("frequency"))
     )
 
 

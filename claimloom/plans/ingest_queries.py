@@ -1,11 +1,15 @@
 """Queries over raw claims, the merged claims table and its targets."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from claimloom import settings as S
 from claimloom.functions import clean
+from claimloom.functions.storage import shared_folder
 from claimloom.operators import enrich, profile, rollup
 from claimloom.plans.registry import query
+from claimloom.sources import tables as sources
 from claimloom.plans.sql import INCOME, MERGED, MODELING, RAW
 
 CLAIM_OUTPUT = [
@@ -34,6 +38,58 @@ def claims_table_scan(t):
     return claim_output(t.claims())
 
 
+def as_csv(t, name, frame):
+    """Write ``frame`` as CSV with its columns in reverse order; the reader goes by name."""
+    path = f"{shared_folder(t.spark)}/{t.spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}.csv"
+    frame.select(*reversed(frame.columns)).write.csv(path, header=True)
+    return path
+
+
+@query("claims_csv_scan", f"WITH {MERGED} SELECT {CLAIM_SQL} FROM claims")
+def claims_csv_scan(t):
+    """Claims written as CSV, charges as currency texts, and read again by name."""
+    marked = t.claims().withColumn(S.CHARGE_INP, F.concat(F.lit("$"), F.format_number(S.CHARGE_INP, 2)))
+    return claim_output(sources.load_claims(t.spark, as_csv(t, "claims", marked)))
+
+
+@query("income_csv_scan", f"WITH {INCOME} SELECT PRVDR_STATE_CD, STATE, Median_Income FROM income")
+def income_csv_scan(t):
+    return sources.load_income(t.spark, as_csv(t, "income", t.income_text()))
+
+
+@query(
+    "raw_extract_rejects",
+    f"""WITH {RAW}, cells AS (
+      SELECT CASE WHEN CLM_ID % 97 = 0 THEN 'BENE_ID' WHEN CLM_ID % 89 = 0 THEN 'CLM_TOT_CHRG_AMT'
+             ELSE 'none' END AS bad, CLM_TOT_CHRG_AMT FROM inp)
+    SELECT bad AS unreadable, count(*) AS rows,
+      CASE WHEN bad = 'none' THEN CAST(sum(CLM_TOT_CHRG_AMT) AS DOUBLE) END AS charges
+    FROM cells GROUP BY 1""",
+)
+def raw_extract_rejects(t):
+    """A raw extract with bad ids and bad amounts: what is kept, and why rows are rejected."""
+    bad_id, bad_amount = F.abs("CLM_ID") % 97 == 0, F.abs("CLM_ID") % 89 == 0
+    money = F.concat(F.lit("$"), F.format_number("CLM_TOT_CHRG_AMT", 2))
+    extract = t.raw_inpatient().withColumns(
+        {
+            "BENE_ID": F.when(bad_id, F.lit("n/a")).otherwise(F.col("BENE_ID").cast("string")),
+            "CLM_TOT_CHRG_AMT": F.when(bad_amount & ~bad_id, F.lit("twelve")).otherwise(money),
+        }
+    )
+    rejects = f"{shared_folder(t.spark)}/{t.spark.sparkContext.applicationId}/rejects-{uuid.uuid4().hex}"
+    kept = sources.load_raw_extract(t.spark, as_csv(t, "extract", extract), rejects)
+    reasons = t.spark.read.parquet(rejects).select(F.explode("errors").alias("error"))
+    return (
+        reasons.groupBy(F.substring_index("error", ":", 1).alias("unreadable"))
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .withColumn("charges", F.lit(None).cast("double"))
+        .unionByName(
+            kept.agg(F.count(F.lit(1)).alias("rows"), F.sum("CLM_TOT_CHRG_AMT").cast("double").alias("charges"))
+            .withColumn("unreadable", F.lit("none"))
+        )
+    )
+
+
 @query(
     "prepared_ids",
     f"""WITH {RAW}, prepared AS (SELECT * FROM inp UNION ALL SELECT * FROM outp)

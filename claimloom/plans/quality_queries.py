@@ -273,12 +273,13 @@ def log_charge_histogram(t):
 
 @query(
     "freq_inverted_index",
-    f"""WITH {MERGED}, f AS (SELECT PRNCPAL_DGNS_CD_inp AS code, count(*) AS frequency FROM claims GROUP BY 1)
-    SELECT frequency, substr(code, 1, 3) AS category, count(*) AS n_codes,
-      string_agg(code, ', ' ORDER BY code) AS codes FROM f GROUP BY 1, 2""",
+    f"""WITH {MERGED}, long AS (
+      SELECT 'PRNCPAL_DGNS_CD_inp' AS column_name, PRNCPAL_DGNS_CD_inp AS code FROM claims
+      UNION ALL SELECT 'PRNCPAL_DGNS_CD_out', PRNCPAL_DGNS_CD_out FROM claims)
+    SELECT column_name, code, count(*) AS frequency FROM long WHERE code IS NOT NULL GROUP BY 1, 2""",
 )
 def freq_inverted_index(t):
-    return profile.codes_by_frequency(t.claims(), S.CODE_COLUMNS[0])
+    return profile.codes_by_frequency(t.claims(), S.CODE_COLUMNS)
 
 
 @query(

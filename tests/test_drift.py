@@ -77,6 +77,29 @@ def test_batches_equal_separate_comparisons(frames):
         assert got[i] == pytest.approx(alone.jensen_shannon)
 
 
+def test_empty_columns_are_full_drift(spark):
+    """All rows of a column null in one table, in the other, in both."""
+    kinds = "a double, b double, c double, t string, u string, v string"
+    ref = spark.createDataFrame([(None, float(i), None, None, "x", None) for i in range(20)], kinds)
+    cur = spark.createDataFrame([(float(i), None, float("nan"), "y", None, None) for i in range(10)], kinds)
+    numeric = {r.column_name: r for r in drift.numeric_drift(ref, cur, ["a", "b", "c"]).collect()}
+    assert [(numeric[c].wasserstein, numeric[c].ks) for c in "abc"] == [(1, 1), (1, 1), (0, 0)]
+    texts = {r.column_name: r.jensen_shannon for r in drift.categorical_drift(ref, cur, ["t", "u", "v"]).collect()}
+    assert texts == {"t": 1, "u": 1, "v": 0}
+    scores = drift.column_scores(ref, cur, ["a", "b", "c"], ["t", "u", "v"]).collect()
+    assert {r.column_name for r in scores if r.drifted} == {"a", "b", "t", "u"} and len(scores) == 6
+
+
+def test_empty_batches_are_full_drift(spark):
+    ref = spark.createDataFrame([("x", None), ("x", None), ("y", None)], "c string, d string")
+    rows = [(1, "x", None), (1, "y", "z"), (2, None, None), (2, None, None)]
+    cur = spark.createDataFrame(rows, "batch int, c string, d string")
+    found = drift.batch_drift(ref, cur, "batch", ["c", "d"], {}).collect()
+    got = {(r.batch, r.column_name): (r.rows, r.jensen_shannon) for r in found}
+    assert got[1, "c"][0] == 2 and 0 < got[1, "c"][1] < 0.3
+    assert got[1, "d"] == (1, 1) and got[2, "c"] == (0, 1) and got[2, "d"] == (0, 0) and len(got) == 4
+
+
 def test_reference_bins_are_even(frames):
     from pyspark.sql import functions as F
 

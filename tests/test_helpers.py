@@ -19,36 +19,71 @@ def skewed(spark):
     return spark.createDataFrame(rows, "id long, k int").cache()
 
 
-def test_hot_keys_are_bounded_and_found(skewed):
-    hot = [r.k for r in skew.hot_keys(skewed, ["k"], 0.05, 0).collect()]
-    assert hot == [7]
-    assert skew.hot_keys(skewed, ["k"], 1 / 40, 0).count() <= 40
-    assert skew.hot_keys(skewed, ["k"]) is None
+@pytest.fixture
+def small_partitions(spark):
+    """Adaptive execution with limits that the small tables exceed, and no broadcast."""
+    settings = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.files.maxPartitionBytes": "100k",
+        "spark.sql.files.openCostInBytes": "1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def largest_task(joined):
+    """Rows in the fullest partition of a join's result."""
+    counted = joined.groupBy(F.spark_partition_id()).agg(F.count("text").alias("rows"), F.max("text"))
+    return max(r.rows for r in counted.collect())
 
 
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
-@pytest.mark.parametrize("least", [0, 10**6])
-def test_lookup_join_equals_plain_join(spark, skewed, monkeypatch, how, least):
-    monkeypatch.setattr(skew, "HOT_ROWS", least)
+def test_lookup_join_equals_plain_join(spark, skewed, how):
     table = spark.createDataFrame([(k, k * 10) for k in range(0, 300)], "k int, v int")
     plain = skewed.join(table, "k", how)
     ours = skew.lookup_join(skewed, table, ["k"], how).select(*plain.columns)
     assert sorted(map(str, ours.collect())) == sorted(map(str, plain.collect()))
 
 
-def test_rows_of_hot_keys_are_not_shuffled(spark, skewed, monkeypatch):
-    monkeypatch.setattr(skew, "HOT_ROWS", 100)
-    monkeypatch.setattr(skew, "HOT_SHARE", 0.05)
-    table = spark.createDataFrame([(k, k * 10) for k in range(0, 300)], "k int, v int")
-    hot = skew.hot_keys(skewed, ["k"])
-    assert [r.k for r in hot.collect()] == [7]
-    joined = skew.lookup_join(skewed, table, ["k"], "left")
-    assert joined.count() == skewed.count() and joined.filter("k = 7 AND v = 70").count() > 900
+def scans(frame):
+    """Scans of stored tables in the physical plan."""
+    return frame._jdf.queryExecution().executedPlan().toString().count("FileScan")
+
+
+@pytest.fixture(scope="module")
+def stored_hot(spark, tmp_path_factory):
+    """20,000 rows in 8 files, nine tenths of them on one key."""
+    path = str(tmp_path_factory.mktemp("hot") / "rows")
+    rows = spark.range(0, 20_000, 1, 8).select(
+        "id", F.when(F.col("id") % 10 > 0, 7).otherwise(F.col("id") % 300).cast("int").alias("k"), F.uuid().alias("text")
+    )
+    rows.write.parquet(path)
+    return spark.read.parquet(path)
+
 
+def test_rows_of_a_hot_key_go_to_many_tasks(spark, stored_hot, small_partitions):
+    table = spark.range(300).select(F.col("id").cast("int").alias("k"), (F.col("id") * 10).alias("v"))
+    joined = skew.lookup_join(stored_hot, table, ["k"], "left")
+    assert scans(joined) == 1
+    assert joined.count() == 20_000 and joined.filter("k = 7 AND v = 70").count() >= 18_000
+    assert largest_task(joined) < 6_000
 
-@pytest.mark.parametrize("least", [0, 50, 10**6])
-def test_fan_out_join_equals_plain_join(spark, monkeypatch, least):
-    monkeypatch.setattr(skew, "HOT_ROWS", least)
+
+def test_one_left_row_against_many(spark, stored_hot, small_partitions):
+    left = spark.createDataFrame([(7, "a"), (8, "b")], "k int, a string")
+    joined = skew.fan_out_join(left, stored_hot, "k")
+    assert joined.filter("k = 7").count() >= 18_000 and largest_task(joined) < 6_000
+
+
+def test_fan_out_join_equals_plain_join(spark):
     left = spark.createDataFrame(
         [(1, i) for i in range(300)] + [(k, k) for k in range(2, 50)], "k int, a int"
     )
@@ -64,6 +99,9 @@ def test_broadcast_only_when_small(spark):
     table = spark.range(100)
     assert skew.broadcast_if_small(table, 100) is not table
     assert skew.broadcast_if_small(table, 99) is table
+    texts = table.select(F.repeat(F.lit("x"), 1000).alias("t"))
+    assert skew.broadcast_if_small(texts, 100, 50_000) is texts
+    assert skew.broadcast_if_small(texts, 100, 200_000) is not texts
 
 
 def test_hash_cuts_take_exactly_the_share(spark):
@@ -102,10 +140,17 @@ def test_running_totals_equal_plain_cumulation(spark, both_sizes):
     assert len(got) == len(data)
 
 
+def test_values_without_an_order_take_no_part(spark, both_sizes):
+    rows = [("a", float(v), 1) for v in range(100)] + [("a", None, 50), ("a", math.nan, 70)]
+    frame = spark.createDataFrame(rows, "g string, v double, n int")
+    got = ranks.running_totals(frame, ["g"], "v", ["n"]).collect()
+    assert sorted(r.before_n for r in got) == list(range(100)) and {r.total_n for r in got} == {100}
+
+
 def test_exact_quantiles_equal_numpy(spark, both_sizes):
     draw = random.Random(6)
     numbers = [draw.choice([1.0, 2.0, 2.0, draw.uniform(0, 100)]) for _ in range(997)]
-    frame = spark.createDataFrame([("x", v) for v in numbers] + [("x", None)], "c string, v double")
+    frame = spark.createDataFrame([("x", v) for v in numbers] + [("x", None), ("x", math.nan)], "c string, v double")
     row = ranks.exact_quantiles(frame, ["c"], "v", {"a": 0.25, "b": 0.5, "d": 0.9}).first()
     assert [row.a, row.b, row.d] == pytest.approx(list(np.quantile(numbers, [0.25, 0.5, 0.9])))
 

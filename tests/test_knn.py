@@ -55,6 +55,14 @@ def test_vote_weights(spark):
     assert plain == {1: 0, 2: 0}
 
 
+def test_majority_of_equal_rows_wins(spark):
+    """5 rows of the lowest class and 95 of the highest on one vector."""
+    rows = [(Vectors.dense([1.0, 2.0]), 0.0 if i % 20 == 3 else 4.0) for i in range(100)]
+    frame = spark.createDataFrame(rows, ["features", "label"])
+    row = knn.NeighbourClassifier(k=5).fit(frame).transform(frame.limit(1)).first()
+    assert row.prediction == 4.0 and row.probability[4] >= 0.6
+
+
 def test_classifier_saves_and_scores(spark, tmp_path):
     draw = np.random.default_rng(1)
     rows = [

@@ -73,8 +73,8 @@ def test_covid_code_passes_and_procedure_code_is_reported(claims):
 
 
 def test_scoring_rules_list_every_reason(spark):
-    good = ("I10", "ZZZ999", "Y", 3, 7, 60510.0)
-    rows = [good, ("I10", "E119", "X", -1, 7, 0.0), (None, "", "Y", 3, 7, 1.0)]
+    good = ("C440", "ZZZ999", "Y", 4, 9, 39000.0)
+    rows = [good, ("C440", "L200", "X", -1, 7, 0.0), (None, "", "Y", 3, 7, 1.0)]
     frame = spark.createDataFrame(rows, S.FEATURE_SCHEMA)
     assert [tuple(r) for r in quality.accepted(frame, quality.scoring_rules()).collect()] == [good]
     reasons = sorted(len(r.errors) for r in quality.quarantine(frame, quality.scoring_rules()).collect())

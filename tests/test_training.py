@@ -34,7 +34,7 @@ def folds(modeling):
 
 
 def valid_claim(spark):
-    return spark.createDataFrame([("I10", "E119", "Y", 3, 7, 60510.0)], S.FEATURE_SCHEMA)
+    return spark.createDataFrame([("D110", "H100", "U", 5, 2, 71300.25)], S.FEATURE_SCHEMA)
 
 
 def test_candidate_names(spark):
@@ -96,6 +96,25 @@ def test_tier_prediction_is_well_formed(spark, bundle):
         assert row.model_name == bundle.classifier_name
 
 
+def test_all_background_rows_count(folds, bundle, monkeypatch):
+    train, _ = folds
+    one = train.select(*S.FEATURES).limit(1)
+    many = one
+    for _ in range(8):
+        many = many.unionByName(many)
+    other = train.select(*S.FEATURES).orderBy(F.desc(S.INCOME)).limit(1)
+    shares = attribution.background_vectors(bundle.classifier, many.unionByName(other))
+    assert sorted(round(s, 6) for _, s in shares) == [round(1 / 257, 6), round(256 / 257, 6)]
+    monkeypatch.setattr(attribution, "MAX_BACKGROUND", 1)
+    with pytest.raises(ValueError, match="draw a sample"):
+        attribution.background_vectors(bundle.classifier, many.unionByName(other))
+
+
+def test_bins_keep_code_frequencies_apart():
+    trees = [m for m in candidates.classifiers().values() if m.hasParam("maxBins")]
+    assert len(trees) == 3 and all(m.getOrDefault("maxBins") == 256 for m in trees)
+
+
 def test_without_background_contributions_are_empty(spark, bundle):
     bare = scoring.Bundle(bundle.classifier, bundle.regressor, bundle.metadata, None)
     row = scoring.predict_tier(bare, valid_claim(spark)).first()
@@ -202,7 +221,7 @@ def test_drift_job_from_files(spark, claims, income, exported, bundle, tmp_path)
 def test_score_job_from_files(spark, claims, exported, tmp_path):
     from claimloom.__main__ import main
 
-    rows = claims.limit(6).withColumn("Median_Income", F.lit(60510.0)).withColumn(
+    rows = claims.limit(6).withColumn("Median_Income", F.lit(52000.5)).withColumn(
         S.FLAG_COLUMN, F.when(F.col("BENE_ID") == claims.first().BENE_ID, "X").otherwise(F.col(S.FLAG_COLUMN))
     )
     rows.write.parquet(str(tmp_path / "in.parquet"))
