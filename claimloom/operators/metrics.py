@@ -162,7 +162,7 @@ def hand_till_auc(frame: DataFrame, scores: dict, label: str = "label") -> DataF
 def agreement_report(
     frame: DataFrame, label: str = "label", prediction: str = "prediction"
 ) -> DataFrame:
-    """Accuracy, kappa and per-class sensitivity and specificity."""
+    """Accuracy and kappa, and per class the usual rates of a class against the rest."""
     classes = per_class(confusion_counts(frame, label, prediction))
     whole = classes.agg(
         F.sum("support").cast("double").alias("n"),
@@ -182,6 +182,8 @@ def agreement_report(
     ).scalar()
     negatives = F.col("n") - F.col("support")
     false_alarms = F.col("predicted") - F.col("hits")
+    sensitivity = F.try_divide(F.col("hits"), F.col("support"))
+    specificity = F.try_divide(negatives - false_alarms, negatives)
     return (
         classes.withColumn("facts", facts)
         .select("*", "facts.n", "facts.accuracy", "facts.kappa")
@@ -189,8 +191,12 @@ def agreement_report(
             F.col("cls").alias("class"),
             "accuracy",
             "kappa",
-            F.try_divide(F.col("hits"), F.col("support")).alias("sensitivity"),
-            F.try_divide(negatives - false_alarms, negatives).alias("specificity"),
+            sensitivity.alias("sensitivity"),
+            specificity.alias("specificity"),
+            F.try_divide(F.col("hits"), F.col("predicted")).alias("positive_value"),
+            F.try_divide(negatives - false_alarms, F.col("n") - F.col("predicted")).alias("negative_value"),
+            F.try_divide(F.col("support"), F.col("n")).alias("prevalence"),
+            ((sensitivity + specificity) / 2).alias("balanced_accuracy"),
         )
     )
 

@@ -123,12 +123,17 @@ def hand_till_auc(t):
     SELECT cls AS class, round(accuracy, 6) AS accuracy,
       round((accuracy - chance / (n * n)) / (1 - chance / (n * n)), 6) AS kappa,
       round(CAST(hits AS DOUBLE) / nullif(support, 0), 6) AS sensitivity,
-      round((n - support - (predicted - hits)) / nullif(n - support, 0), 6) AS specificity
+      round((n - support - (predicted - hits)) / nullif(n - support, 0), 6) AS specificity,
+      round(CAST(hits AS DOUBLE) / nullif(predicted, 0), 6) AS positive_value,
+      round((n - support - (predicted - hits)) / nullif(n - predicted, 0), 6) AS negative_value,
+      round(support / n, 6) AS prevalence,
+      round((CAST(hits AS DOUBLE) / nullif(support, 0)
+        + (n - support - (predicted - hits)) / nullif(n - support, 0)) / 2, 6) AS balanced_accuracy
     FROM per_class, whole, row_metrics""",
 )
 def kappa_report(t):
     report = metrics.agreement_report(t.rule_scores())
-    numbers = ["accuracy", "kappa", "sensitivity", "specificity"]
+    numbers = [c for c in report.columns if c != "class"]
     return report.select("class", *[F.round(c, 6).alias(c) for c in numbers])
 
 
@@ -220,13 +225,15 @@ def select_best(t):
 @query(
     "leaderboard",
     f"""WITH {_CANDIDATES} SELECT model, round(accuracy, 6) AS accuracy, round(macro_f1, 6) AS macro_f1,
-      round(selection_score, 6) AS selection_score, model = 'inpatient_rule' AS production FROM ranked""",
+      round(selection_score, 6) AS selection_score,
+      row_number() OVER (ORDER BY selection_score DESC, ordinal) = 1 AS production FROM ranked""",
 )
 def leaderboard(t):
     names = ["accuracy", "macro_f1", "selection_score"]
     pairs = F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).alias("value")) for c in names])
     long = _candidate_results(t).select("model", F.inline(pairs))
-    board = metrics.leaderboard(long, names, "inpatient_rule")
+    winner = metrics.select_best(_candidate_results(t)).first()["model"]
+    board = metrics.leaderboard(long, names, winner)
     return board.select("model", *[F.round(c, 6).alias(c) for c in names], "production")
 
 

@@ -3,6 +3,7 @@
 import logging
 import uuid
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.functions import vector_to_array
@@ -18,6 +19,7 @@ from claimloom.operators.candidates import (
     WEIGHT,
     Sizes,
     classifiers,
+    feature_importance,
     fitting_regressors,
 )
 from claimloom.operators.encoders import FEATURE_VECTOR, build_preprocessor, with_class_weights
@@ -36,6 +38,14 @@ class Fitted:
 
     model: PipelineModel
     metrics: dict[str, float]
+    settings: dict[str, str]
+    confusion: DataFrame | None = None
+
+
+def settings_of(model: Estimator) -> dict[str, str]:
+    """All settings of a model, given or default, without the names of its columns."""
+    found = {p.name: model.getOrDefault(p) for p in model.params if model.isDefined(p)}
+    return {k: str(v) for k, v in sorted(found.items()) if not k.endswith("Col")}
 
 
 def ingest_and_validate(claims: DataFrame, income: DataFrame) -> DataFrame:
@@ -74,8 +84,8 @@ def tier_scores() -> dict[float, str]:
     return {float(i): f"__p{i}" for i in range(len(S.TIERS))}
 
 
-def evaluate_classifier(model: Model, test: DataFrame) -> dict[str, float]:
-    """Held-out metrics; the AUC is left out when a tier is absent from the test fold."""
+def evaluate_classifier(model: Model, test: DataFrame) -> tuple[dict[str, float], DataFrame]:
+    """Held-out metrics and confusion matrix; the AUC is left out when a tier is absent from the test fold."""
     scores = tier_scores()
     shares = vector_to_array("probability")
     scored = as_table(
@@ -88,7 +98,8 @@ def evaluate_classifier(model: Model, test: DataFrame) -> dict[str, float]:
     area = metrics.roc_auc_ovr(scored, scores).first()
     if area is not None:
         result["roc_auc_ovr"] = area["roc_auc_ovr"]
-    return result
+    tiers = scored.select(*[clean.to_tier(F.col(c)).alias(n) for c, n in ((LABEL, "label"), ("prediction", "prediction"))])
+    return result, metrics.confusion_matrix(tiers, S.TIERS)
 
 
 def evaluate_regressor(model: Model, test: DataFrame) -> dict[str, float]:
@@ -134,7 +145,8 @@ def train_classifiers(
         if tuned and name in tuned:
             model = model.copy({model.getParam(k): v for k, v in tuned[name].settings.items()})
         fitted, pipeline = data.fit(model)
-        results[name] = Fitted(pipeline, evaluate_classifier(fitted, data.test))
+        values, confusion = evaluate_classifier(fitted, data.test)
+        results[name] = Fitted(pipeline, values, settings_of(model), confusion)
         logger.info("%s %s", name, results[name].metrics)
     return results
 
@@ -144,18 +156,29 @@ def train_regressors(data: Encoded, sizes: Sizes = Sizes()) -> dict[str, Fitted]
     results = {}
     for name, model in fitting_regressors(data.train, sizes).items():
         fitted, pipeline = data.fit(model)
-        results[name] = Fitted(pipeline, evaluate_regressor(fitted, data.test))
+        results[name] = Fitted(pipeline, evaluate_regressor(fitted, data.test), settings_of(model))
         logger.info("%s %s", name, results[name].metrics)
     return results
 
 
-def best_classifier(results: dict[str, Fitted]) -> str:
-    """Highest selection score; the first listed wins ties."""
-    return max(results, key=lambda name: results[name].metrics["selection_score"])
+def best_model(spark: SparkSession, results: dict[str, Fitted], metric: str, lowest: bool = False) -> str:
+    """The candidate with the best metric; the first listed wins ties."""
+    rows = [(i, name, float(f.metrics[metric])) for i, (name, f) in enumerate(results.items())]
+    board = spark.createDataFrame(rows, f"ordinal int, model string, {metric} double")
+    return metrics.select_best(board, metric, lowest).first()["model"]
+
+
+def confusion_tables(tiers: dict[str, Fitted]) -> DataFrame:
+    """Confusion matrix of every classifier: a row per model and true tier."""
+    tables = [f.confusion.select(F.lit(name).alias("model"), "*") for name, f in tiers.items()]
+    return reduce(DataFrame.unionByName, tables)
 
 
-def best_regressor(results: dict[str, Fitted]) -> str:
-    return min(results, key=lambda name: results[name].metrics["rmse_log"])
+def importance_tables(results: dict[str, Fitted]) -> DataFrame | None:
+    """Feature importances of every candidate that has them."""
+    found = ((name, feature_importance(f.model)) for name, f in results.items())
+    tables = [t.select(F.lit(name).alias("model"), "*") for name, t in found if t is not None]
+    return reduce(DataFrame.unionByName, tables) if tables else None
 
 
 def metric_rows(task: str, results: dict[str, Fitted]) -> list[tuple]:
@@ -177,7 +200,8 @@ def export(
     path: str,
 ) -> None:
     """Save the winners, a background sample and the metadata tables."""
-    tier, charge = best_classifier(tiers), best_regressor(charges)
+    tier = best_model(spark, tiers, "selection_score")
+    charge = best_model(spark, charges, "rmse_log", lowest=True)
     bundles.save_models(tiers[tier].model, charges[charge].model, path)
     texts = [F.col(c).cast("string") for c in (S.GROUP_KEY, *S.FEATURES)]
     bundles.save_background(splits.sample_rows(train, texts).select(*S.FEATURES), path)
@@ -189,8 +213,11 @@ def export(
     settings = [
         (name, k, str(v), t.score) for name, t in tuned.items() for k, v in t.settings.items()
     ]
+    importance = importance_tables({**tiers, **charges})
     bundles.save_metadata(
         {
+            "confusion": confusion_tables(tiers),
+            **({"importance": importance} if importance is not None else {}),
             "winners": spark.createDataFrame(
                 [("tier", tier, TIER_RULE), ("charge", charge, CHARGE_RULE)],
                 "task string, model string, selection_rule string",
@@ -235,6 +262,6 @@ def run(
     for task, results in (("tier_classification", tiers), ("log_charge_regression", charges)):
         for name, fitted in results.items():
             values = {k: v for k, v in fitted.metrics.items() if v is not None}
-            log += runs.run_rows(run_id, task, name, {"split": "by person"}, values)
+            log += runs.run_rows(run_id, task, name, {"split": "by person", **fitted.settings}, values)
     runs.append_runs(spark, log, f"{path}/runs")
     export(spark, train, test, tiers, charges, tuned, path)

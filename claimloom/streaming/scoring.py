@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from claimloom import settings as S
-from claimloom.functions.storage import as_table
 from claimloom.operators import quality, scoring
 from claimloom.operators.scoring import Bundle
 
@@ -55,13 +54,14 @@ def start_scoring(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        # One scan of the input serves both outputs.
-        stored = as_table(batch, "requests")
-        accepted, rejected = check_requests(stored)
+        # One scan of the input serves both outputs; nothing of a batch is kept after it.
+        batch = batch.persist()
+        accepted, rejected = check_requests(batch)
         score_requests(bundle, accepted, explain).write.mode("overwrite").parquet(
             f"{output}/scores/batch_id={batch_id}"
         )
         rejected.write.mode("overwrite").parquet(f"{output}/rejected/batch_id={batch_id}")
+        batch.unpersist()
 
     writer = requests.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()

@@ -71,6 +71,23 @@ def test_exported_metadata(spark, exported, claims):
     assert log.select("task", "model").distinct().count() == 9
 
 
+def test_results_of_every_candidate_are_kept(spark, exported):
+    confusion = bundles.load_table(spark, exported, "confusion")
+    rows = bundles.load_table(spark, exported, "folds").filter("fold = 'test'").first().rows
+    assert confusion.count() == 4 * len(S.TIERS)
+    for model, total in confusion.groupBy("model").agg(
+        sum(F.sum(f"pred_{t}") for t in S.TIERS).alias("n")
+    ).collect():
+        assert model in candidates.classifiers() and total == rows
+    importance = bundles.load_table(spark, exported, "importance").groupBy("model").agg(F.sum("importance").alias("all"))
+    shares = {r.model: round(r["all"], 6) for r in importance.collect()}
+    # The mean over classes; a class whose trees never split has no importances.
+    assert 0 < shares.pop("boosted_trees") <= 1
+    assert shares == dict.fromkeys(("decision_tree", "random_forest", "random_forest_regressor", "boosted_regressor"), 1.0)
+    log = runs.read_runs(spark, f"{exported}/runs").filter("kind = 'param' AND model = 'decision_tree'")
+    assert {r.key: r.value for r in log.collect()}["maxDepth"] == str(TINY.tree_depth)
+
+
 def test_missing_export_is_named(spark, tmp_path):
     with pytest.raises(FileNotFoundError, match="No exported model"):
         bundles.load_bundle(spark, str(tmp_path))
