@@ -15,8 +15,8 @@ from claimloom.functions.storage import cut, spread
 from claimloom.operators.candidates import estimator_of, preprocessor_of
 from claimloom.operators.encoders import FEATURE_VECTOR, feature_names
 
-# Every feature doubles the number of coalitions.
-MAX_FEATURES = 12
+# Every feature doubles the number of coalitions and triples the subsets written into the plan.
+MAX_FEATURES = 9
 
 # Different background vectors.
 MAX_BACKGROUND = 2_000

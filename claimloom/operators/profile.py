@@ -19,7 +19,8 @@ def unpivot(frame: DataFrame, columns: Sequence[str], kind: str) -> DataFrame:
 def distribution(frame: DataFrame, column: str) -> DataFrame:
     """Rows and share of rows per value."""
     counts = frame.groupBy(column).agg(F.count(F.lit(1)).alias("rows"))
-    total = frame.agg(F.count(F.lit(1)).alias("n")).scalar()
+    # Summed from the counts, whose exchange both sides share.
+    total = counts.agg(F.sum("rows").alias("n")).scalar()
     return counts.withColumn("share", F.round(F.col("rows") / total, 6))
 
 

@@ -86,30 +86,31 @@ def feature_importance(t):
     return candidates.feature_importance(pipeline)
 
 
-def _bundle(t, classifier: str = "decision_tree", background: bool = False) -> tuple:
+def _bundle(t, classifier: str | None = None, regressor: str | None = None, background: bool = False) -> tuple:
+    """The asked models, fitted on the training fold, and the rows to score."""
     data, train, test = _encoded(t)
-    _, tier = data.fit(_classifier(classifier))
-    _, charge = data.fit(candidates.fitting_regressors(data.train, SMALL)["linear_regression"])
-    sample = splits.sample_rows(train, row_texts(), 10).select(*S.FEATURES) if background else None
-    names = {"classifier": classifier, "regressor": "linear_regression"}
+    tier = data.fit(_classifier(classifier))[1] if classifier else None
+    charge = data.fit(candidates.fitting_regressors(data.train, SMALL)[regressor])[1] if regressor else None
+    sample = splits.sample_rows(train, row_texts()).select(*S.FEATURES) if background else None
+    names = {"classifier": classifier, "regressor": regressor}
     return scoring.Bundle(tier, charge, names, sample), test.select("BENE_ID", *S.FEATURES)
 
 
 @query("score_tier")
 def score_tier(t):
-    bundle, rows = _bundle(t)
+    bundle, rows = _bundle(t, classifier="decision_tree")
     return scoring.predict_tier(bundle, rows, explain=False).drop("top_contributions")
 
 
 @query("score_charge")
 def score_charge(t):
-    bundle, rows = _bundle(t)
+    bundle, rows = _bundle(t, regressor="linear_regression")
     return scoring.predict_charge(bundle, rows)
 
 
 @query("shapley_exact")
 def shapley_exact(t):
-    bundle, rows = _bundle(t, background=True)
+    bundle, rows = _bundle(t, classifier="decision_tree", background=True)
     scored = scoring.predict_tier(bundle, rows)
     return scored.select("BENE_ID", *S.FEATURES, "tier", F.posexplode("top_contributions").alias("rank", "c")).select(
         "BENE_ID", *S.FEATURES, "tier", "rank", "c.feature", "c.contribution", "c.direction"
