@@ -5,6 +5,7 @@ import logging
 
 from pyspark.sql import SparkSession
 
+from claimloom.functions import storage
 from claimloom.operators import enrich, quality, rollup
 from claimloom.plans import monitoring, training
 from claimloom.sources import bundles, tables
@@ -48,7 +49,17 @@ def main(arguments: list[str] | None = None) -> None:
     """Run one job on the session that spark-submit configures."""
     options = _parser().parse_args(arguments)
     logging.basicConfig(level=logging.INFO, format="%(levelname)s %(name)s: %(message)s")
+    shared = SparkSession.getActiveSession() is not None
     spark = SparkSession.builder.appName(f"claimloom {options.job}").getOrCreate()
+    try:
+        _run(spark, options)
+    finally:
+        # All results are written by now; a session that others use may still read its tables.
+        if not shared:
+            storage.remove_tables(spark)
+
+
+def _run(spark: SparkSession, options: argparse.Namespace) -> None:
     if options.job == "rollup":
         merged = rollup.merged_claims(
             *[

@@ -38,14 +38,31 @@ def as_table(frame: DataFrame, name: str, split: bool = False) -> DataFrame:
     for steps that compute much per row.
     """
     spark = frame.sparkSession
-    path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    path = f"{_run_folder(spark)}/{name}-{uuid.uuid4().hex}"
     frame.write.parquet(path)
     table = spark.read.schema(frame.schema).parquet(path)
     if split and table.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:
-        return as_table(spread(table), name)
+        parts = as_table(spread(table), name)
+        _delete(spark, path)
+        return parts
     return table
 
 
+def _run_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}"
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    # Spark has no call of its own for this.
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def remove_tables(spark: SparkSession) -> None:
+    """Delete all that ``as_table`` wrote in this application; frames that read it end with it."""
+    _delete(spark, _run_folder(spark))
+
+
 def tasks_for(spark: SparkSession, work: float = 0, per_task: float = 1) -> int:
     """Tasks for ``work`` units at ``per_task`` each, at least one per core."""
     return max(spark.sparkContext.defaultParallelism, math.ceil(work / per_task))

@@ -167,6 +167,15 @@ def test_shared_folder_comes_from_the_session(spark):
     assert storage.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
+def test_stored_tables_are_removed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(storage, "shared_folder", lambda _: str(tmp_path))
+    table = storage.as_table(spark.range(10).coalesce(1), "rows", split=True)
+    assert table.count() == 10 and table.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    assert len(list((tmp_path / spark.sparkContext.applicationId).iterdir())) == 1
+    storage.remove_tables(spark)
+    assert not list(tmp_path.iterdir())
+
+
 def test_spread_splits_small_stored_tables(spark):
     stored = storage.cut(spark.range(10).coalesce(1))
     assert storage.spread(stored).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
