@@ -240,7 +240,11 @@ def regressors(
     """
     target = S.LOG_TOTAL
     return {
-        "linear_regression": LinearRegression(labelCol=target, solver="auto"),
+        # The flag columns add up to one. A penalty far below any digit that matters makes
+        # the normal equations solvable in one step.
+        "linear_regression": LinearRegression(
+            labelCol=target, regParam=1e-10, elasticNetParam=0.0, solver="normal"
+        ),
         "ridge_regression": LinearRegression(
             labelCol=target, regParam=sizes.alpha * deviation / max(rows, 1), elasticNetParam=0.0,
             standardization=False,

@@ -12,7 +12,7 @@ from claimloom.functions import clean
 from claimloom.operators import attribution, candidates, drift, scoring, splits, tuning
 from claimloom.operators.candidates import SMALL
 from claimloom.operators.encoders import FEATURE_VECTOR, build_preprocessor, feature_names
-from claimloom.plans import training
+from claimloom.plans import least_squares, training
 from claimloom.plans.quality_queries import row_texts
 from claimloom.plans.registry import query
 from claimloom.plans.sql import FOLDS, SCORES
@@ -39,17 +39,26 @@ def _tier_query(query_name: str, name: str):
         ).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def _charge_query(query_name: str, name: str):
-    @query(query_name)
+_ROW = f"BENE_ID, {', '.join(S.CODE_COLUMNS)}, {S.FLAG_COLUMN}"
+
+
+def _charge_query(query_name: str, name: str, sql: str | None = None):
+    @query(query_name, sql)
     def build(t):
         """Predicted charge of every held-out row."""
         data, _, test = _encoded(t)
         _, pipeline = data.fit(candidates.fitting_regressors(data.train, SMALL)[name])
         return pipeline.transform(test).select(
-            "BENE_ID", *S.CODE_COLUMNS, S.FLAG_COLUMN, S.LOG_TOTAL, F.col("prediction").alias("predicted_log")
+            "BENE_ID", *S.CODE_COLUMNS, S.FLAG_COLUMN, F.round(S.LOG_TOTAL, 6).alias(S.LOG_TOTAL),
+            F.round("prediction", 4).alias("predicted_log"),
         )
 
 
+def _least_squares(penalty: float) -> str:
+    return f"""WITH {least_squares.predictions(penalty)} SELECT {_ROW},
+      round(LOG_TOTAL_CHARGE, 6) AS LOG_TOTAL_CHARGE, round(p, 4) AS predicted_log FROM predicted"""
+
+
 for _query, _model in (
     ("knn_tier", "knn"),
     ("tree_tier", "decision_tree"),
@@ -58,13 +67,13 @@ for _query, _model in (
 ):
     _tier_query(_query, _model)
 
-for _query, _model in (
-    ("linear_charge", "linear_regression"),
-    ("ridge_charge", "ridge_regression"),
-    ("forest_charge", "random_forest_regressor"),
-    ("boosted_charge", "boosted_regressor"),
+for _query, _model, _sql in (
+    ("linear_charge", "linear_regression", _least_squares(0.0)),
+    ("ridge_charge", "ridge_regression", _least_squares(1.0)),
+    ("forest_charge", "random_forest_regressor", None),
+    ("boosted_charge", "boosted_regressor", None),
 ):
-    _charge_query(_query, _model)
+    _charge_query(_query, _model, _sql)
 
 
 @query("tuned_params")
@@ -102,10 +111,21 @@ def score_tier(t):
     return scoring.predict_tier(bundle, rows, explain=False).drop("top_contributions")
 
 
-@query("score_charge")
+@query(
+    "score_charge",
+    f"""WITH {least_squares.predictions()} SELECT BENE_ID, {', '.join(S.FEATURES)},
+      round(p, 4) AS predicted_log_charge, 1.0::DOUBLE AS dollars_per_exp, 'linear_regression' AS model_name
+    FROM predicted""",
+)
 def score_charge(t):
     bundle, rows = _bundle(t, regressor="linear_regression")
-    return scoring.predict_charge(bundle, rows)
+    scored = scoring.predict_charge(bundle, rows)
+    # Dollars have too many digits to compare; they are the log's exponential.
+    per_exp = F.col("predicted_charge") / F.exp("predicted_log_charge")
+    return scored.select(
+        "BENE_ID", *S.FEATURES, F.round("predicted_log_charge", 4).alias("predicted_log_charge"),
+        F.round(per_exp, 6).alias("dollars_per_exp"), "model_name",
+    )
 
 
 @query("shapley_exact")
