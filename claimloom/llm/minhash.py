@@ -119,16 +119,21 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _block_links(percent: int):
-    """Links between the outsiders and the members of each block; rows arrive grouped by block."""
+    """Links that connect components among the members of each block; rows arrive grouped by block.
+
+    An outsider is compared with every member, but of the links between two components
+    one is enough, so a block never gives more links than it has components.
+    """
 
     def link(rows: pa.Table) -> tuple[list[int], list[int]]:
         ids = rows.column("rep").to_numpy()
-        labels = rows.column("label").to_numpy()
         outside = rows.column("outside").to_numpy()
-        values = [np.frombuffer(s.as_py(), np.uint64).astype(np.uint32) for s in rows.column("shingles")]
-        sizes = np.array([len(v) for v in values])
         if not outside.any() or outside.all():
             return [], []
+        parts, part = np.unique(rows.column("label").to_numpy(), return_inverse=True)
+        root = np.arange(len(parts))  # of each component seen here
+        values = [np.frombuffer(s.as_py(), np.uint64) for s in rows.column("shingles")]
+        sizes = np.array([len(v) for v in values])
         codes = np.unique(np.concatenate(values), return_inverse=True)[1]
         bounds = np.cumsum(sizes) - sizes
         here = np.zeros(codes.max() + 1, np.int32)
@@ -142,9 +147,11 @@ def _block_links(percent: int):
             both = np.add.reduceat(here[flat], starts)
             here[own] = 0
             near = 100 * both >= percent * (sizes[o] + sizes[members] - both)
-            near &= labels[members] != labels[o]
-            left.extend([ids[o]] * int(near.sum()))
-            right.extend(ids[members[near]])
+            near &= root[part[members]] != root[part[o]]
+            found, first = np.unique(root[part[members[near]]], return_index=True)
+            left.extend([ids[o]] * len(found))
+            right.extend(ids[members[near][first]])
+            root[np.isin(root, found)] = root[part[o]]
         return left, right
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,9 +238,7 @@ def linked_classes(classes: DataFrame, sets_of: Callable[[DataFrame], DataFrame]
         .sortWithinPartitions("key", "i", "j")
     )
     found = filled.mapInArrow(_block_links(percent), "a long, b long")
-    more = as_table(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "found")
-    # The blocks compare 32-bit hashes, which can only find too much; links count after the full check.
-    more = as_table(confirmed(more, sets, percent), "links")
+    more = as_table(found, "links")
     # Joining the stars of the first round with the new links gives the final components.
     stars = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
     return as_table(components(stars.unionByName(more)), "labels")
