@@ -23,6 +23,8 @@ def components(links: DataFrame) -> DataFrame:
         # Large star: every larger neighbour is linked to the smallest of the neighbourhood.
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # Stored, so that the join can split a node with very many links.
+        least = as_table(least, "least")
         edges = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = edges.distinct()
         # Small star: smaller neighbours are linked to the smallest of them.

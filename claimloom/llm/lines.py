@@ -67,7 +67,9 @@ def drop_bitmaps(
         .agg(F.count(F.lit(1)).alias("times"))
     )
     spread = per_doc.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("docs"), F.max("doc_id").alias("keeper"))
-    repeated = spread.filter(F.col("docs") >= min_docs).select("h1", "h2", "keeper")
+    # Stored, so that both sides of the join are plain exchanges and a line that is almost
+    # everywhere is split among tasks.
+    repeated = as_table(spread.filter(F.col("docs") >= min_docs).select("h1", "h2", "keeper"), "repeated-lines")
     gone = found.join(repeated, ["h1", "h2"]).filter("doc_id != keeper")
     words = (
         gone.select("doc_id", "version", F.shiftright("pos", 6).alias("word"), F.expr("shiftleft(1L, pos & 63)").alias("bit"))

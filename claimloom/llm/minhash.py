@@ -198,7 +198,7 @@ def _outsiders(colliding: DataFrame, labels: DataFrame) -> DataFrame:
         F.ceil(F.col("size") / BLOCK).cast("int").alias("member_blocks"),
         F.ceil((F.col("size") - F.col("top.n")) / BLOCK).cast("int").alias("outside_blocks"),
     )
-    rows = named.join(largest, "key")
+    rows = named.join(as_table(largest, "open-buckets"), "key")
     spot = F.xxhash64("rep", "key")
     members = rows.select(
         "key",
@@ -223,7 +223,9 @@ def linked_classes(classes: DataFrame, sets_of: Callable[[DataFrame], DataFrame]
     """
     buckets = classes.select("rep", F.explode("keys").alias("key")).distinct()
     shared = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("rep").alias("hub"))
-    colliding = as_table(buckets.join(shared.filter("size > 1"), "key"), "buckets")
+    # Stored, so that both sides of the join are plain exchanges and a large bucket is split.
+    shared = as_table(shared.filter("size > 1"), "shared-keys")
+    colliding = as_table(buckets.join(shared, "key"), "buckets")
     sets = as_table(sets_of(colliding.select("rep").distinct()), "sets").dropDuplicates(["doc_id"])
 
     pairs = colliding.filter("rep != hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()

@@ -181,13 +181,17 @@ def repeated_passages(
     # A passage is a component of paragraphs, or one window; those that occur twice matter.
     counts = units.groupBy("content").agg(F.count(F.lit(1)).alias("n"))
     named = counts.join(labels.withColumnRenamed("node", "content"), "content", "left")
-    repeated = named.filter("n > 1 OR label IS NOT NULL").select("content", F.coalesce("label", "content").alias("component"))
+    # Stored, so that the join can split a passage that is almost everywhere.
+    repeated = as_table(
+        named.filter("n > 1 OR label IS NOT NULL").select("content", F.coalesce("label", "content").alias("component")),
+        "repeated-contents",
+    )
     found = as_table(
         units.drop("keys", "text_hash").join(repeated, "content").drop("content"),
         "repeated",
     )
     keepers = found.groupBy("component").agg(F.min(F.struct("doc_id", "start")).alias("keeper"))
-    marked = found.join(keepers, "component").select(
+    marked = found.join(as_table(keepers, "keepers"), "component").select(
         "doc_id", "component", "start", "end", F.struct("doc_id", "start").eqNullSafe(F.col("keeper")).alias("kept")
     )
     return marked.groupBy("doc_id").agg(
