@@ -211,7 +211,7 @@ def _identify(texts: list[str], samples: dict[str, str]) -> tuple[list[str], lis
 
 def _texts(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
     """Parts of a text column with the row each begins at."""
-    for first, end, _, _ in K.blocks(column, 2_000_000):
+    for first, end, _, _ in K.blocks(column):
         yield first, [t or "" for t in column.slice(first, end - first).to_pylist()]
 
 

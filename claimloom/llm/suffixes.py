@@ -30,7 +30,7 @@ GRAM = 32
 MOST = 4096
 
 # Bytes of segments whose suffixes are sorted together.
-SORT_BYTES = 1_500_000
+SORT_BYTES = 1_000_000
 
 _random = np.random.Generator(np.random.PCG64(400))
 _FACTORS = _random.integers(1, 2**63, 5, dtype=np.uint64) | np.uint64(1)
@@ -41,7 +41,7 @@ _powers: dict[str, np.ndarray] = {}
 
 def _power(name: str, base: np.uint64, n: int) -> np.ndarray:
     if len(_powers.get(name, ())) < n:
-        _powers[name] = K.powers(base, max(n, K.BLOCK_BYTES + 65536))
+        _powers[name] = K.powers(base, max(n, K.BLOCK_BYTES))
     return _powers[name]
 
 

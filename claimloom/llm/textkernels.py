@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 # Bytes of text handled at once; a longer text is a block of its own.
-BLOCK_BYTES = 4_000_000
+BLOCK_BYTES = 1_000_000
 
 SPACES = b" \t\n\x0b\x0c\r"
 
