@@ -160,7 +160,7 @@ def _index(shared) -> Items:
 def leaks(
     docs: DataFrame,
     benchmark: DataFrame,
-    threshold: float = 0.8,
+    threshold: float = 0.6,
     id_col: str = "doc_id",
     text_col: str = "text",
     item_col: str = "item_id",
@@ -185,7 +185,7 @@ def leaks(
             items = _index(shared)
             for batch in batches:
                 ids = batch.column(0)
-                for first, end, _, _ in K.blocks(batch.column(1), 2_000_000):
+                for first, end, _, _ in K.blocks(batch.column(1)):
                     column = [t or "" for t in batch.column(1).slice(first, end - first).to_pylist()]
                     rows = leaks_of(column, items, threshold)
                     yield pa.RecordBatch.from_arrays(
@@ -206,7 +206,7 @@ def leaks(
 def without_leaks(
     docs: DataFrame,
     benchmark: DataFrame,
-    threshold: float = 0.8,
+    threshold: float = 0.6,
     text_col: str = "text",
     item_col: str = "item_id",
     item_text_col: str = "text",
@@ -221,7 +221,7 @@ def without_leaks(
             items = _index(shared)
             for batch in batches:
                 keep = np.ones(batch.num_rows, bool)
-                for first, end, _, _ in K.blocks(batch.column(at), 2_000_000):
+                for first, end, _, _ in K.blocks(batch.column(at)):
                     column = [t or "" for t in batch.column(at).slice(first, end - first).to_pylist()]
                     for row in leaks_of(column, items, threshold):
                         keep[first + row[0]] = False
