@@ -1,9 +1,10 @@
 """Language identification by cross-parsing.
 
 Each language is a suffix automaton of a bounded sample of its labelled text. A text is cut
-greedily into the longest phrases that occur in a language's sample; the language that
-needs the fewest phrases per letter explains it best. The automata walk many stretches of
-text side by side, one array step per symbol.
+greedily into the longest phrases that occur in a language's sample. A phrase costs the
+bits that name its place in the sample, so languages with samples of different sizes can be
+compared; the cheapest language explains the text best. The automata walk many stretches
+of text side by side, one array step per symbol.
 """
 
 import math
@@ -17,8 +18,8 @@ from pyspark.sql import functions as F
 
 from claimloom.llm import textkernels as K
 
-# Letters of training text per language. All languages use the same number, that of the
-# language with the least, because a longer sample always has longer matches.
+# Most letters of training text per language, and of all languages together. A language with less
+# text has a smaller sample; it leaves the others theirs.
 TRAIN_LETTERS = 30_000
 TRAIN_TOTAL = 240_000
 
@@ -167,6 +168,16 @@ def phrase_counts(texts: list[str], samples: tuple[str, ...]) -> tuple[np.ndarra
     return counts, letters
 
 
+def even_share(sizes: list[int], total: int) -> int:
+    """The largest number at which all sizes, cut to it, sum to at most ``total``."""
+    for i, size in enumerate(sorted(sizes)):
+        share = total // (len(sizes) - i)
+        if size > share:
+            return share
+        total -= size
+    return max(sizes, default=0)
+
+
 def samples_of(
     labelled: DataFrame, lang_col: str, text_col: str, id_col: str, letters: int = TRAIN_LETTERS, rows: int = TRAIN_ROWS
 ) -> dict[str, str]:
@@ -174,8 +185,9 @@ def samples_of(
 
     Row ids are hashed into ``rows`` slots per language and the smallest hash of a slot is
     taken, with the first characters of its text, so the sample has at most ``rows`` rows
-    per language and does not depend on how the table is stored. The texts are cut to
-    ``letters`` and to the length of the shortest sample.
+    per language and does not depend on how the table is stored. Each language's texts are
+    cut to ``letters``, whatever the others have; only when all together exceed
+    ``TRAIN_TOTAL``, the longest samples are cut to an even share of it.
     """
     text, spot = F.col(text_col), F.xxhash64(F.col(id_col).cast("string"))
     part = F.substring(text, 1, max(200, 8 * letters // rows))
@@ -190,23 +202,40 @@ def samples_of(
         parts.setdefault(row.lang, []).append((row.slot, row.pick.part))
     if len(parts) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} language labels")
-    letters = min(letters, TRAIN_TOTAL // max(1, len(parts)))
     joined = {lang: " ".join(t for _, t in sorted(p))[:letters] for lang, p in sorted(parts.items())}
-    shortest = min((len(s) for s in joined.values()), default=0)
-    return {lang: s[:shortest] for lang, s in joined.items()}
+    share = even_share([len(s) for s in joined.values()], TRAIN_TOTAL)
+    return {lang: s[:share] for lang, s in joined.items()}
+
+
+def phrase_costs(counts: np.ndarray, letters: np.ndarray, samples: tuple[str, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """Bits per text and language: of its phrases, and with each letter on its own where that is cheaper.
+
+    A phrase of a sample with n letters takes log2(n + alphabet) bits, as the phrases per letter of a
+    text in the sample's language fall with 1 / log2(n). The second figure keeps a sample of a few
+    letters from winning texts that no sample explains.
+    """
+    size = len(_tables(samples)[0]) + 2
+    costs = counts * np.log2(np.array([len(s) for s in samples]) + size)
+    return costs, np.minimum(costs, letters[:, None] * np.log2(size))
 
 
 def _identify(texts: list[str], samples: dict[str, str]) -> tuple[list[str], list[float], np.ndarray]:
-    """Language, score and phrases per letter (of the winner) of each text."""
+    """Language, score and phrases per letter (of the language with the fewest) of each text."""
     names = list(samples)
     if not names:
         return [UNKNOWN] * len(texts), [0.0] * len(texts), np.ones(len(texts))
-    counts, letters = phrase_counts(texts, tuple(samples.values()))
-    order = np.sort(counts, axis=1)
-    second = order[:, 1] if len(names) > 1 else np.full(len(texts), math.inf)
-    share = np.where(letters > 0, 1 - order[:, 0] / np.maximum(second, 1), 0.0)
-    langs = [names[k] if n else UNKNOWN for k, n in zip(counts.argmin(axis=1), letters)]
-    return langs, share.tolist(), order[:, 0] / np.maximum(letters, 1)
+    known = tuple(samples.values())
+    counts, letters = phrase_counts(texts, known)
+    costs, least = phrase_costs(counts, letters, known)
+    cheapest = least == least.min(axis=1, keepdims=True)
+    best = np.where(cheapest, counts, np.iinfo(np.int64).max).argmin(axis=1)
+    rows = np.arange(len(texts))
+    own = costs[rows, best]
+    costs[rows, best] = math.inf
+    second = costs.min(axis=1)
+    share = np.where(letters > 0, np.maximum(1 - own / np.maximum(second, 1), 0.0), 0.0)
+    langs = [names[k] if n else UNKNOWN for k, n in zip(best, letters)]
+    return langs, share.tolist(), counts.min(axis=1) / np.maximum(letters, 1)
 
 
 def _texts(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
@@ -220,10 +249,11 @@ def identified(
 ) -> DataFrame:
     """``doc_id``, ``lang_pred`` and ``score`` of every row, from the training text per language.
 
-    ``score`` is how much fewer phrases the winner needs than the runner-up, as a share
-    of the runner-up's (1 when only one language was learned). A text that is null or has no
-    letter, or any text when nothing was learned, is ``und`` with score 0. Of equally
-    good languages the first by name wins. Rows with equal ids stay as they are.
+    ``score`` is how much cheaper the winner's phrases are than the runner-up's, as a share
+    of the runner-up's cost (1 when only one language was learned). A text that is null or has
+    no letter, or any text when nothing was learned, is ``und`` with score 0. Of equally
+    cheap languages the one with fewer phrases wins, then the first by name. Rows with equal
+    ids stay as they are.
     """
 
     def identify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,7 +278,7 @@ def accepted(
 ) -> DataFrame:
     """The rows of ``docs``, with all their columns, whose language is known.
 
-    A row goes when its language is ``und``, or when even the best language needs more than
+    A row goes when its language is ``und``, or when every language needs more than
     ``most`` phrases per letter, that is when no learned language explains the text.
     """
     at = docs.columns.index(text_col)

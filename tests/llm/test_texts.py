@@ -2,12 +2,15 @@
 
 import collections
 import hashlib
+import os
 import random
 import re
+import zlib
 
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from claimloom.llm import language, lines, quality, secrets
 from claimloom.llm.automata import Automaton
 from tests.llm.cases import LOWER, SCHEMA, WORD, corpus, frame, sentence
@@ -173,6 +176,35 @@ def test_language_held_out_accuracy(spark):
     assert {r.doc_id for r in kept.collect()} >= set(range(600)) and not {r.doc_id for r in kept.collect()} & {1000, 1001, 1002}
 
 
+def test_rare_label_leaves_the_others_their_samples(spark):
+    """A label of one short row, or of one ordinary row, beside large ones."""
+    draw = random.Random(15)
+    vocab = {"bb": "bola dira muneta foro sali pemo", "cc": "krist vlok brun drang schtel", "dd": "xiqu yuwa zhenli oqa dira"}
+    rows = [(i, sentence(draw, 40, vocab[lang].split()), lang) for i, lang in enumerate(sorted(vocab) * 150)]
+    free = [i for i in range(1000, 1100) if zlib.crc32(str(i).encode()) % 5]
+    other = "pomezu weckat linto graf".split()
+    for rare in ("Hi", sentence(draw, 30, other)):
+        docs = frame(spark, rows + [(free[0], rare, "aa"), (free[1], rare, "xx"), (2000, sentence(draw, 40, other), None)])
+        samples = language.training_samples(docs)
+        assert samples["aa"] == samples["xx"] == rare and min(len(samples[k]) for k in vocab) > 10_000
+        got = {r.doc_id: r for r in language.predict(docs).collect()}
+        assert all(got[i].lang_pred == lang and got[i].score > 0 for i, _, lang in rows)
+        assert rare == "Hi" or got[2000].lang_pred == "aa"
+        assert {r.doc_id for r in language.accepted(docs, samples).collect()} >= set(range(len(rows)))
+    assert language.even_share([2, 5, 9, 9], 20) == 6 and language.even_share([2, 5], 20) == 5 and language.even_share([], 3) == 0
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="given tables are not here")
+def test_rare_label_in_the_first_stage(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    free = next(i for i in range(10**9, 10**9 + 99) if zlib.crc32(str(i).encode()) % 5)
+    values = {"doc_id": free, "text": "Hi", "lang": "xx", "n_chars": 2}
+    extra = spark.createDataFrame([tuple(values.get(c) for c in docs.columns)], docs.schema)
+    stage = dict(corpus_pipeline.STAGES)["language_id"]
+    wanted = {r.doc_id for r in stage(spark, docs, "").collect()}
+    assert wanted <= {r.doc_id for r in stage(spark, docs.unionByName(extra), "").collect()}
+
+
 def without_repeats(rows):
     def key(line):
         return line.strip(" \t\n\x0b\x0c\r").translate(LOWER)
