@@ -185,9 +185,10 @@ def samples_of(
 
     Row ids are hashed into ``rows`` slots per language and the smallest hash of a slot is
     taken, with the first characters of its text, so the sample has at most ``rows`` rows
-    per language and does not depend on how the table is stored. Each language's texts are
-    cut to ``letters``, whatever the others have; only when all together exceed
-    ``TRAIN_TOTAL``, the longest samples are cut to an even share of it.
+    per language and does not depend on how the table is stored. Each language has at most
+    ``letters``, whatever the others have; only when all together exceed ``TRAIN_TOTAL``, the
+    longest samples are cut to an even share of it. Within a language the longest texts are cut
+    to an even share of its letters, so that all its sampled rows count.
     """
     text, spot = F.col(text_col), F.xxhash64(F.col(id_col).cast("string"))
     part = F.substring(text, 1, max(200, 8 * letters // rows))
@@ -202,9 +203,12 @@ def samples_of(
         parts.setdefault(row.lang, []).append((row.slot, row.pick.part))
     if len(parts) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} language labels")
-    joined = {lang: " ".join(t for _, t in sorted(p))[:letters] for lang, p in sorted(parts.items())}
-    share = even_share([len(s) for s in joined.values()], TRAIN_TOTAL)
-    return {lang: s[:share] for lang, s in joined.items()}
+    texts = {lang: [t for _, t in sorted(p)] for lang, p in sorted(parts.items())}
+    # Each text counts with the space after it.
+    sizes = {lang: [len(t) + 1 for t in given] for lang, given in texts.items()}
+    share = min(letters, even_share([min(letters, sum(s)) for s in sizes.values()], TRAIN_TOTAL))
+    most = {lang: max(1, even_share(s, share) - 1) for lang, s in sizes.items()}
+    return {lang: " ".join(t[: most[lang]] for t in given)[:share] for lang, given in texts.items()}
 
 
 def phrase_costs(counts: np.ndarray, letters: np.ndarray, samples: tuple[str, ...]) -> tuple[np.ndarray, np.ndarray]:

@@ -194,6 +194,15 @@ def test_rare_label_leaves_the_others_their_samples(spark):
     assert language.even_share([2, 5, 9, 9], 20) == 6 and language.even_share([2, 5], 20) == 5 and language.even_share([], 3) == 0
 
 
+def test_all_sampled_rows_count(spark):
+    """Every slot's text is in the sample, short ones whole, and the sample is filled."""
+    rows = [(i, f"w{chr(97 + i % 26)}{chr(97 + i // 26)} " + "lorem ipsum " * (60 if i % 2 else 1), "aa") for i in range(200)]
+    sample = language.samples_of(frame(spark, rows), "lang", "text", "doc_id", letters=6000, rows=2000)["aa"]
+    assert 5700 < len(sample) <= 6000
+    found = set(sample.split())
+    assert sum(t.split()[0] in found for _, t, _ in rows) > 180
+
+
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="given tables are not here")
 def test_rare_label_in_the_first_stage(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
