@@ -9,6 +9,7 @@ outweighs its trust.
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +22,15 @@ ROUNDS = 20
 # Rounds between two stored states: few jobs, and a short lineage.
 STORED_EVERY = 5
 
+# Scores are settled when STORED_EVERY rounds change those of a kind by less than this together; a kind's sum is 1 at most.
+SETTLED = 1e-6
+
+# A graph of up to so many links is iterated in the driver's memory, a larger one by joins.
+FEW_LINKS = 100_000
+
+# A name longer than this is no host; only its direct parent counts.
+LONGEST_HOST = 253
+
 # Absolute links: host of href="scheme://host/..." and href="//host/...".
 LINK = r"""(?i)\bhref\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s<>]+)"""
 
@@ -51,11 +61,31 @@ def fitting_rule(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
     return F.coalesce(*found, nothing)
 
 
-def host_links(pages: DataFrame) -> DataFrame:
+def parent_links(hosts: DataFrame) -> DataFrame:
+    """``src``, ``dst``: each host of ``hosts(host)`` and each domain above it with its direct parent.
+
+    Domains need no pages; the last is the one with two labels, as a single label (``com``) is no site.
+    Numbers are no names and have no parents.
+    """
+    name = F.split("host", r"\.")
+    above = F.transform(
+        F.sequence(F.lit(1), F.size(name) - 2),
+        lambda i: F.struct(
+            F.array_join(F.slice(name, i, F.size(name)), ".").alias("src"),
+            F.array_join(F.slice(name, i + 1, F.size(name)), ".").alias("dst"),
+        ),
+    )
+    named = hosts.filter((F.length("host") <= LONGEST_HOST) & (F.size(name) > 2) & ~F.col("host").rlike(r"\.[0-9]+(:[0-9]*)?$"))
+    pairs = named.select(F.explode(above).alias("pair")).select("pair.src", "pair.dst")
+    return pairs.filter("src != '' AND dst != ''").distinct()
+
+
+def host_links(pages: DataFrame, whole: bool = False) -> DataFrame:
     """``src``, ``dst``, ``links``: links between different hosts of ``pages(host, html)``.
 
     Links to hosts without pages are left out. A host and the host it is a direct
-    subdomain of, if both have pages, count as linked once each way.
+    subdomain of, if both have pages, count as linked once each way. With ``whole``, hosts
+    without pages stay, and so do all domains above a host (``parent_links``).
     """
     outward = (
         pages.select(F.col("host").alias("src"), F.explode(F.regexp_extract_all("html", F.lit(LINK), 1)).alias("to"))
@@ -67,21 +97,77 @@ def host_links(pages: DataFrame) -> DataFrame:
     hosts = pages.filter("host != ''").select("host").distinct()
     up = hosts.select(F.col("host").alias("src"), F.regexp_extract("host", r"^[^.]*\.(.+)$", 1).alias("dst"))
     sites = up.unionByName(up.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).withColumn("links", F.lit(1).cast("long"))
+    if whole:
+        outward = as_table(outward, "outward")
+        up = parent_links(hosts.union(outward.select("dst")).distinct())
+        # The direct parent of a host may have one label only if it has pages.
+        direct = sites.join(hosts.select(F.col("host").alias("src")), "src", "left_semi")
+        direct = direct.join(hosts.select(F.col("host").alias("dst")), "dst", "left_semi").select("src", "dst")
+        pairs = up.unionByName(up.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).unionByName(direct)
+        known = outward.unionByName(pairs.distinct().withColumn("links", F.lit(1).cast("long")))
+        return known.groupBy("src", "dst").agg(F.sum("links").alias("links"))
     known = outward.unionByName(sites).join(hosts.select(F.col("host").alias("src")), "src", "left_semi")
     known = known.join(hosts.select(F.col("host").alias("dst")), "dst", "left_semi")
     return known.groupBy("src", "dst").agg(F.sum("links").alias("links"))
 
 
-def spread(seeds: DataFrame, links: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def _spread_few(seeds: DataFrame, links: DataFrame, settled: float) -> DataFrame:
+    """``spread`` of a small graph, in the driver's memory."""
+    edges = links.collect()
+    # Scores arise only at seeds and where links end.
+    ends = links.select("kind", F.col("dst").alias("host")).distinct()
+    linked = links.select("kind", F.col("src").alias("host")).union(ends).distinct()
+    given = seeds.join(F.broadcast(linked), ["kind", "host"], "left_semi").collect()
+    rows = []
+    for kind in sorted({r.kind for r in given}):
+        own = [r for r in edges if r.kind == kind]
+        names = sorted({r.src for r in own} | {r.dst for r in own})
+        at = {host: k for k, host in enumerate(names)}
+        src, dst = (np.array([at[r[c]] for r in own], np.int64) for c in ("src", "dst"))
+        many = np.array([r.links for r in own], float)
+        share = many / np.bincount(src, many, len(names))[src]
+        base = np.zeros(len(names))
+        for r in given:
+            if r.kind == kind:
+                base[at[r.host]] += r.weight
+        state, before = base, None
+        while before is None or np.abs(state - before).sum() >= settled:
+            before = state
+            for _ in range(STORED_EVERY):
+                state = (1 - DAMPING) * base + DAMPING * np.bincount(dst, state[src] * share, len(names))
+        rows += [(kind, host, float(score)) for host, score in zip(names, state) if score > 0]
+    found = seeds.sparkSession.createDataFrame(rows, "kind string, host string, score double")
+    # A seed without links keeps the share that returns to it.
+    alone = seeds.join(F.broadcast(linked), ["kind", "host"], "left_anti")
+    return found.unionByName(alone.select("kind", "host", (F.col("weight") * (1 - DAMPING)).alias("score")))
+
+
+def _change(state: DataFrame, before: DataFrame) -> float:
+    """The largest change of a kind's scores."""
+    both = state.unionByName(before.withColumn("score", -F.col("score"))).groupBy("kind", "host").agg(F.sum("score").alias("score"))
+    by_kind = both.groupBy("kind").agg(F.sum(F.abs("score")).alias("change"))
+    return by_kind.agg(F.max("change")).first()[0] or 0.0
+
+
+def spread(
+    seeds: DataFrame, links: DataFrame, rounds: int = ROUNDS, settled: float | None = None, few: int = FEW_LINKS
+) -> DataFrame:
     """Personalised PageRank of several kinds at once.
 
     ``seeds(kind, host, weight)`` has weights that sum to one per kind, ``links(kind,
     src, dst, links)`` the graph of each kind. Returns ``kind``, ``host``, ``score``: after
     each round, a share of ``1 - DAMPING`` returns to the seeds and the rest follows the links in
-    proportion; a host without links keeps nothing.
+    proportion; a host without links keeps nothing. With ``settled`` the rounds go on until
+    ``STORED_EVERY`` of them change the scores of each kind by less than that in sum, which they do
+    as each round shrinks a change by ``DAMPING``.
     """
     seeds = as_table(seeds, "seeds")
+    if settled is not None and links.count() <= few:
+        return _spread_few(seeds, links, settled)
     total = links.groupBy("kind", "src").agg(F.sum("links").alias("all_links"))
+    if settled is not None:
+        # Stored, so that the join can split a domain with very many hosts.
+        total = as_table(total, "totals")
     shares = as_table(
         links.join(total, ["kind", "src"]).select(
             "kind", "src", "dst", (F.col("links") / F.col("all_links")).alias("share")
@@ -89,14 +175,20 @@ def spread(seeds: DataFrame, links: DataFrame, rounds: int = ROUNDS) -> DataFram
         "shares",
     )
     base = seeds.select("kind", "host", (F.col("weight") * (1 - DAMPING)).alias("score"))
-    state = seeds.select("kind", "host", F.col("weight").alias("score"))
-    for done in range(1, rounds + 1):
+    before = state = seeds.select("kind", "host", F.col("weight").alias("score"))
+    done = 0
+    while settled is not None or done < rounds:
         moved = state.withColumnRenamed("host", "src").join(shares, ["kind", "src"]).select(
             "kind", F.col("dst").alias("host"), (F.col("score") * F.col("share") * DAMPING).alias("score")
         )
         state = base.unionByName(moved).groupBy("kind", "host").agg(F.sum("score").alias("score"))
-        if done % STORED_EVERY == 0:
+        done += 1
+        if settled is not None or done % STORED_EVERY == 0:
             state = as_table(state, "ranks")
+        if settled is not None and done % STORED_EVERY == 0:
+            if _change(state, before) < settled:
+                break
+            before = state
     return state
 
 
@@ -107,11 +199,15 @@ def judge(
     url_col: str = "url",
     html_col: str = "html",
     tolerance: float = 1.0,
+    whole: bool = False,
+    settled: float | None = None,
+    few: int = FEW_LINKS,
 ) -> DataFrame:
     """``page_id``, ``host``, ``path``, ``rule``, ``verdict``, ``trust``, ``distrust`` of every page.
 
     The longest rule that fits a url decides; else its host is blocked when its distrust
-    is more than ``tolerance`` times its trust. A url that is null or has no ``://`` has
+    is more than ``tolerance`` times its trust. With ``whole``, hosts without pages pass scores on
+    (see ``host_links``); with ``settled``, scores spread until they change by less (see ``spread``). A url that is null or has no ``://`` has
     an empty host and path and is allowed, as is a host that neither reaches. A null page
     has no links. Rows with equal ids are judged each. Extra columns are ignored,
     whatever their names. An empty table gives an empty result.
@@ -123,7 +219,7 @@ def judge(
         F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("html"),
     )
     ruled = read.withColumn("hit", fitting_rule(F.col("host"), F.col("path"), rules))
-    links = as_table(host_links(read), "host-links")
+    links = as_table(host_links(read, whole), "host-links")
     counts = (
         ruled.filter("host != '' AND hit IS NOT NULL")
         .groupBy(F.when(F.col("hit.verdict") == "allow", "trust").otherwise("distrust").alias("kind"), "host")
@@ -137,7 +233,7 @@ def judge(
     both_ways = links.select(F.lit("trust").alias("kind"), "src", "dst", "links").unionByName(
         links.select(F.lit("distrust").alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"), "links")
     )
-    ranks = spread(seeds, both_ways)
+    ranks = spread(seeds, both_ways, settled=settled, few=few)
     scores = ranks.groupBy("host").agg(
         *[F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("score"))), F.lit(0.0)).alias(k) for k in ("trust", "distrust")]
     )

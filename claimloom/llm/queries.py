@@ -122,7 +122,7 @@ URL_RULES = (
 
 @query("op8_url_filter")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return hosts.judge(table(spark, sf_dir, "pages"), URL_RULES)
+    return hosts.judge(table(spark, sf_dir, "pages"), URL_RULES, whole=True, settled=hosts.SETTLED)
 
 
 def vocabulary() -> str:

@@ -20,6 +20,9 @@ FOLDER = "/root/testdata/sf0.001"
 PAGES = "page_id long, url string, html string, host string, links string"
 
 
+needs_tables = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="given tables are not here")
+
+
 def split_url(url):
     if url is None or "://" not in url:
         return "", ""
@@ -92,6 +95,69 @@ def test_hosts(spark):
     assert hosts.judge(spark.createDataFrame([], PAGES), queries.URL_RULES).collect() == []
 
 
+def settled_scores(pages, rules):
+    """Power iteration to the end over hosts with and without pages and the domains above them."""
+    read = [(*split_url(u), h or "") for _, u, h in pages]
+    links = collections.Counter()
+    names = {h for h, _, _ in read if h}
+    for host, _, html in read:
+        for to in re.findall(r"""href="http://([^/"]+)""", html):
+            if to.lower() != host:
+                links[host, to.lower()] += 1
+                names.add(to.lower())
+    for host in list(names):
+        while host.count(".") > 1:
+            up = host.split(".", 1)[1]
+            links[host, up], links[up, host] = links[host, up] or 1, links[up, host] or 1
+            names.add(up)
+            host = up
+    names = sorted(names)
+    at = {h: k for k, h in enumerate(names)}
+    graph = np.zeros((len(names), len(names)))
+    for (a, b), n in links.items():
+        graph[at[a], at[b]] = n
+    out = []
+    for verdict, g in (("allow", graph), ("block", graph.T)):
+        seeds = np.zeros(len(names))
+        for host, path, _ in read:
+            rule = rule_of(host, path, rules)
+            if rule and rule[2] == verdict:
+                seeds[at[host]] += 1
+        seeds = seeds / max(seeds.sum(), 1)
+        sums = g.sum(axis=1, keepdims=True)
+        share = np.divide(g, sums, out=np.zeros_like(g), where=sums > 0)
+        out.append(dict(zip(names, np.linalg.solve(np.eye(len(names)) - hosts.DAMPING * share.T, (1 - hosts.DAMPING) * seeds))))
+    return out
+
+
+@pytest.mark.parametrize("few", [hosts.FEW_LINKS, 0])
+def test_hosts_without_pages_pass_scores_on(spark, few):
+    """Siblings share only a domain without pages; a link leads to a host without pages."""
+    rules = (("bad.zone.net", "/", "block"), ("good.site.com", "/", "allow"), ("far.deep.zone.net", "/", "allow"))
+    hosts_ = ["bad.zone.net", "adult-x.zone.net", "a.b.zone.net", "good.site.com", "www.site.com", "far.deep.zone.net",
+              "lonely.zz", "10.0.0.1", "11.0.0.1", "linker.one.org", "one.org"]
+    pages = [(i, f"http://{hosts_[i % len(hosts_)]}/{i}", "") for i in range(44)]
+    pages += [(100, "http://linker.one.org/", '<a href="http://cdn.bad.zone.net/x"> <a href="http://nowhere.yy/">')]
+    frame_ = spark.createDataFrame([(*p, "h", "l") for p in pages], PAGES).repartition(3)
+    got = hosts.judge(frame_, rules, whole=True, settled=hosts.SETTLED, few=few).collect()
+    trust, distrust = settled_scores(pages, rules)
+    assert len(got) == len(pages)
+    for r in got:
+        assert r.trust == pytest.approx(trust[r.host], abs=2e-6) and r.distrust == pytest.approx(distrust[r.host], abs=2e-6)
+    by = {r.host: r for r in got}
+    assert by["adult-x.zone.net"].verdict == "block" and by["adult-x.zone.net"].rule is None and by["adult-x.zone.net"].distrust > 0
+    assert by["www.site.com"].trust > 0 and by["linker.one.org"].verdict == "block"
+    assert by["10.0.0.1"].trust == by["lonely.zz"].distrust == 0
+
+
+@needs_tables
+def test_host_query_spreads_on_the_given_tables(spark):
+    """Pages without a rule get scores from other hosts."""
+    rows = entry.queries()["op8_url_filter"](spark, FOLDER).collect()
+    own = {r.host for r in rows if r.rule is not None}
+    assert any(r.trust + r.distrust > 0 for r in rows if r.rule is None and r.host not in own)
+
+
 def test_differencing():
     assert sorted(np.bincount(packing.differencing(np.array([8, 7, 6, 5, 4]), 2), weights=[8, 7, 6, 5, 4]).tolist()) == [14, 16]
     draw = np.random.default_rng(3)
@@ -153,9 +219,6 @@ def test_packing(spark, tokenizer):
     assert packing.packed(spark.createDataFrame([], SCHEMA), queries.vocabulary()).collect() == []
 
 
-needs_tables = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="given tables are not here")
-
-
 @needs_tables
 def test_pipeline(spark, tokenizer):
     """Stage by stage: only rows go, each decision takes effect, and the end holds every id that was kept."""
