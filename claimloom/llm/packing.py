@@ -11,8 +11,9 @@ window exceeds the capacity, the group gets one window more.
 import heapq
 import json
 import math
+import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -35,7 +36,8 @@ PACKED = PIECES + ", sequence_id long, offset long"
 def encoder(path: str):
     """An encoder with the ids of the byte-level BPE vocabulary in a ``tokenizers`` JSON file.
 
-    The ids in such a file are the merge ranks, so the faster engine can run them.
+    The ids in such a file are the merge ranks, so the faster engine can run them. Its added tokens are
+    not part of it (see ``encode_added``).
     """
     import tiktoken
 
@@ -53,6 +55,34 @@ def encoder(path: str):
     return tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+@lru_cache(maxsize=4)
+def added(path: str) -> dict[str, int]:
+    """The added tokens of a ``tokenizers`` JSON file and their ids, longest first."""
+    with open(path, encoding="utf-8") as file:
+        tokens = json.load(file).get("added_tokens", [])
+    if odd := [t["content"] for t in tokens if t["single_word"] or t["lstrip"] or t["rstrip"]]:
+        raise ValueError(f"added tokens that depend on what surrounds them: {odd}")
+    return {t["content"]: t["id"] for t in sorted(tokens, key=lambda t: -len(t["content"]))}
+
+
+def encode_added(path: str) -> Callable[[str], list[int]]:
+    """Ids of a text as ``tokenizers`` gives them by default: added tokens first, each with its own id."""
+    ordinary, ids = encoder(path).encode_ordinary, added(path)
+    if not ids:
+        return ordinary
+    found = re.compile("(" + "|".join(map(re.escape, ids)) + ")")
+
+    def encode(text: str) -> list[int]:
+        if not found.search(text):
+            return ordinary(text)
+        out: list[int] = []
+        for i, part in enumerate(found.split(text)):
+            out += [ids[part]] if i % 2 else ordinary(part)
+        return out
+
+    return encode
+
+
 def cuts(tokens: int, capacity: int, piece: int) -> list[tuple[int, int]]:
     """(start, length) of the pieces of a document: full sequences, then pieces of the remainder."""
     full = tokens // capacity * capacity
@@ -60,11 +90,13 @@ def cuts(tokens: int, capacity: int, piece: int) -> list[tuple[int, int]]:
     return found + [(s, min(piece, tokens - s)) for s in range(full, tokens, piece)]
 
 
-def pieces(docs: DataFrame, vocabulary: str, capacity: int, piece: int, end_id: int) -> DataFrame:
+def pieces(
+    docs: DataFrame, vocabulary: str, capacity: int, piece: int, end_id: int, added_tokens: bool = False
+) -> DataFrame:
     """One row per piece: place in its document, length and checksum of its ids."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocabulary).encode_ordinary
+        encode = encode_added(vocabulary) if added_tokens else encoder(vocabulary).encode_ordinary
         for batch in batches:
             columns: list[list] = [[], [], [], [], []]
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -159,12 +191,14 @@ def packed(
     end_id: int = 1,
     id_col: str = "doc_id",
     text_col: str = "text",
+    added_tokens: bool = False,
 ) -> DataFrame:
     """Pack all documents into sequences of at most ``capacity`` tokens.
 
     ``vocabulary`` is the path of a byte-level BPE file, readable on every executor. A
     document is the ids of its text and ``end_id``; a null or empty text is ``end_id``
-    alone. Returns one row per piece: ``doc_id``, ``start`` (ids before it in its
+    alone. With ``added_tokens`` the added tokens of the vocabulary have their own ids where a text holds
+    them, as ``tokenizers`` does by default; without, they are ordinary text. Returns one row per piece: ``doc_id``, ``start`` (ids before it in its
     document), ``length``, ``ids_crc32`` (of its ids as little-endian 32-bit numbers),
     ``doc_tokens``, ``sequence_id`` and ``offset`` (place there, gapless from 0).
 
@@ -172,7 +206,7 @@ def packed(
     ignored, whatever their names. An empty table gives an empty result.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    cut = as_table(pieces(texts, vocabulary, capacity, piece, end_id), "pieces")
+    cut = as_table(pieces(texts, vocabulary, capacity, piece, end_id, added_tokens), "pieces")
     left = cut.filter(F.col("length") < capacity)
     tokens = left.agg(F.sum("length")).first()[0] or 0
     groups = max(1, math.ceil(tokens / (capacity * GROUP_WINDOWS)))

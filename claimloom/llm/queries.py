@@ -131,7 +131,7 @@ def vocabulary() -> str:
 
 @query("op9_packing")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.packed(table(spark, sf_dir, "documents"), vocabulary())
+    return packing.packed(table(spark, sf_dir, "documents"), vocabulary(), added_tokens=True)
 
 
 @query("op10_substring_dedup")

@@ -39,7 +39,7 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents, placed in sequences."""
-    return packing.packed(docs, vocabulary())
+    return packing.packed(docs, vocabulary(), added_tokens=True)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

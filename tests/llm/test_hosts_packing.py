@@ -219,6 +219,19 @@ def test_packing(spark, tokenizer):
     assert packing.packed(spark.createDataFrame([], SCHEMA), queries.vocabulary()).collect() == []
 
 
+def test_added_tokens_have_their_ids(spark, tmp_path):
+    """The query and the pipeline's stage give the ids of the default tokenizer, also for added tokens."""
+    default = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    draw, end = random.Random(34), "<|endoftext|>"
+    rows = [(1, f"a {end} b"), (2, end), (3, f"{end}{end}x  {end}\n\n {end}"), (4, "<|endof text|> <|endoftext|"), (5, None), (6, "")]
+    rows += [(10 + i, "".join(draw.choice([end, " ", "\n", "it's", " word", "é", "9"]) for _ in range(900))) for i in range(5)]
+    assert packing.encode_added(queries.vocabulary())(rows[0][1]) == default.encode(rows[0][1], add_special_tokens=False).ids
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for got in (entry.queries()["op9_packing"](spark, str(tmp_path)), corpus_pipeline.pack(spark, docs, str(tmp_path))):
+        check_packing(got.collect(), dict(rows), 2048, default)
+
+
 @needs_tables
 def test_pipeline(spark, tokenizer):
     """Stage by stage: only rows go, each decision takes effect, and the end holds every id that was kept."""
