@@ -62,9 +62,6 @@ class Sizes:
     alpha: float = 1.0
 
 
-SMALL = Sizes(forest_trees=10, forest_depth=8, rounds=5, round_depth=4)
-
-
 class _BoostingParams(
     HasFeaturesCol, HasLabelCol, HasPredictionCol, HasProbabilityCol, HasWeightCol, HasSeed
 ):

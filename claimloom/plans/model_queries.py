@@ -1,6 +1,6 @@
 """Model queries: fitted on the whole training fold, answered on the whole test fold.
 
-Model sizes are reduced (``SMALL``) because every query fits its own model.
+Every query fits its own model, of the full ``Sizes``.
 """
 
 from pyspark.ml.functions import vector_to_array
@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from claimloom import settings as S
 from claimloom.functions import clean
 from claimloom.operators import attribution, candidates, drift, scoring, splits, tuning
-from claimloom.operators.candidates import SMALL
 from claimloom.operators.encoders import FEATURE_VECTOR, build_preprocessor, feature_names
 from claimloom.plans import least_squares, training
 from claimloom.plans.quality_queries import row_texts
@@ -24,7 +23,7 @@ def _encoded(t) -> tuple[training.Encoded, DataFrame, DataFrame]:
 
 
 def _classifier(name: str):
-    return candidates.classifiers(SMALL)[name]
+    return candidates.classifiers()[name]
 
 
 def _tier_query(query_name: str, name: str):
@@ -47,7 +46,7 @@ def _charge_query(query_name: str, name: str, sql: str | None = None):
     def build(t):
         """Predicted charge of every held-out row."""
         data, _, test = _encoded(t)
-        _, pipeline = data.fit(candidates.fitting_regressors(data.train, SMALL)[name])
+        _, pipeline = data.fit(candidates.fitting_regressors(data.train)[name])
         return pipeline.transform(test).select(
             "BENE_ID", *S.CODE_COLUMNS, S.FLAG_COLUMN, F.round(S.LOG_TOTAL, 6).alias(S.LOG_TOTAL),
             F.round("prediction", 4).alias("predicted_log"),
@@ -79,8 +78,7 @@ for _query, _model, _sql in (
 @query("tuned_params")
 def tuned_params(t):
     train, _ = training.split(t.model_rows())
-    space = tuning.SMALL_SPACES["random_forest"]
-    found = tuning.tune_classifier("random_forest", train, n_iter=3, space=space, sizes=SMALL)
+    found = tuning.tune_classifier("random_forest", train)
     rows = [
         (i, k, str(v), tried["score"]) for i, tried in enumerate(found.tried)
         for k, v in tried["settings"].items()
@@ -99,7 +97,7 @@ def _bundle(t, classifier: str | None = None, regressor: str | None = None, back
     """The asked models, fitted on the training fold, and the rows to score."""
     data, train, test = _encoded(t)
     tier = data.fit(_classifier(classifier))[1] if classifier else None
-    charge = data.fit(candidates.fitting_regressors(data.train, SMALL)[regressor])[1] if regressor else None
+    charge = data.fit(candidates.fitting_regressors(data.train)[regressor])[1] if regressor else None
     sample = splits.sample_rows(train, row_texts()).select(*S.FEATURES) if background else None
     names = {"classifier": classifier, "regressor": regressor}
     return scoring.Bundle(tier, charge, names, sample), test.select("BENE_ID", *S.FEATURES)
