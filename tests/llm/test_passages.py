@@ -138,3 +138,24 @@ def test_leaks_equal_tiling(spark):
     assert {100 + i for i in range(12)} | {200 + i for i in range(12)} <= {r.doc_id for r in got}
     kept = decontaminate.without_leaks(frame(spark, rows), bench, threshold=0.8)
     assert {r.doc_id for r in kept.collect()} == {d for d, _ in rows} - {w[0] for w in wanted}
+
+
+def test_leaks_at_the_threshold_of_the_queries(spark):
+    """Edited and cut passages against the tiling, with the default coverage."""
+    draw = random.Random(25)
+    items = [(i, sentence(draw, 30)) for i in range(10)]
+    rows = [(i, sentence(draw, 40)) for i in range(10)]
+    for i, text in items:
+        words = text.split()
+        rows.append((100 + i, f"{sentence(draw, 6)} {' '.join(words[:20])}"))
+        rows.append((200 + i, " ".join([*words[:10], "edited", *words[11:20], "again", *words[21:]])))
+        rows.append((300 + i, " ".join(words[:15])))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    covered = {(d, i): tiling(tokens(t), tokens(item), decontaminate.LEAST) for d, t in rows for i, item in items}
+    wanted = {k for k, n in covered.items() if n >= 0.6 * len(tokens(items[k[1]][1]))}
+    assert {(100 + i, i) for i in range(10)} | {(200 + i, i) for i in range(10)} <= wanted
+    assert {(d, i) for d, i in wanted if covered[d, i] < 0.8 * len(tokens(items[i][1]))}
+    got = decontaminate.leaks(frame(spark, rows), bench)
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == wanted
+    kept = decontaminate.without_leaks(frame(spark, rows), bench)
+    assert {r.doc_id for r in kept.collect()} == {d for d, _ in rows} - {d for d, _ in wanted}
