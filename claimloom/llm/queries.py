@@ -12,6 +12,7 @@ from claimloom.llm import (
     language,
     lines,
     minhash,
+    owners,
     packing,
     passages,
     quality,
@@ -137,3 +138,20 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_substring_dedup")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = """
+SELECT doc_id,
+       max(doc_id) OVER same AS keep_id,
+       count(*) OVER same AS group_size,
+       doc_id IS NOT DISTINCT FROM max(doc_id) OVER same AS kept,
+       sha256(coalesce(text, '')) AS text_sha256
+FROM documents
+WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
+
+
+@query("op13_exact_dedup", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = owners.owners(table(spark, sf_dir, "documents"), largest=True)
+    return found.select("doc_id", *[F.col(c).alias(c.removeprefix("__")) for c in owners.ADDED])
