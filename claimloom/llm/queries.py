@@ -16,6 +16,7 @@ from claimloom.llm import (
     packing,
     passages,
     quality,
+    resampling,
     secrets,
     suffixes,
 )
@@ -140,6 +141,71 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.repeated_passages(table(spark, sf_dir, "documents"))
 
 
+# The list in ``hashed`` holds fixed values: CRC-32 (IEEE, reflected) of each hexadecimal digit.
+OP11_SQL = r"""
+WITH texts AS (
+    SELECT 'd' || row_number() OVER () AS row, doc_id, text FROM documents
+    UNION ALL SELECT 't' || row_number() OVER (), NULL, text FROM benchmark
+),
+split AS (
+    SELECT row, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[0-9a-z\x{80}-\x{10FFFF}]+') AS words
+    FROM texts
+),
+features AS (
+    SELECT row, feature, count(*) AS n FROM (
+        SELECT row, unnest(words) AS feature FROM split
+        UNION ALL
+        SELECT row, unnest(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) FROM split
+    ) GROUP BY row, feature
+),
+hashed AS (
+    SELECT feature, xor(4294967295, list_reduce(
+        list_transform(range(0, len(hex) // 2 * 2), lambda i: instr('123456789ABCDEF', substr(hex, (i + 2 - 2 * (i % 2))::INT, 1))::BIGINT),
+        lambda crc, digit: xor(crc >> 4, [0, 498536548, 997073096, 651767980, 1994146192, 1802195444, 1303535960,
+            1342533948, 3988292384, 4027552580, 3604390888, 3412177804, 2607071920, 2262029012, 2685067896,
+            3183342108][(xor(crc, digit) & 15) + 1]),
+        4294967295)) % 10000 AS bucket
+    FROM (SELECT feature, hex(encode(feature)) AS hex FROM (SELECT DISTINCT feature FROM features))
+),
+totals AS (
+    SELECT bucket, coalesce(sum(n) FILTER (WHERE row LIKE 'd%'), 0)::DOUBLE AS s,
+           coalesce(sum(n) FILTER (WHERE row LIKE 't%'), 0)::DOUBLE AS t
+    FROM features JOIN hashed USING (feature) GROUP BY bucket
+),
+gains AS (
+    SELECT bucket, floor(1000 * ln((t + 1) * (sum(s) OVER () + 10000) / ((s + 1) * (sum(t) OVER () + 10000))))::BIGINT AS gain
+    FROM totals
+),
+summed AS (
+    SELECT row, sum(n)::BIGINT AS n_features, sum(n * gain)::BIGINT AS total
+    FROM features JOIN hashed USING (feature) JOIN gains USING (bucket) GROUP BY row
+),
+weighed AS (
+    SELECT row, doc_id, len(words) AS n_words, coalesce(n_features, 0)::BIGINT AS n_features,
+           coalesce((total - ((total % n_features) + n_features) % n_features) // n_features, 0)::BIGINT AS weight,
+           ('0x' || substr(sha256('7:' || doc_id), 1, 8))::BIGINT AS h
+    FROM split LEFT JOIN summed USING (row) WHERE row LIKE 'd%'
+),
+scored AS (
+    SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score FROM weighed
+),
+drawn AS (
+    SELECT row, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS eligible
+    FROM scored WHERE n_words >= 20 AND score IS NOT NULL
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 25 * eligible // 100 THEN place END AS rank
+FROM scored LEFT JOIN drawn USING (row)
+"""
+
+
+@query("op11_importance_resampling", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, target = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return resampling.resampled(docs, target).select("doc_id", "n_features", "weight", "score", "rank")
+
+
 OP13_SQL = """
 SELECT doc_id,
        max(doc_id) OVER same AS keep_id,
