@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimloom.llm import (
+    alignment,
     decontaminate,
     hosts,
     language,
@@ -206,6 +207,12 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resampled(docs, target).select("doc_id", "n_features", "weight", "score", "rank")
 
 
+@query("op12_tokenizer_alignment")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.scored(table(spark, sf_dir, "documents"), vocabulary(), pieces)
+
+
 OP13_SQL = """
 SELECT doc_id,
        max(doc_id) OVER same AS keep_id,
