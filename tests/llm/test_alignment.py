@@ -3,6 +3,7 @@
 import hashlib
 import json
 import random
+from bisect import bisect
 from collections import Counter
 
 import numpy as np
@@ -66,11 +67,11 @@ def brute(rows):
         a_ends, b_ends = ends(a_bytes), ends(b_bytes)
         common = sorted(set(a_ends) & set(b_ends))
         at_a, at_b = dict(zip(a_ends, a)), dict(zip(b_ends, b))
-        groups, start = [], 0
+        groups, i_a, i_b = [], 0, 0
         for end in common:
-            parts = ([x for x, e in zip(side, offs) if start < e <= end] for side, offs in ((a, a_ends), (b, b_ends)))
-            groups.append("|".join(",".join(map(str, p)) for p in parts))
-            start = end
+            to_a, to_b = bisect(a_ends, end), bisect(b_ends, end)
+            groups.append("|".join(",".join(map(str, p)) for p in (a[i_a:to_a], b[i_b:to_b])))
+            i_a, i_b = to_a, to_b
         docs.append((i, a, b, groups, [(at_a[e], at_b[e]) for e in common]))
     counts = Counter(link for d in docs for link in d[4])
     highest = {}
