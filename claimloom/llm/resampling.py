@@ -10,9 +10,7 @@ their buckets. Other words and pairs are hashed directly. Both ways give the sam
 features belong to the head decides about speed only.
 """
 
-import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import repeat
@@ -24,10 +22,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimloom.functions.storage import as_table
+from claimloom.llm.textkernels import LOWER, Words, blocks
 
-WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
-AFTER_WORD = re.compile(rb"[^0-9a-z\x80-\xff]")
-LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
+IS_WORD = np.zeros(256, bool)
+IS_WORD[[*b"0123456789abcdefghijklmnopqrstuvwxyz", *range(0x80, 0x100)]] = True
 
 # The head: bounds of what is broadcast.
 HEAD_WORDS = 16_384
@@ -38,28 +36,59 @@ PAIR_SLOTS = 1 << 19
 # time. Counts fall short by at most 2 / COUNTED of the features and HEAD_ERROR of the words read.
 HEAD_ERROR = 1 / 200_000
 COUNTED = 400_000
-# Bytes of a text that are handled at a time.
+# Bytes of text that are handled at a time.
 SLICE_BYTES = 1_000_000
+SPACE = np.array([32], np.uint8)
 
 
-def slices(text: bytes, most: int = 0) -> Iterator[bytes]:
-    """Pieces of a lower-cased text that end behind a whole word."""
-    start, most = 0, most or SLICE_BYTES
-    while start < len(text):
-        found = AFTER_WORD.search(text, start + most) if start + most < len(text) else None
-        end = found.start() if found else len(text)
-        yield text[start:end]
-        start = end
+@dataclass(frozen=True)
+class Run:
+    """Words of consecutive rows, or of a piece of a long text: ``words[at]`` in order.
 
+    ``first[t]`` .. ``first[t + 1]`` are the words of row ``row + t``. From the second piece of a text on, the word before
+    leads the run again (``led``) and counts in its pair only.
+    """
 
-def word_runs(text: bytes) -> Iterator[tuple[list[bytes], bool]]:
-    """Words of a text piece by piece; from the second piece on, the word before leads the list."""
-    last: list[bytes] = []
-    for piece in slices(text.translate(LOWER)):
-        words = WORD.findall(piece)
-        if words:
-            yield last + words, bool(last)
-            last = words[-1:]
+    row: int
+    words: list[bytes]
+    at: np.ndarray
+    first: np.ndarray
+    led: bool
+
+    def pairs(self) -> np.ndarray:
+        """Places of the words that have a next word in their text."""
+        inner = np.ones(len(self.at), bool)
+        inner[self.first[1:][self.first[1:] > 0] - 1] = False
+        return np.flatnonzero(inner)
+
+
+def piece_ends(inside: np.ndarray) -> list[int]:
+    """Ends of pieces of about ``SLICE_BYTES``, none of them inside a word."""
+    ends, breaks, at = [], np.flatnonzero(~inside), SLICE_BYTES
+    while at < len(inside) and (place := np.searchsorted(breaks, at)) < len(breaks):
+        ends.append(int(breaks[place]))
+        at = ends[-1] + SLICE_BYTES
+    return [*ends, len(inside)]
+
+
+def runs(column: pa.Array) -> Iterator[Run]:
+    """The words of a text column, A-Z lower-cased, in runs of about ``SLICE_BYTES``."""
+    for row, _, data, offsets in blocks(column, SLICE_BYTES):
+        data, start, last = LOWER[data], 0, None
+        long = len(offsets) == 2 and len(data) > SLICE_BYTES
+        for end in piece_ends(IS_WORD[data]) if long else [len(data)]:
+            piece, start = data[start:end], end
+            if last is not None:
+                piece = np.concatenate([last, SPACE, piece])
+            inside = IS_WORD[piece]
+            words = Words(inside, None, np.array([0, len(piece)]) if long else offsets)
+            if len(words.starts) == (last is not None):
+                continue
+            ends = np.cumsum(words.ends - words.starts).astype(np.int32)
+            buffers = [None, pa.py_buffer(np.r_[np.int32(0), ends]), pa.py_buffer(piece[inside])]
+            coded = pa.Array.from_buffers(pa.binary(), len(ends), buffers).dictionary_encode()
+            yield Run(row, coded.dictionary.to_pylist(), coded.indices.to_numpy(), words.first, last is not None)
+            last = piece[words.starts[-1] : words.ends[-1]]
 
 
 @dataclass(frozen=True)
@@ -94,67 +123,99 @@ class Head:
         table[where], at[where] = codes[::-1], place[::-1]
         return cls(index, np.array([zlib.crc32(w) for w in words], np.int64), table, at)
 
-    def features(self, words: list[bytes], led: bool, buckets: int) -> np.ndarray:
-        """Buckets of all words and pairs of a run; a leading word of the piece before counts in its pair only."""
-        at = np.fromiter(map(self.words.get, words, repeat(-1)), np.int64, len(words))
-        states = self.states[at] if len(self.states) else np.zeros(len(words), np.int64)
-        for i in np.flatnonzero(at < 0).tolist():
-            states[i] = zlib.crc32(words[i])
-        out = np.empty(2 * len(words) - 1, np.int64)
-        singles, pairs = out[: len(words)], out[len(words) :]
-        singles[:] = states % buckets
-        codes = at[:-1] * len(self.words) + at[1:]
+    def features(self, run: Run, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Buckets of all words and of all pairs of a run, and the place of each pair's first word."""
+        index = np.fromiter(map(self.words.get, run.words, repeat(-1)), np.int64, len(run.words))
+        states = self.states[index] if len(self.states) else np.zeros(len(index), np.int64)
+        for i in np.flatnonzero(index < 0).tolist():
+            states[i] = zlib.crc32(run.words[i])
+        place = run.pairs()
+        first, second = run.at[place], run.at[place + 1]
+        head = index[first], index[second]
+        codes = head[0] * len(self.words) + head[1]
         slot = self.slot(codes, len(self.pairs))
-        known = (self.pairs[slot] == codes) & (at[:-1] >= 0) & (at[1:] >= 0)
-        pairs[:] = self.buckets[slot]
-        rest = np.flatnonzero(~known)
+        pairs = self.buckets[slot].astype(np.int64)
+        rest = np.flatnonzero((self.pairs[slot] != codes) | (head[0] < 0) | (head[1] < 0))
         if len(rest):
             # The CRC goes on from the first word's state.
-            crc32, following = zlib.crc32, [b" " + words[i + 1] for i in rest.tolist()]
-            crcs = np.fromiter(map(crc32, following, states[rest].tolist()), np.int64, len(rest))
+            following = [b" " + w for w in run.words]
+            seconds = map(following.__getitem__, second[rest].tolist())
+            crcs = np.fromiter(map(zlib.crc32, seconds, states[first[rest]].tolist()), np.int64, len(rest))
             pairs[rest] = crcs % buckets
-        return out[1:] if led else out
+        return (states % buckets)[run.at], pairs, place
 
 
 def _texts(docs: DataFrame, text_col: str, *columns) -> DataFrame:
-    return docs.select(F.col(text_col).cast("string").cast("binary").alias("text"), *columns)
-
-
-def _binaries(batches: Iterator[pa.RecordBatch]) -> Iterator[bytes]:
-    for batch in batches:
-        for value in batch.column(0):
-            yield value.as_py() or b""
+    return docs.select(F.col(text_col).cast("string").alias("text"), *columns)
+
+
+class Counts:
+    """Misra-Gries counts of words and pairs: the smallest are given up where there are too many."""
+
+    def __init__(self):
+        self.index: dict[bytes, int] = {}
+        self.words = np.zeros(0, np.int64)
+        # Pairs as first << 32 | second, ascending.
+        self.pairs, self.times = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def add(self, run: Run) -> None:
+        known = self.index
+        names = np.array([known.setdefault(w, len(known)) for w in run.words], np.int64)
+        words = np.zeros(len(known), np.int64)
+        words[: len(self.words)] = self.words
+        words += np.bincount(names[run.at[int(run.led) :]], minlength=len(known))
+        self.words = words
+        place = run.pairs()
+        found, times = np.unique((names[run.at[place]] << 32) | names[run.at[place + 1]], return_counts=True)
+        codes = np.concatenate([self.pairs, found])
+        order = np.argsort(codes, kind="stable")
+        codes, times = codes[order], np.concatenate([self.times, times])[order]
+        new = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]][: len(codes)])
+        self.pairs, self.times = codes[new], np.add.reduceat(times, new) if len(new) else times
+        if len(known) > COUNTED:
+            self._shorten_words()
+        if len(self.pairs) > COUNTED:
+            least = _lowered_by(self.times)
+            kept = self.times > least
+            self.pairs, self.times = self.pairs[kept], self.times[kept] - least
+
+    def _shorten_words(self) -> None:
+        """A pair is given up with its words: it was not more frequent than they were."""
+        least = _lowered_by(self.words)
+        kept = self.words > least
+        number = np.cumsum(kept) - 1
+        self.index = {w: int(number[i]) for w, i in self.index.items() if kept[i]}
+        self.words = self.words[kept] - least
+        first, second = self.pairs >> 32, self.pairs & 0xFFFFFFFF
+        both = kept[first] & kept[second]
+        codes = (number[first[both]] << 32) | number[second[both]]
+        # Numbers keep their order, so codes do.
+        self.pairs, self.times = codes, self.times[both]
+
+
+def _lowered_by(counts: np.ndarray) -> int:
+    """The count that half of the places lie above."""
+    return int(np.partition(counts, len(counts) - COUNTED // 2)[len(counts) - COUNTED // 2])
 
 
 def count_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Frequent words and pairs of what the task reads, as (first, second or null, count)."""
-    counts: Counter = Counter()
-    total = 0
-
-    def shorten() -> None:
-        """Misra-Gries: lower all counts by the one that half of the places lie above."""
-        numbers = np.fromiter(counts.values(), np.int64, len(counts))
-        least = int(np.partition(numbers, len(numbers) - COUNTED // 2)[len(numbers) - COUNTED // 2])
-        left = {k: n - least for k, n in counts.items() if n > least}
-        counts.clear()
-        counts.update(left)
-
-    for text in _binaries(batches):
-        for words, led in word_runs(text):
-            total += len(words) - led
-            counts.update(words[1:] if led else words)
-            counts.update(zip(words, words[1:]))
-            if len(counts) > COUNTED:
-                shorten()
-    short = [
-        ((k, None) if isinstance(k, bytes) else k, n) for k, n in counts.items()
-        if n >= total * HEAD_ERROR and max(map(len, (k,) if isinstance(k, bytes) else k)) <= HEAD_WORD_BYTES
-    ]
+    counts, total = Counts(), 0
+    for batch in batches:
+        for run in runs(batch.column(0)):
+            counts.add(run)
+            total += len(run.at)
+    words = list(counts.index)
+    short = np.array([len(w) <= HEAD_WORD_BYTES for w in words], bool)
+    singles = np.flatnonzero(short & (counts.words >= total * HEAD_ERROR))
+    first, second = counts.pairs >> 32, counts.pairs & 0xFFFFFFFF
+    pairs = np.flatnonzero((counts.times >= total * HEAD_ERROR) & short[first] & short[second])
+    names = pa.array(words, pa.binary())
     yield pa.RecordBatch.from_arrays(
         [
-            pa.array([k[0] for k, _ in short], pa.binary()),
-            pa.array([k[1] for k, _ in short], pa.binary()),
-            pa.array([n for _, n in short], pa.int64()),
+            pa.concat_arrays([names.take(pa.array(singles)), names.take(pa.array(first[pairs]))]),
+            pa.concat_arrays([pa.nulls(len(singles), pa.binary()), names.take(pa.array(second[pairs]))]),
+            pa.array(np.concatenate([counts.words[singles], counts.times[pairs]])),
         ],
         names=["first", "second", "n"],
     )
@@ -179,9 +240,10 @@ def bucket_totals(docs: DataFrame, head: Head, buckets: int, text_col: str = "te
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals, known = np.zeros(buckets, np.int64), shared.value
-        for text in _binaries(batches):
-            for words, led in word_runs(text):
-                totals += np.bincount(known.features(words, led, buckets), minlength=buckets)
+        for batch in batches:
+            for run in runs(batch.column(0)):
+                words, pairs, _ = known.features(run, buckets)
+                totals += np.bincount(words[int(run.led) :], minlength=buckets) + np.bincount(pairs, minlength=buckets)
         some = np.flatnonzero(totals)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(totals[some])], names=["bucket", "n"])
 
@@ -200,6 +262,10 @@ def bucket_gains(corpus: DataFrame, target: DataFrame, buckets: int) -> np.ndarr
     return np.floor(1000 * np.array(gains)).astype(np.int64)
 
 
+def _sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    return np.diff(np.r_[0, np.cumsum(values)][bounds])
+
+
 def weights(docs: DataFrame, head: Head, gains: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``n_words``, ``n_features`` and ``weight``, the floored mean gain, of each document."""
     buckets = len(gains)
@@ -208,18 +274,22 @@ def weights(docs: DataFrame, head: Head, gains: np.ndarray, id_col: str = "doc_i
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, gain = shared.value
         for batch in batches:
-            rows = []
-            for value in batch.column(0):
-                n_words = n_features = total = 0
-                for words, led in word_runs(value.as_py() or b""):
-                    found = known.features(words, led, buckets)
-                    n_words += len(words) - led
-                    n_features += len(found)
-                    total += int(gain[found].sum())
-                rows.append((n_words, n_features, total // n_features if n_features else 0))
-            columns = [pa.array(c, pa.int64()) for c in zip(*rows)] or [pa.array([], pa.int64())] * 3
+            n_words, n_pairs, total = np.zeros((3, batch.num_rows), np.int64)
+            for run in runs(batch.column(0)):
+                words, pairs, place = known.features(run, buckets)
+                gains_of_words, gains_of_pairs = gain[words], gain[pairs]
+                if run.led:
+                    gains_of_words[0] = 0
+                bounds = np.searchsorted(place, run.first)
+                rows = slice(run.row, run.row + len(run.first) - 1)
+                n_words[rows] += np.diff(run.first) - run.led
+                n_pairs[rows] += np.diff(bounds)
+                total[rows] += _sums(gains_of_words, run.first) + _sums(gains_of_pairs, bounds)
+            n_features = n_words + n_pairs
+            weight = total // np.maximum(n_features, 1)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(1), *columns], names=["doc_id", "n_words", "n_features", "weight"]
+                [batch.column(1), *map(pa.array, (n_words, n_features, weight))],
+                names=["doc_id", "n_words", "n_features", "weight"],
             )
 
     rows = _texts(docs, text_col, F.col(id_col).cast("long").alias("doc_id"))

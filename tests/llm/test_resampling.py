@@ -7,6 +7,8 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -71,31 +73,40 @@ def test_head_decides_nothing(spark, monkeypatch, words, pairs, counted):
     assert run(spark, ROWS, ITEMS) == brute(ROWS, ITEMS, 10_000)
 
 
-def test_head_and_tail_give_one_bucket():
+def run_of(texts, monkeypatch, most=1_000_000):
+    monkeypatch.setattr(resampling, "SLICE_BYTES", most)
+    return list(resampling.runs(pa.array(texts, pa.string())))
+
+
+def test_head_and_tail_give_one_bucket(monkeypatch):
     draw = random.Random(4)
-    words = [draw.choice([b"a", b"bc", b"\xc3\xa9", b"7", b"zz"]) for _ in range(400)]
-    counts, pairs = Counter(words), Counter(zip(words, words[1:]))
-    want = [zlib.crc32(w) % 77 for w in words] + [zlib.crc32(a + b" " + b) % 77 for a, b in zip(words, words[1:])]
+    words = [draw.choice(["a", "bc", "é", "7", "zz"]) for _ in range(400)]
+    coded = [w.encode() for w in words]
+    counts, pairs = Counter(coded), Counter(zip(coded, coded[1:]))
+    singles = [zlib.crc32(w) % 77 for w in coded]
+    couples = [zlib.crc32(a + b" " + b) % 77 for a, b in zip(coded, coded[1:])]
+    (run,) = run_of([" ".join(words)], monkeypatch)
     for n in range(6):
         head = resampling.Head.of([w for w, _ in counts.most_common(n)], [p for p, _ in pairs.most_common(3 * n)], 77)
-        assert head.features(words, False, 77).tolist() == want
-        assert head.features(words, True, 77).tolist() == want[1:]
-
-
-def test_slices_never_cut_a_word():
-    text = b"ab cd" * 50 + b"long" * 40 + b" end"
-    for most in (1, 3, 10, 10_000):
-        pieces = list(resampling.slices(text, most))
-        assert b"".join(pieces) == text
-        assert [w for words, led in runs(text, most) for w in words[led:]] == resampling.WORD.findall(text)
-
-
-def runs(text, most):
-    kept, resampling.SLICE_BYTES = resampling.SLICE_BYTES, most
-    try:
-        return list(resampling.word_runs(text))
-    finally:
-        resampling.SLICE_BYTES = kept
+        found = head.features(run, 77)
+        assert (found[0].tolist(), found[1].tolist(), found[2].tolist()) == (singles, couples, list(range(399)))
+
+
+@pytest.mark.parametrize("most", [1, 3, 10, 100, 1_000_000])
+def test_runs_cut_no_word(monkeypatch, most):
+    texts = ["ab cd" * 50 + "long" * 40 + " end", None, "", "  Two words  ", "-" * 90 + "x" + "-" * 90, "one"]
+    found = {i: ([], []) for i in range(len(texts))}
+    for run in run_of(texts, monkeypatch, most):
+        for t in range(len(run.first) - 1):
+            words = [run.words[i].decode() for i in run.at[run.first[t] : run.first[t + 1]]]
+            found[run.row + t][0].extend(words[run.led :])
+        place = run.pairs()
+        owner = np.searchsorted(run.first, place, side="right") - 1
+        for p, t in zip(place.tolist(), owner.tolist()):
+            found[run.row + t][1].append(" ".join(run.words[i].decode() for i in run.at[p : p + 2]))
+    for i, text in enumerate(texts):
+        words, both = features(text)
+        assert found[i] == (words, both[len(words) :])
 
 
 def test_frequent_counts_have_bounded_error(spark, monkeypatch):
