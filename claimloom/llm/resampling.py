@@ -13,11 +13,11 @@ features belong to the head decides about speed only.
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
 from math import log
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,7 +37,7 @@ PAIR_SLOTS = 1 << 19
 HEAD_ERROR = 1 / 200_000
 COUNTED = 400_000
 # Bytes of text that are handled at a time.
-SLICE_BYTES = 1_000_000
+SLICE_BYTES = 4_000_000
 SPACE = np.array([32], np.uint8)
 
 
@@ -50,11 +50,14 @@ class Run:
     """
 
     row: int
-    words: list[bytes]
+    words: pa.BinaryArray
     at: np.ndarray
     first: np.ndarray
     led: bool
 
+    def texts(self) -> list[bytes]:
+        return self.words.to_numpy(zero_copy_only=False).tolist()
+
     def pairs(self) -> np.ndarray:
         """Places of the words that have a next word in their text."""
         inner = np.ones(len(self.at), bool)
@@ -87,7 +90,7 @@ def runs(column: pa.Array) -> Iterator[Run]:
             ends = np.cumsum(words.ends - words.starts).astype(np.int32)
             buffers = [None, pa.py_buffer(np.r_[np.int32(0), ends]), pa.py_buffer(piece[inside])]
             coded = pa.Array.from_buffers(pa.binary(), len(ends), buffers).dictionary_encode()
-            yield Run(row, coded.dictionary.to_pylist(), coded.indices.to_numpy(), words.first, last is not None)
+            yield Run(row, coded.dictionary, coded.indices.to_numpy(), words.first, last is not None)
             last = piece[words.starts[-1] : words.ends[-1]]
 
 
@@ -99,7 +102,7 @@ class Head:
     taken by a more frequent one is hashed like the tail.
     """
 
-    words: dict[bytes, int]
+    words: pa.BinaryArray
     states: np.ndarray
     pairs: np.ndarray
     buckets: np.ndarray
@@ -121,14 +124,15 @@ class Head:
         # Backwards, so that the more frequent pair is written last.
         where = cls.slot(codes, slots)[::-1]
         table[where], at[where] = codes[::-1], place[::-1]
-        return cls(index, np.array([zlib.crc32(w) for w in words], np.int64), table, at)
+        return cls(pa.array(words, pa.binary()), np.array([zlib.crc32(w) for w in words], np.int64), table, at)
 
     def features(self, run: Run, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Buckets of all words and of all pairs of a run, and the place of each pair's first word."""
-        index = np.fromiter(map(self.words.get, run.words, repeat(-1)), np.int64, len(run.words))
+        index = pc.fill_null(pc.index_in(run.words, value_set=self.words), -1).to_numpy().astype(np.int64)
         states = self.states[index] if len(self.states) else np.zeros(len(index), np.int64)
-        for i in np.flatnonzero(index < 0).tolist():
-            states[i] = zlib.crc32(run.words[i])
+        texts = run.texts()
+        tail = np.flatnonzero(index < 0).tolist()
+        states[tail] = [zlib.crc32(texts[i]) for i in tail]
         place = run.pairs()
         first, second = run.at[place], run.at[place + 1]
         head = index[first], index[second]
@@ -138,7 +142,7 @@ class Head:
         rest = np.flatnonzero((self.pairs[slot] != codes) | (head[0] < 0) | (head[1] < 0))
         if len(rest):
             # The CRC goes on from the first word's state.
-            following = [b" " + w for w in run.words]
+            following = [b" " + w for w in texts]
             seconds = map(following.__getitem__, second[rest].tolist())
             crcs = np.fromiter(map(zlib.crc32, seconds, states[first[rest]].tolist()), np.int64, len(rest))
             pairs[rest] = crcs % buckets
@@ -157,22 +161,30 @@ class Counts:
         self.words = np.zeros(0, np.int64)
         # Pairs as first << 32 | second, ascending.
         self.pairs, self.times = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.waiting: list[tuple[np.ndarray, np.ndarray]] = []
 
     def add(self, run: Run) -> None:
         known = self.index
-        names = np.array([known.setdefault(w, len(known)) for w in run.words], np.int64)
+        names = np.array([known.setdefault(w, len(known)) for w in run.texts()], np.int64)
         words = np.zeros(len(known), np.int64)
         words[: len(self.words)] = self.words
         words += np.bincount(names[run.at[int(run.led) :]], minlength=len(known))
         self.words = words
         place = run.pairs()
-        found, times = np.unique((names[run.at[place]] << 32) | names[run.at[place + 1]], return_counts=True)
-        codes = np.concatenate([self.pairs, found])
+        codes = (names[run.at[place]] << 32) | names[run.at[place + 1]]
+        self.waiting.append(np.unique(codes, return_counts=True))
+        if sum(len(codes) for codes, _ in self.waiting) > COUNTED or len(known) > COUNTED:
+            self.settle()
+
+    def settle(self) -> None:
+        """Add up what waits and keep to the bounds."""
+        codes, times = (np.concatenate(x) for x in zip((self.pairs, self.times), *self.waiting))
+        self.waiting = []
         order = np.argsort(codes, kind="stable")
-        codes, times = codes[order], np.concatenate([self.times, times])[order]
+        codes, times = codes[order], times[order]
         new = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]][: len(codes)])
         self.pairs, self.times = codes[new], np.add.reduceat(times, new) if len(new) else times
-        if len(known) > COUNTED:
+        if len(self.words) > COUNTED:
             self._shorten_words()
         if len(self.pairs) > COUNTED:
             least = _lowered_by(self.times)
@@ -205,6 +217,7 @@ def count_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         for run in runs(batch.column(0)):
             counts.add(run)
             total += len(run.at)
+    counts.settle()
     words = list(counts.index)
     short = np.array([len(w) <= HEAD_WORD_BYTES for w in words], bool)
     singles = np.flatnonzero(short & (counts.words >= total * HEAD_ERROR))

@@ -98,12 +98,12 @@ def test_runs_cut_no_word(monkeypatch, most):
     found = {i: ([], []) for i in range(len(texts))}
     for run in run_of(texts, monkeypatch, most):
         for t in range(len(run.first) - 1):
-            words = [run.words[i].decode() for i in run.at[run.first[t] : run.first[t + 1]]]
+            words = [run.texts()[i].decode() for i in run.at[run.first[t] : run.first[t + 1]]]
             found[run.row + t][0].extend(words[run.led :])
         place = run.pairs()
         owner = np.searchsorted(run.first, place, side="right") - 1
         for p, t in zip(place.tolist(), owner.tolist()):
-            found[run.row + t][1].append(" ".join(run.words[i].decode() for i in run.at[p : p + 2]))
+            found[run.row + t][1].append(" ".join(run.texts()[i].decode() for i in run.at[p : p + 2]))
     for i, text in enumerate(texts):
         words, both = features(text)
         assert found[i] == (words, both[len(words) :])
