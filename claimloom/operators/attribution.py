@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from claimloom import settings as S
 from claimloom.functions.skew import lookup_join
 from claimloom.functions.storage import cut, spread
+from claimloom.operators import tree_attribution
 from claimloom.operators.candidates import estimator_of, preprocessor_of
 from claimloom.operators.encoders import FEATURE_VECTOR, feature_names
 
@@ -169,23 +170,50 @@ def shapley(
 
 
 def linear_values(fitted: PipelineModel, rows: DataFrame, background: DataFrame) -> DataFrame:
-    """Closed form for a linear model: coefficient times distance from the mean."""
+    """Closed form for a linear model: coefficient times distance from the background's mean."""
     model = estimator_of(fitted)
     if not isinstance(model, LinearRegressionModel):
         raise ValueError("not a linear model")
-    blends = background_vectors(fitted, background)
     weights = [float(w) for w in model.coefficients]
-    means = [sum(b[i] * share for b, share in blends) for i in range(len(weights))]
-    encoded = preprocessor_of(fitted).transform(rows)
     x = vector_to_array(FEATURE_VECTOR)
+    found = preprocessor_of(fitted).transform(background).agg(*[F.avg(x[i]).alias(f"m{i}") for i in range(len(weights))])
+    means = list(found.first())
+    if None in means:
+        raise ValueError("A background sample is needed to explain this model")
+    encoded = preprocessor_of(fitted).transform(rows)
     shap = F.array(*[F.array(F.lit(w) * (x[i] - F.lit(m))) for i, (w, m) in enumerate(zip(weights, means))])
     base = model.intercept + sum(w * m for w, m in zip(weights, means))
     temporary = [c for c in encoded.columns if c not in rows.columns]
-    return (
-        encoded.withColumn("shap", shap)
-        .withColumn("base", F.array(F.lit(float(base))))
-        .drop(*[c for c in temporary])
-    )
+    return encoded.withColumn("shap", shap).withColumn("base", F.array(F.lit(float(base)))).drop(*temporary)
+
+
+def tree_shapley(
+    fitted: PipelineModel, rows: DataFrame, background: DataFrame | None, classes: int
+) -> DataFrame:
+    """Exact Shapley values of a tree model's output, for any number of features.
+
+    With a ``background`` the values of :func:`shapley`; without one, absent features follow the training
+    rows through the trees. Equal feature vectors are explained once. Returns the rows with ``shap`` and ``base``.
+    """
+    names = feature_names(preprocessor_of(fitted))
+    blends = None if background is None else background_vectors(fitted, background)
+    if blends == []:
+        raise ValueError("A background sample is needed to explain this model")
+    encoded = preprocessor_of(fitted).transform(rows).withColumn("__x", vector_to_array(FEATURE_VECTOR))
+    nodes = tree_attribution.model_nodes(estimator_of(fitted), classes)
+    values = tree_attribution.tree_values(nodes, encoded.select("__x").distinct(), len(names), classes, blends)
+    temporary = [c for c in encoded.columns if c not in rows.columns]
+    return lookup_join(encoded, values, ["__x"], "left").drop(*temporary)
+
+
+def explained(fitted: PipelineModel, rows: DataFrame, background: DataFrame | None, classes: int) -> DataFrame:
+    """Shapley values by the way that fits the model: trees, linear, or coalitions for all others."""
+    model = estimator_of(fitted)
+    if tree_attribution.is_tree_model(model):
+        return tree_shapley(fitted, rows, background, classes)
+    if isinstance(model, LinearRegressionModel) and background is not None:
+        return linear_values(fitted, rows, background)
+    return shapley(fitted, rows, background, classes)
 
 
 def top_contributions(

@@ -43,7 +43,7 @@ def predict_tier(bundle: Bundle, rows: DataFrame, explain: bool = True) -> DataF
     Without a background sample the contributions are empty; the prediction stays.
     """
     if explain and bundle.background is not None:
-        rows = attribution.shapley(bundle.classifier, rows, bundle.background, len(S.TIERS))
+        rows = attribution.explained(bundle.classifier, rows, bundle.background, len(S.TIERS))
         names = feature_names(preprocessor_of(bundle.classifier))
         contributions = attribution.top_contributions(
             names, attribution.of_class(F.col("shap"), F.col("prediction"))

@@ -1,6 +1,7 @@
 """All registered queries."""
 
 from claimloom.plans import (  # noqa: F401
+    attribution_queries,
     drift_queries,
     feature_queries,
     ingest_queries,

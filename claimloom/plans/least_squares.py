@@ -32,12 +32,25 @@ _COLUMNS = [
 ]
 
 
+def weights(penalty: float) -> str:
+    """Common table expressions with ``a0`` (centred features ``x0``, ``x1`` ...) and ``weights``, one row of
+    coefficients ``w0``, ``w1`` ...: a row that has one feature alone is predicted to be its coefficient.
+    """
+    n = len(_COLUMNS)
+    picked = ", ".join(f"max(p) FILTER (WHERE fold = 'unit{i}') AS w{i}" for i in range(n))
+    return f"{_fit(penalty, _COLUMNS, True)},\nweights AS (SELECT {picked} FROM a{n})"
+
+
 def predictions(penalty: float = 0.0) -> str:
     """Common table expressions that end in ``predicted`` (``KEYS``, ``p``), one row per test row.
 
     Without a penalty one level of the flag is left out, which changes no prediction.
     """
     columns = _COLUMNS if penalty else [c for i, c in enumerate(_COLUMNS) if i != 3]
+    return f"{_fit(penalty, columns)},\npredicted AS (SELECT {KEYS}, p FROM a{len(columns)} WHERE fold = 'test')"
+
+
+def _fit(penalty: float, columns: list[str], units: bool = False) -> str:
     n = len(columns)
     names = [f"x{i}" for i in range(n)]
     parts = [
@@ -50,14 +63,17 @@ def predictions(penalty: float = 0.0) -> str:
         FROM encoded WHERE fold = 'train')""",
     ]
     rows = f"SELECT {KEYS}, fold, {', '.join(f'{x} - m{x} AS {x}' for x in names)}, LOG_TOTAL_CHARGE - my AS r, my AS p FROM encoded, means"
-    if penalty:
-        units = [
-            f"SELECT {', '.join(f'NULL AS {k.strip()}' for k in KEYS.split(','))}, 'train' AS fold, "
-            + ", ".join(f"{penalty ** 0.5 if i == j else 0.0} AS {x}" for j, x in enumerate(names))
+    def alone(i: int, size: float, fold: str) -> str:
+        return (
+            f"SELECT {', '.join(f'NULL AS {k.strip()}' for k in KEYS.split(','))}, '{fold}' AS fold, "
+            + ", ".join(f"{size if i == j else 0.0} AS {x}" for j, x in enumerate(names))
             + ", 0.0 AS r, 0.0 AS p"
-            for i in range(n)
-        ]
-        rows = " UNION ALL ".join([rows, *units])
+        )
+
+    if penalty:
+        rows = " UNION ALL ".join([rows, *(alone(i, penalty**0.5, "train") for i in range(n))])
+    if units:
+        rows = " UNION ALL ".join([rows, *(alone(i, 1.0, f"unit{i}") for i in range(n))])
     parts.append(f"a0 AS ({rows})")
     for j, x in enumerate(names):
         later = [*names[j + 1 :], "r"]
@@ -65,5 +81,4 @@ def predictions(penalty: float = 0.0) -> str:
         parts.append(f"s{j} AS (SELECT {shares} FROM a{j} WHERE fold = 'train')")
         kept = ", ".join(f"{k} - b{k} * {x} AS {k}" for k in later)
         parts.append(f"a{j + 1} AS (SELECT {KEYS}, fold, {kept}, p + br * {x} AS p FROM a{j}, s{j})")
-    parts.append(f"predicted AS (SELECT {KEYS}, p FROM a{n} WHERE fold = 'test')")
     return ",\n".join(parts)

@@ -145,77 +145,6 @@ def prediction_drift(t):
     return numeric.join(drift.categorical_drift(reference, current, ["predicted_tier"]), "column_name")
 
 
-_LINEAR = f"""{FOLDS}, fit AS (
-  SELECT regr_slope(LOG_TOTAL_CHARGE, Number_of_Claims_inp) AS w1, avg(Number_of_Claims_inp) AS m1,
-    regr_slope(LOG_TOTAL_CHARGE, Number_of_Claims_out) AS w2, avg(Number_of_Claims_out) AS m2,
-    regr_slope(LOG_TOTAL_CHARGE, Median_Income) AS w3, avg(Median_Income) AS m3 FROM train),
-contributions AS (
-  SELECT BENE_ID, PRNCPAL_DGNS_CD_inp, CLM_E_POA_IND_SW1, PRNCPAL_DGNS_CD_out,
-    round(w1 * (Number_of_Claims_inp - m1), 9) AS c1, round(w2 * (Number_of_Claims_out - m2), 9) AS c2,
-    round(w3 * (Median_Income - m3), 9) AS c3 FROM test, fit)
-"""
-
-
-def _linear(t):
-    """One-feature slopes on the training fold times distance from the mean."""
-    train, test = t.train_test()
-    fit = train.agg(
-        *[F.regr_slope(S.LOG_TOTAL, c).alias(f"w{i}") for i, c in enumerate(S.NUMERIC_COLUMNS, 1)],
-        *[F.avg(c).alias(f"m{i}") for i, c in enumerate(S.NUMERIC_COLUMNS, 1)],
-    ).first()
-    return test.select(
-        "BENE_ID", S.CODE_COLUMNS[0], S.FLAG_COLUMN, S.CODE_COLUMNS[1],
-        *[
-            F.round(F.lit(fit[f"w{i}"]) * (F.col(c) - F.lit(fit[f"m{i}"])), 9).alias(f"c{i}")
-            for i, c in enumerate(S.NUMERIC_COLUMNS, 1)
-        ],
-    )
-
-
-@query(
-    "linear_attribution",
-    f"""WITH {_LINEAR} SELECT BENE_ID, PRNCPAL_DGNS_CD_inp, CLM_E_POA_IND_SW1, PRNCPAL_DGNS_CD_out,
-      round(c1, 6) AS c1, round(c2, 6) AS c2, round(c3, 6) AS c3 FROM contributions""",
-)
-def linear_attribution(t):
-    rows = _linear(t)
-    return rows.select(*rows.columns[:4], *[F.round(c, 6).alias(c) for c in ("c1", "c2", "c3")])
-
-
-@query(
-    "top_contributions",
-    f"""WITH {_LINEAR}, long AS (
-      SELECT * EXCLUDE (c1, c2, c3), 'Number_of_Claims_inp' AS feature, c1 AS c FROM contributions
-      UNION ALL SELECT * EXCLUDE (c1, c2, c3), 'Number_of_Claims_out', c2 FROM contributions
-      UNION ALL SELECT * EXCLUDE (c1, c2, c3), 'Median_Income', c3 FROM contributions),
-    ranked AS (SELECT *, row_number() OVER (PARTITION BY BENE_ID, PRNCPAL_DGNS_CD_inp, CLM_E_POA_IND_SW1,
-      PRNCPAL_DGNS_CD_out ORDER BY abs(c) DESC, feature) AS rank FROM long)
-    SELECT BENE_ID, PRNCPAL_DGNS_CD_inp, CLM_E_POA_IND_SW1, PRNCPAL_DGNS_CD_out, rank, feature,
-      round(c, 6) AS contribution, CASE WHEN c > 0 THEN 'increases' ELSE 'decreases' END AS direction
-    FROM ranked WHERE rank <= 2""",
-)
-def top_contributions(t):
-    rows = _linear(t)
-    best = attribution.top_contributions(S.NUMERIC_COLUMNS, F.array("c1", "c2", "c3"), 2)
-    return rows.select(*rows.columns[:4], F.posexplode(best).alias("place", "c")).select(
-        *rows.columns[:4], (F.col("place") + 1).alias("rank"), "c.feature", "c.contribution", "c.direction"
-    )
-
-
-@query(
-    "impact_table",
-    f"""WITH {_LINEAR}, long AS (
-      SELECT * EXCLUDE (c1, c2, c3), 'Number_of_Claims_inp' AS feature, c1 AS c FROM contributions
-      UNION ALL SELECT * EXCLUDE (c1, c2, c3), 'Number_of_Claims_out', c2 FROM contributions
-      UNION ALL SELECT * EXCLUDE (c1, c2, c3), 'Median_Income', c3 FROM contributions)
-    SELECT BENE_ID, feature, round(c, 6) AS contribution,
-      CASE WHEN c > 0 THEN 'increases' ELSE 'decreases' END AS direction, abs(round(c, 6)) AS impact FROM long""",
-)
-def impact_table(t):
-    best = attribution.top_contributions(S.NUMERIC_COLUMNS, F.array("c1", "c2", "c3"))
-    return attribution.impact_table(_linear(t).withColumn("top_contributions", best), "BENE_ID")
-
-
 @query(
     "explode_probabilities",
     f"""WITH {SCORES}, long AS ({" UNION ALL ".join(
