@@ -27,6 +27,8 @@ from claimloom.llm.packing import encoder
 BLOCK_CHARS = 1_000_000
 # Tokens of the first side that one place of the state vector works off.
 LANE = 256
+# Links that are scored at once; a row with more is scored alone.
+SCORED_LINKS = 200_000
 # Pairs that are broadcast with their counts.
 HEAD_PAIRS = 262_144
 
@@ -118,13 +120,15 @@ class Block:
 
     @classmethod
     def of(cls, a: Side, b: Side, texts: list[str | None]) -> "Block":
-        ids = []
+        none = np.zeros(0, np.int32)
+        ids = [(none, none)]
         for text in texts:
             pair = (a.encode(text), b.encode(text)) if text else ([], [])
             spelled = (" " + text).encode() if text else b""
-            ids.append(pair if a.spells(pair[0], spelled) and b.spells(pair[1], spelled) else ([], []))
-        a_ids, b_ids = (np.array([i for pair in ids for i in pair[side]], np.int32) for side in (0, 1))
-        a_first, b_first = (np.cumsum([0, *(len(pair[side]) for pair in ids)]) for side in (0, 1))
+            same = a.spells(pair[0], spelled) and b.spells(pair[1], spelled)
+            ids.append((np.array(pair[0], np.int32), np.array(pair[1], np.int32)) if same else ids[0])
+        a_ids, b_ids = (np.concatenate([pair[side] for pair in ids]) for side in (0, 1))
+        a_first, b_first = (np.cumsum([len(pair[side]) for pair in ids]) for side in (0, 1))
         cut_a, cut_b = lockstep(np.cumsum(a.sizes[a_ids]), np.cumsum(b.sizes[b_ids]), a_first)
         return cls(a_ids, b_ids, cut_a, cut_b, a_first, b_first)
 
@@ -238,6 +242,16 @@ def _codes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 SCORED = DIGEST + ", row long, n_best long, count_sum long, rest array<struct<a:int,b:int,times:long>>"
 
 
+def _few_links(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with about ``SCORED_LINKS`` links."""
+    ends, first = np.asarray(batch.column("link_a").offsets)[1:], 0
+    while first < batch.num_rows:
+        before = ends[first - 1] if first else ends[0]
+        end = max(int(np.searchsorted(ends, before + SCORED_LINKS, side="right")), first + 1)
+        yield batch.slice(first, end - first)
+        first = end
+
+
 def _with_head(links: DataFrame, head: list) -> DataFrame:
     """Sums over the links whose pair is in ``head``, and the other pairs of each document with their number."""
     codes = _codes(np.array([r["a"] for r in head], np.int64), np.array([r["b"] for r in head], np.int64))
@@ -248,7 +262,7 @@ def _with_head(links: DataFrame, head: list) -> DataFrame:
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, counts, best = shared.value
-        for batch in batches:
+        for batch in (part for whole in batches for part in _few_links(whole)):
             a, b = batch.column("link_a"), batch.column("link_b")
             bounds = np.asarray(a.offsets).astype(np.int64) - a.offsets[0].as_py()
             code = _codes(np.asarray(a.flatten()), np.asarray(b.flatten()))

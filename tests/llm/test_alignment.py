@@ -93,6 +93,7 @@ def test_equals_sets_of_offsets(spark, monkeypatch, head, lane, block):
     monkeypatch.setattr(alignment, "HEAD_PAIRS", head)
     monkeypatch.setattr(alignment, "LANE", lane)
     monkeypatch.setattr(alignment, "BLOCK_CHARS", block)
+    monkeypatch.setattr(alignment, "SCORED_LINKS", block)
     got = alignment.scored(frame(spark, ROWS), A, B)
     assert sorted(map(tuple, got.collect()), key=repr) == brute(ROWS)
 
