@@ -1,16 +1,11 @@
 """Candidate tier classifiers and charge regressors on MLlib."""
 
 from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
+import numpy as np
+import pandas as pd
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
-from pyspark.ml.classification import (
-    DecisionTreeClassifier,
-    GBTClassificationModel,
-    GBTClassifier,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import (
@@ -36,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimloom import settings as S
+from claimloom.operators import boosting
 from claimloom.operators.encoders import build_preprocessor, feature_names
 from claimloom.operators.knn import NeighbourClassifier
 
@@ -79,24 +75,23 @@ class _BoostingParams(
         Params._dummy(), "minInstancesPerNode", "least rows per leaf", TypeConverters.toInt
     )
     maxBins = Param(Params._dummy(), "maxBins", "bins per feature", TypeConverters.toInt)
-    parallelism = Param(
-        Params._dummy(), "parallelism", "classes fitted at a time", TypeConverters.toInt
+    store = Param(
+        Params._dummy(), "store", "folder that keeps trees while fitting; empty: none", TypeConverters.toString
     )
 
 
 class BoostedClassifier(Estimator, _BoostingParams, DefaultParamsReadable, DefaultParamsWritable):
-    """One boosted tree model per class against the rest.
+    """Boosted trees for several classes with softmax (see ``boosting``).
 
-    MLlib boosts two classes only. Its own one-vs-rest wrapper gives no
-    probabilities and scores through a row-wise Python function, so the models
-    are combined with column expressions here instead.
+    MLlib boosts two classes only. ``minInstancesPerNode`` is the least sum of curvature times weight in a
+    child, and ``featureSubsetStrategy`` the share of features that a tree may split.
     """
 
     def __init__(self, **params):
         super().__init__()
         self._setDefault(
             numClasses=len(S.TIERS), maxIter=400, maxDepth=6, stepSize=0.1, subsamplingRate=0.9,
-            featureSubsetStrategy="0.9", minInstancesPerNode=1, maxBins=256, parallelism=2, seed=S.SEED,
+            featureSubsetStrategy="0.9", minInstancesPerNode=1, maxBins=256, seed=S.SEED, store="",
             labelCol=LABEL, featuresCol="features", predictionCol="prediction",
             probabilityCol="probability",
         )
@@ -104,33 +99,19 @@ class BoostedClassifier(Estimator, _BoostingParams, DefaultParamsReadable, Defau
 
     def _fit(self, dataset: DataFrame) -> "BoostedModel":
         get = self.getOrDefault
-        label, features = self.getLabelCol(), self.getFeaturesCol()
         weighted = self.isSet(self.weightCol) and self.getWeightCol() in dataset.columns
-        columns = [label, features] + ([self.getWeightCol()] if weighted else [])
-        rows = dataset.select(*columns).persist()
-        shared = dict(
-            featuresCol=features, labelCol="__own", maxIter=get(self.maxIter),
-            maxDepth=get(self.maxDepth), stepSize=get(self.stepSize),
-            subsamplingRate=get(self.subsamplingRate),
-            featureSubsetStrategy=get(self.featureSubsetStrategy),
-            minInstancesPerNode=get(self.minInstancesPerNode), maxBins=get(self.maxBins), seed=get(self.seed),
+        settings = boosting.Settings(
+            classes=get(self.numClasses), rounds=get(self.maxIter), depth=get(self.maxDepth), rate=get(self.stepSize),
+            row_share=get(self.subsamplingRate), feature_share=float(get(self.featureSubsetStrategy)),
+            least_weight=float(get(self.minInstancesPerNode)), max_bins=get(self.maxBins), seed=get(self.seed),
+        )
+        ensemble = boosting.fit(
+            dataset, self.getFeaturesCol(), self.getLabelCol(), self.getWeightCol() if weighted else None, settings,
+            get(self.store) or None,
         )
-        if weighted:
-            shared["weightCol"] = self.getWeightCol()
-
-        def fit_class(c: int) -> GBTClassificationModel:
-            own = (F.col(label) == F.lit(float(c))).cast("double")
-            return GBTClassifier(**shared).fit(rows.withColumn("__own", own))
-
-        pool = ThreadPool(get(self.parallelism))
-        try:
-            models = pool.map(inheritable_thread_target(dataset.sparkSession)(fit_class), range(get(self.numClasses)))
-        finally:
-            pool.close()
-            rows.unpersist()
-        fitted = BoostedModel(models)
+        fitted = BoostedModel(ensemble)
         fitted._set(
-            numClasses=get(self.numClasses), featuresCol=features, labelCol=label,
+            numClasses=get(self.numClasses), featuresCol=self.getFeaturesCol(), labelCol=self.getLabelCol(),
             predictionCol=self.getPredictionCol(), probabilityCol=self.getProbabilityCol(),
         )
         return fitted
@@ -143,28 +124,30 @@ class _BoostedWriter(MLWriter):
 
     def saveImpl(self, path: str) -> None:
         DefaultParamsWriter.saveMetadata(self.instance, path, self.sparkSession)
-        for i, model in enumerate(self.instance.models):
-            model.save(f"{path}/class_{i}")
+        ensemble = self.instance.ensemble
+        nodes = self.sparkSession.createDataFrame(ensemble.rows(), boosting.STORED)
+        nodes.coalesce(1).write.parquet(f"{path}/nodes")
+        edges = [(i, [float(v) for v in e]) for i, e in enumerate(ensemble.edges)]
+        self.sparkSession.createDataFrame(edges, "feature int, edges array<double>").coalesce(1).write.parquet(f"{path}/edges")
 
 
 class _BoostedReader(MLReader):
     def load(self, path: str) -> "BoostedModel":
         metadata = DefaultParamsReader.loadMetadata(path, self.sparkSession)
-        count = metadata["paramMap"]["numClasses"]
-        model = BoostedModel(
-            [GBTClassificationModel.load(f"{path}/class_{i}") for i in range(count)]
-        )
+        edges = self.sparkSession.read.parquet(f"{path}/edges").orderBy("feature").collect()
+        nodes = self.sparkSession.read.parquet(f"{path}/nodes").collect()
+        model = BoostedModel(boosting.Ensemble.of(nodes, [np.array(r["edges"]) for r in edges]))
         model._resetUid(metadata["uid"])
         DefaultParamsReader.getAndSetParams(model, metadata)
         return model
 
 
 class BoostedModel(Model, _BoostingParams, MLReadable, MLWritable):
-    """Fitted models, one per class."""
+    """Fitted trees of all classes."""
 
-    def __init__(self, models=()):
+    def __init__(self, ensemble: boosting.Ensemble | None = None):
         super().__init__()
-        self.models = list(models)
+        self.ensemble = ensemble
 
     def write(self) -> _BoostedWriter:
         return _BoostedWriter(self)
@@ -175,33 +158,28 @@ class BoostedModel(Model, _BoostingParams, MLReadable, MLWritable):
 
     @property
     def featureImportances(self):
-        """Mean importance over the class models."""
-        total = sum(m.featureImportances.toArray() for m in self.models)
-        return total / len(self.models)
+        """Share of each feature in the gain of all splits."""
+        return self.ensemble.importances()
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        scored, temporary = dataset, []
-        for i, model in enumerate(self.models):
-            names = [f"__raw_{i}", f"__probability_{i}", f"__prediction_{i}"]
-            temporary += names
-            model.setFeaturesCol(self.getFeaturesCol())
-            model.setRawPredictionCol(names[0])
-            model.setProbabilityCol(names[1])
-            model.setPredictionCol(names[2])
-            scored = model.transform(scored)
-        own = F.array(
-            *[vector_to_array(f"__probability_{i}")[1] for i in range(len(self.models))]
-        )
-        total = F.aggregate("__own", F.lit(0.0), lambda a, x: a + x)
-        shares = F.transform("__own", lambda x: F.coalesce(F.try_divide(x, F.col("__total")), F.lit(0.0)))
+        shared = dataset.sparkSession.sparkContext.broadcast(self.ensemble)
+        classes = self.getOrDefault(self.numClasses)
+
+        @F.pandas_udf("array<double>")
+        def shares(vectors: pd.Series) -> pd.Series:
+            if not len(vectors):
+                return pd.Series([], dtype=object)
+            margins = shared.value.margins(np.stack(vectors.to_numpy()))
+            margins = margins if margins.shape[1] else np.zeros((len(vectors), classes))
+            p = np.exp(margins - margins.max(axis=1, keepdims=True))
+            return pd.Series(list(p / p.sum(axis=1, keepdims=True)))
+
         best = F.array_position(F.col("__shares"), F.array_max("__shares")) - 1
         return (
-            scored.withColumn("__own", own)
-            .withColumn("__total", total)
-            .withColumn("__shares", shares)
+            dataset.withColumn("__shares", shares(vector_to_array(self.getFeaturesCol())))
             .withColumn(self.getProbabilityCol(), array_to_vector("__shares"))
             .withColumn(self.getPredictionCol(), best.cast("double"))
-            .drop(*temporary, "__own", "__total", "__shares")
+            .drop("__shares")
         )
 
 
