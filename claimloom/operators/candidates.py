@@ -183,6 +183,11 @@ class BoostedModel(Model, _BoostingParams, MLReadable, MLWritable):
         )
 
 
+# Deep trees have many nodes: sums of more of them at a time are fewer passes over the rows, and
+# remembering each row's node saves sending all trees with every pass.
+_FOREST_MEMORY = {"maxMemoryInMB": 1024, "cacheNodeIds": True}
+
+
 def classifiers(sizes: Sizes = Sizes(), seed: int = S.SEED) -> dict[str, Estimator]:
     """The four tier classifiers, in listing order."""
     return {
@@ -194,7 +199,7 @@ def classifiers(sizes: Sizes = Sizes(), seed: int = S.SEED) -> dict[str, Estimat
         "random_forest": RandomForestClassifier(
             labelCol=LABEL, weightCol=WEIGHT, numTrees=sizes.forest_trees,
             maxDepth=sizes.forest_depth, minInstancesPerNode=sizes.forest_leaf,
-            featureSubsetStrategy="sqrt", maxBins=sizes.max_bins, seed=seed,
+            featureSubsetStrategy="sqrt", maxBins=sizes.max_bins, seed=seed, **_FOREST_MEMORY,
         ),
         "boosted_trees": BoostedClassifier(
             labelCol=LABEL, weightCol=WEIGHT, maxIter=sizes.rounds, maxDepth=sizes.round_depth,
@@ -227,7 +232,7 @@ def regressors(
         "random_forest_regressor": RandomForestRegressor(
             labelCol=target, numTrees=sizes.forest_trees, maxDepth=sizes.forest_depth,
             minInstancesPerNode=sizes.forest_leaf, featureSubsetStrategy="all",
-            maxBins=sizes.max_bins, seed=seed,
+            maxBins=sizes.max_bins, seed=seed, **_FOREST_MEMORY,
         ),
         "boosted_regressor": GBTRegressor(
             labelCol=target, maxIter=sizes.rounds, maxDepth=sizes.round_depth, stepSize=sizes.rate,

@@ -71,11 +71,11 @@ def split(frame: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def tune(
-    train: DataFrame, n_iter: int = 10, spaces: dict | None = None, sizes: Sizes = Sizes()
+    train: DataFrame, n_iter: int = 10, spaces: dict | None = None, sizes: Sizes = Sizes(), store: str | None = None
 ) -> dict[str, Tuned]:
-    """Best settings of the two ensembles; the baselines are not tuned."""
+    """Best settings of the two ensembles; the baselines are not tuned. Trials are kept under ``store``."""
     return {
-        name: tune_classifier(name, train, n_iter, space=space, sizes=sizes)
+        name: tune_classifier(name, train, n_iter, space=space, sizes=sizes, store=store)
         for name, space in (spaces or SEARCH_SPACES).items()
     }
 
@@ -137,13 +137,15 @@ def encode(train: DataFrame, test: DataFrame) -> Encoded:
 
 
 def train_classifiers(
-    data: Encoded, tuned: dict[str, Tuned] | None = None, sizes: Sizes = Sizes()
+    data: Encoded, tuned: dict[str, Tuned] | None = None, sizes: Sizes = Sizes(), store: str | None = None
 ) -> dict[str, Fitted]:
-    """Fit every classifier and score it on the held-out fold."""
+    """Fit every classifier and score it on the held-out fold. Boosted trees are kept under ``store`` on the way."""
     results = {}
     for name, model in classifiers(sizes).items():
         if tuned and name in tuned:
             model = model.copy({model.getParam(k): v for k, v in tuned[name].settings.items()})
+        if store and model.hasParam("store"):
+            model = model.copy({model.getParam("store"): store})
         fitted, pipeline = data.fit(model)
         values, confusion = evaluate_classifier(fitted, data.test)
         results[name] = Fitted(pipeline, values, settings_of(model), confusion)
@@ -248,12 +250,16 @@ def run(
     spaces: dict | None = None,
     n_iter: int = 10,
 ) -> None:
-    """The whole training run; results and the run log go below ``path``."""
+    """The whole training run; results and the run log go below ``path``.
+
+    So do tuning trials and boosted trees while the run goes on: one that was stopped and is started again
+    with the same data and path does not repeat them.
+    """
     run_id = uuid.uuid4().hex
     train, test = split(ingest_and_validate(claims, income))
-    tuned = tune(train, n_iter, spaces, sizes)
+    tuned = tune(train, n_iter, spaces, sizes, f"{path}/trials")
     data = encode(train, test)
-    tiers = train_classifiers(data, tuned, sizes)
+    tiers = train_classifiers(data, tuned, sizes, f"{path}/trees")
     charges = train_regressors(data, sizes)
     log = []
     for name, found in tuned.items():

@@ -215,6 +215,31 @@ def test_tuning_keeps_people_together_and_ranks_settings(folds):
     assert found.settings in [t["settings"] for t in found.tried]
 
 
+def test_a_stopped_search_goes_on(folds, monkeypatch, tmp_path):
+    train, _ = folds
+    fits, real = [], tuning._with
+
+    def counting(model, setting):
+        fits.append(setting)
+        if len(fits) == 4:
+            raise RuntimeError("stopped")
+        return real(model, setting)
+
+    def search(n=3):
+        space = {"numTrees": [1, 2, 3, 4]}
+        return tuning.tune_classifier("random_forest", train, n, 2, space, TINY, parallelism=1, store=str(tmp_path / "trials"))
+
+    monkeypatch.setattr(tuning, "_with", counting)
+    with pytest.raises(RuntimeError, match="stopped"):
+        search()
+    found = search()
+    # Three trials before the stop, the one that it hit, and the three that were missing.
+    assert len(fits) == 7 and len(found.tried) == 3
+    assert search() == found and len(fits) == 7
+    rows = train.sparkSession.read.parquet(str(tmp_path / "trials")).collect()
+    assert len(rows) == 6 and {r.fold for r in rows} == {0, 1} and all(r.seconds > 0 for r in rows)
+
+
 def test_drift_job_from_files(spark, claims, income, exported, bundle, tmp_path):
     from claimloom.__main__ import main
     from claimloom.plans import monitoring
