@@ -24,11 +24,11 @@ from claimloom.functions.storage import as_table
 from claimloom.llm.packing import encoder
 
 # Characters of text that are aligned at once; a longer text is a block of its own.
-BLOCK_CHARS = 1_000_000
+BLOCK_CHARS = 300_000
 # Tokens of the first side that one place of the state vector works off.
-LANE = 256
+LANE = 96
 # Links that are scored at once; a row with more is scored alone.
-SCORED_LINKS = 200_000
+SCORED_LINKS = 100_000
 # Pairs that are broadcast with their counts.
 HEAD_PAIRS = 262_144
 
