@@ -13,13 +13,12 @@ Formulas (Chen and Guestrin, "XGBoost", 2016): a leaf is ``-G / (H + L2)`` and a
 import hashlib
 import json
 import random
-import sys
 from collections.abc import Iterator
 from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark import RDD, StorageLevel, cloudpickle
+from pyspark import RDD, StorageLevel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,10 +26,12 @@ from pyspark.sql import functions as F
 from claimloom.functions.storage import as_table, shared_folder
 
 L2 = 1.0
-ROWS_PER_BLOCK = 25_000
+ROWS_PER_BLOCK, LEAST_ROWS = 25_000, 5_000
 # Rounds whose trees are applied on the way before scores are folded in, and rounds between checkpoints.
 PENDING_ROUNDS, CHECKPOINT_ROUNDS = 4, 40
 STORED_ROUNDS = 20
+# Sums of up to so many tasks meet on the driver; those of more by groups of nodes in other tasks.
+MERGED_TASKS = 16
 # Nodes of a class whose sums meet in one task.
 NODES_PER_KEY = 16
 
@@ -235,12 +236,18 @@ def _round(state: RDD, pending: list, starts: np.ndarray, settings: Settings, nu
             return _sums(blocks, pending, trees, frontier, starts, used, settings, number)
 
         keys = sum(-(-len(nodes) // NODES_PER_KEY) for nodes in frontier)
-        found = (
-            state.mapPartitions(level)
-            .reduceByKey(np.add, min(keys, state.getNumPartitions()))
-            .map(lambda kv: (kv[0], _best(kv[1], starts, used[kv[0][0]], least)))
-            .collect()
-        )
+        sums_of_tasks = state.mapPartitions(level)
+        if state.getNumPartitions() > MERGED_TASKS:
+            best = sums_of_tasks.reduceByKey(np.add, min(keys, state.getNumPartitions())).map(
+                lambda kv: (kv[0], _best(kv[1], starts, used[kv[0][0]], least))
+            )
+            found = best.collect()
+        else:
+            # Sums of so few tasks are added up here, which saves a shuffle per level.
+            merged: dict = {}
+            for at, total in sums_of_tasks.collect():
+                merged[at] = merged[at] + total if at in merged else total
+            found = [(at, _best(total, starts, used[at[0]], least)) for at, total in merged.items()]
         following = [[] for _ in trees]
         for (c, first), splits in sorted(found):
             tree = trees[c]
@@ -349,7 +356,9 @@ def fit(rows: DataFrame, features: str, label: str, weight: str | None, settings
     if not facts["rows"]:
         raise ValueError("no rows to fit")
     edges = bin_edges(table, facts["width"], settings.max_bins)
-    parts = max(1, -(-facts["rows"] // ROWS_PER_BLOCK))
+    # At least a task per core where rows allow it.
+    cores = min(spark.sparkContext.defaultParallelism, facts["rows"] // LEAST_ROWS)
+    parts = max(1, cores, -(-facts["rows"] // ROWS_PER_BLOCK))
     named = json.dumps([vars(settings), facts["rows"], str(facts["content"])])
     key = hashlib.sha256(named.encode()).hexdigest()
     ensemble = Ensemble.of(_whole(_stored_rounds(spark, store, key)) if store else [], edges)
@@ -377,6 +386,3 @@ def fit(rows: DataFrame, features: str, label: str, weight: str | None, settings
     state.unpersist()
     return ensemble
 
-
-# Send the helpers to the workers with the functions that use them, so the package need not be installed there.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -2,9 +2,10 @@
 
 Base rows are assigned to the nearest of a few pivot points and cut into rings by
 their distance to it. The triangle inequality bounds how near and how far a ring
-can be, so a query row visits only rings that may hold one of its neighbours
-(compare Lu et al., "Efficient Processing of k Nearest Neighbor Joins using
-MapReduce", 2012). Rings are cut into blocks of bounded size, each pair of a query
+can be (compare Lu et al., "Efficient Processing of k Nearest Neighbor Joins using
+MapReduce", 2012). A query row first visits the nearest rings that hold k rows; the
+distance of its k-th neighbour there then bounds which other rings it still has to visit.
+Rings are cut into blocks of bounded size, each pair of a query
 block and a base block is one task-sized group, and it returns k rows per query.
 """
 
@@ -16,6 +17,7 @@ import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.ml import Estimator
+from pyspark.ml.feature import BucketedRandomProjectionLSH
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasPredictionCol, HasProbabilityCol
@@ -23,7 +25,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimloom.functions.ranks import hash_of
+from claimloom.functions.ranks import hash_of, number_copies
 from claimloom.functions.skew import lookup_join
 from claimloom.functions.storage import as_table, cut, spread, tasks_for
 from claimloom.operators.encoders import TableModel
@@ -112,30 +114,52 @@ def _ring(widths: list[float]):
     return F.floor(F.col("gap") / width).cast("int")
 
 
-def _visits(queries: DataFrame, rings: Rings, k: int) -> DataFrame:
-    """One row per query and ring that can hold one of its k nearest base rows."""
+def _ring_bounds(part: pd.DataFrame, rings: Rings) -> tuple[np.ndarray, np.ndarray]:
+    """How near each ring can be to each query, and how far its pivot is."""
+    to_pivot = _distances(_matrix(part["vec"], rings.pivots.shape[1]), rings.pivots)
+    to_cell = to_pivot[:, rings.cell]
+    return np.maximum(np.maximum(to_cell - rings.high, rings.low - to_cell), 0.0), to_cell
+
+
+def _with_rings(queries: DataFrame, rings: Rings, choose) -> DataFrame:
+    """Add ``rings``, the numbers of the rings to visit; ``choose`` gives a table of queries x rings of yes and no."""
 
     def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            step = max(1, 1_000_000 // len(rings.rows))
+            step = max(1, 1_000_000 // max(1, len(rings.rows)))
             for start in range(0, len(batch), step):
                 part = batch.iloc[start : start + step]
-                to_pivot = _distances(_matrix(part["vec"], rings.pivots.shape[1]), rings.pivots)
-                to_cell = to_pivot[:, rings.cell]
-                farthest = to_cell + rings.high
-                nearest = np.maximum(to_cell - rings.high, rings.low - to_cell)
-                order = np.argsort(farthest, axis=1, kind="stable")
-                enough = np.cumsum(rings.rows[order], axis=1) >= k
-                first = np.where(enough.any(axis=1), enough.argmax(axis=1), enough.shape[1] - 1)
-                at = np.arange(len(part))
-                reach = farthest[at, order[at, first]] + SLACK
-                row, ring = np.nonzero(nearest <= reach[:, None])
-                yield part.iloc[row].assign(
-                    cell=rings.cell[ring].astype("int32"), ring=rings.ring[ring].astype("int32")
-                )
+                near, to_cell = _ring_bounds(part, rings)
+                chosen = choose(part, near, to_cell)
+                lists = [np.flatnonzero(row).astype("int32") for row in chosen]
+                yield part[["id", "vec"]].assign(rings=lists)
+
+    kind = queries.schema["id"].dataType.simpleString()
+    return queries.mapInPandas(visit, f"id {kind}, vec array<double>, rings array<int>")
+
+
+def _first_rings(rings: Rings, k: int):
+    """The rings of smallest lower bound, nearest pivot first, that hold ``k`` rows together."""
+
+    def choose(part: pd.DataFrame, near: np.ndarray, to_cell: np.ndarray) -> np.ndarray:
+        order = np.lexsort((to_cell, near), axis=1)
+        before = np.cumsum(rings.rows[order], axis=1) - rings.rows[order]
+        chosen = np.zeros(near.shape, bool)
+        np.put_along_axis(chosen, order, before < k, axis=1)
+        return chosen
 
-    return queries.mapInPandas(visit, f"id {queries.schema['id'].dataType.simpleString()}, "
-                                      "vec array<double>, cell int, ring int")
+    return choose
+
+
+def _other_rings(rings: Rings, k: int):
+    """The other rings that can hold a row as near as the k-th one found so far (``reach``)."""
+    first = _first_rings(rings, k)
+
+    def choose(part: pd.DataFrame, near: np.ndarray, to_cell: np.ndarray) -> np.ndarray:
+        reach = part["reach"].to_numpy(dtype=float)[:, None] + 2 * SLACK
+        return (near <= reach) & ~first(part, near, to_cell)
+
+    return choose
 
 
 def knn_join(
@@ -145,6 +169,7 @@ def knn_join(
     seed: int = 42,
     exclude_self: bool = False,
     carry: str | None = None,
+    report: dict | None = None,
 ) -> DataFrame:
     """The ``k`` nearest base rows of every query row, exactly.
 
@@ -152,56 +177,92 @@ def knn_join(
     ``neighbour``, ``distance`` (rounded) and ``rank``; ties go to the lower id.
     ``exclude_self`` leaves out the base row with the query's own id. ``carry`` names
     a base column to bring along, such as the label: a join on popular neighbours
-    afterwards would be skewed.
+    afterwards would be skewed. ``report`` gets the numbers of pairs ``compared`` and of ``all`` pairs of a
+    query and a kept base row.
     """
     wanted = k + 1 if exclude_self else k
     extra = [carry] if carry else []
-    # Of equal base vectors only the first few ids can ever be neighbours. The
-    # group limit is applied before the shuffle, so many copies cost little.
-    copies = Window.partitionBy("vec").orderBy("id")
-    distinct = (
-        base.select("id", "vec", *extra)
-        .withColumn("copy_no", F.row_number().over(copies))
-        .filter(F.col("copy_no") <= wanted)
-        .drop("copy_no")
-    )
+    distinct = _few_copies(base, wanted, extra)
     distinct = spread(cut(distinct))
     rows = distinct.count()
     pivots = _choose_pivots(distinct, rows, seed)
     assigned = cut(_assign(distinct, pivots))
     rings, widths = _ring_facts(assigned, pivots, rows)
+    # Rings by number, in the order of their facts: at most MAX_PIVOTS * MAX_RINGS rows.
+    numbers = queries.sparkSession.createDataFrame(
+        [(i, int(c), int(r)) for i, (c, r) in enumerate(zip(rings.cell, rings.ring))], "number int, cell int, ring int"
+    )
+    ringed = assigned.withColumn("ring", _ring(widths)).join(F.broadcast(numbers), ["cell", "ring"])
+    ringed = cut(ringed.select("number", "id", "vec", *extra))
     asked = spread(cut(queries.select("id", "vec")))
-    visits = cut(_visits(asked, rings, wanted))
+    first = cut(_with_rings(asked, rings, _first_rings(rings, wanted)))
+    found, compared = _nearest_in(first, ringed, rings, wanted, extra)
+    found = cut(_best_of(found, wanted))
+    # Fewer rows than wanted: anything may still be nearer.
+    reach = found.groupBy("id").agg(
+        F.when(F.count(F.lit(1)) < wanted, F.lit(float("inf"))).otherwise(F.max("distance")).alias("reach")
+    )
+    others = cut(_with_rings(asked.join(reach, "id"), rings, _other_rings(rings, wanted)).filter(F.size("rings") > 0))
+    more, again = _nearest_in(others, ringed, rings, wanted, extra)
+    if report is not None:
+        report.update(compared=compared + again, all=float(rows) * asked.count())
+    candidates = found.drop("rank").unionByName(more)
+    if exclude_self:
+        candidates = candidates.filter(F.col("id") != F.col("neighbour"))
+    return _best_of(candidates, k)
 
-    # Block counts per ring: at most MAX_PIVOTS * MAX_RINGS rows each.
-    parts = lambda n: F.ceil(n / F.lit(BLOCK_ROWS)).cast("int")
-    n_rows = F.count(F.lit(1))
-    base_blocks = assigned.groupBy("cell", _ring(widths).alias("ring")).agg(
-        n_rows.alias("base_rows"), parts(n_rows).alias("base_blocks")
+
+def _few_copies(base: DataFrame, wanted: int, extra: list[str]) -> DataFrame:
+    """Of equal base vectors only the first few ids can ever be neighbours. The group limit is applied
+    before the shuffle, so many copies cost little."""
+    copies = Window.partitionBy("vec").orderBy("id")
+    return (
+        base.select("id", "vec", *extra)
+        .withColumn("copy_no", F.row_number().over(copies))
+        .filter(F.col("copy_no") <= wanted)
+        .drop("copy_no")
     )
-    query_blocks = visits.groupBy("cell", "ring").agg(
-        n_rows.alias("query_rows"), parts(n_rows).alias("query_blocks")
+
+
+def _best_of(candidates: DataFrame, k: int) -> DataFrame:
+    best = Window.partitionBy("id").orderBy("distance", "neighbour")
+    return candidates.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+
+
+def _nearest_in(
+    visits: DataFrame, ringed: DataFrame, rings: Rings, wanted: int, extra: list[str]
+) -> tuple[DataFrame, float]:
+    """The ``wanted`` nearest base rows of each block of the visited rings, and the number of pairs compared.
+
+    A query's vector is stored once with its rings and multiplied only on its way to them.
+    """
+    parts = lambda n: F.ceil(n / F.lit(BLOCK_ROWS)).cast("int")
+    spark = visits.sparkSession
+    # One row per ring.
+    base_rows = spark.createDataFrame([(i, int(n)) for i, n in enumerate(rings.rows)], "number int, base_rows long")
+    sizes = cut(
+        visits.select(F.explode("rings").alias("number")).groupBy("number").agg(F.count(F.lit(1)).alias("query_rows"))
+        .join(F.broadcast(base_rows), "number")
+        .withColumns({"base_blocks": parts(F.col("base_rows")), "query_blocks": parts(F.col("query_rows"))})
     )
-    sizes = cut(base_blocks.join(query_blocks, ["cell", "ring"]))
-    pairs = sizes.agg(F.sum(F.col("base_rows").cast("double") * F.col("query_rows"))).first()[0] or 0
-    tasks = tasks_for(queries.sparkSession, pairs, PAIRS_PER_TASK)
-    sizes = sizes.select("cell", "ring", "base_blocks", "query_blocks")
-    blocks = F.broadcast(sizes)
+    pairs = sizes.agg(F.sum(F.col("base_rows").cast("double") * F.col("query_rows"))).first()[0] or 0.0
+    tasks = tasks_for(spark, pairs, PAIRS_PER_TASK)
+    blocks = F.broadcast(sizes.select("number", "base_blocks", "query_blocks"))
     every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
     left = (
-        visits.join(blocks, ["cell", "ring"])
+        visits.select("id", "vec", F.explode("rings").alias("number"))
+        .join(blocks, "number")
         .withColumn("query_block", F.pmod(F.xxhash64("id"), F.col("query_blocks")).cast("int"))
         .withColumn("base_block", every("base_blocks"))
-        .select("cell", "ring", "query_block", "base_block", "id", "vec")
+        .select("number", "query_block", "base_block", "id", "vec")
     )
     right = (
-        assigned.withColumn("ring", _ring(widths))
-        .join(blocks, ["cell", "ring"])
+        ringed.join(blocks, "number")
         .withColumn("base_block", F.pmod(F.xxhash64("id"), F.col("base_blocks")).cast("int"))
         .withColumn("query_block", every("query_blocks"))
-        .select("cell", "ring", "query_block", "base_block", "id", "vec", *extra)
+        .select("number", "query_block", "base_block", "id", "vec", *extra)
     )
-    keys = ["cell", "ring", "query_block", "base_block"]
+    keys = ["number", "query_block", "base_block"]
 
     def nearest(q: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(b):
@@ -227,19 +288,78 @@ def knn_join(
             )
         return pd.concat(found)
 
-    q_type = queries.schema["id"].dataType.simpleString()
-    b_type = base.schema["id"].dataType.simpleString()
-    carried = "".join(f", `{c}` {base.schema[c].dataType.simpleString()}" for c in extra)
+    q_type = visits.schema["id"].dataType.simpleString()
+    b_type = ringed.schema["id"].dataType.simpleString()
+    carried = "".join(f", `{c}` {ringed.schema[c].dataType.simpleString()}" for c in extra)
     candidates = (
         left.repartition(tasks, *keys)
         .groupBy(*keys)
         .cogroup(right.repartition(tasks, *keys).groupBy(*keys))
         .applyInPandas(nearest, f"id {q_type}, neighbour {b_type}, distance double{carried}")
     )
+    return candidates, pairs
+
+
+# Hash functions per table, tables, and rows of a sample that scales the buckets of the approximate join.
+HASHES, TABLES, SCALE_ROWS = 4, 12, 256
+
+
+def approximate_knn_join(
+    queries: DataFrame, base: DataFrame, k: int, seed: int = 42, exclude_self: bool = False, hashes: int = HASHES,
+    tables: int = TABLES, width: float | None = None,
+) -> DataFrame:
+    """Near base rows of every query row by random projections, in the form of :func:`knn_join`.
+
+    MLlib's projections are grouped into ``tables`` keys of ``hashes`` buckets each, and rows that agree in one key
+    are compared. ``width`` of a bucket is by default 2.5 times the median distance of the k-th neighbour of
+    a bounded sample of base rows, searched among all rows. All pairs that share a key are compared, so the distances
+    are exact and only neighbours that share none are missed; :func:`recall` measures how many.
+    """
+    base = _few_copies(base, k + 1 if exclude_self else k, [])
+    if width is None:
+        picked = base.select("id", "vec", hash_of(F.col("id").cast("string"), seed=seed).alias("h"))
+        sample = picked.orderBy("h").limit(SCALE_ROWS).select("id", "vec")
+        reach = knn_join(sample, base, k, seed, exclude_self=True).filter(F.col("rank") == k)
+        width = 2.5 * (reach.agg(F.median("distance")).first()[0] or 1.0)
+    width = max(width, 1e-9)
+    # One more, constant coordinate shifts each projection at random, so that no bucket always ends at zero.
+    features = array_to_vector(F.concat("vec", F.array(F.lit(1000.0 * width))))
+    model = BucketedRandomProjectionLSH(
+        inputCol="features", outputCol="projections", bucketLength=width, numHashTables=hashes * tables, seed=seed
+    ).fit(base.select(features.alias("features")))
+
+    def keyed(rows: DataFrame, name: str) -> DataFrame:
+        found = model.transform(rows.select(F.col("id").alias(name), features.alias("features")))
+        places = F.transform("projections", lambda v: vector_to_array(v)[0])
+        keys = F.array(*[F.xxhash64(F.lit(t), F.slice(places, t * hashes + 1, hashes)) for t in range(tables)])
+        return as_table(found.select(name, keys.alias("keys")), "projected")
+
+    # Ids alone are joined; vectors follow where two rows met.
+    left, right = keyed(queries, "id"), keyed(base, "neighbour")
+    met = (
+        left.select("id", F.explode("keys").alias("key"))
+        .join(right.select("neighbour", F.explode("keys").alias("key")), "key")
+        .select("id", "neighbour")
+        .distinct()
+    )
     if exclude_self:
-        candidates = candidates.filter(F.col("id") != F.col("neighbour"))
-    best = Window.partitionBy("id").orderBy("distance", "neighbour")
-    return candidates.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+        met = met.filter(F.col("id") != F.col("neighbour"))
+    met = as_table(met, "met")
+    a = queries.select("id", F.col("vec").alias("a"))
+    b = base.select(F.col("id").alias("neighbour"), F.col("vec").alias("b"))
+    square = F.aggregate(F.zip_with("a", "b", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, v: s + v)
+    near = met.join(a, "id").join(b, "neighbour").select("id", "neighbour", F.round(F.sqrt(square), DIGITS).alias("distance"))
+    return _best_of(near, k)
+
+
+def recall(found: DataFrame, exact: DataFrame) -> float:
+    """The share of the exact neighbours whose distance the found ones reach: ties count for each other."""
+    last = exact.groupBy("id").agg(F.max("distance").alias("reach"), F.count(F.lit(1)).alias("wanted"))
+    hits = found.join(last, "id").filter(F.col("distance") <= F.col("reach")).groupBy("id").agg(
+        F.least(F.count(F.lit(1)), F.max("wanted")).alias("hits")
+    )
+    total = last.agg(F.sum("wanted")).first()[0] or 0
+    return (hits.agg(F.sum("hits")).first()[0] or 0) / total if total else 1.0
 
 
 def vote(neighbours: DataFrame, classes: list, weighted: bool = True) -> DataFrame:
@@ -319,14 +439,12 @@ class NeighbourClassifier(Estimator, _NeighbourParams, DefaultParamsReadable, De
     def _fit(self, dataset: DataFrame) -> "NeighbourModel":
         label = F.col(self.getLabelCol()).cast("double")
         vec = vector_to_array(self.getFeaturesCol())
-        # Of equal vectors k rows are enough. A hash that does not see the label chooses
-        # them, so labels keep their chances; first among parts of a vector's copies,
-        # then among what the parts kept.
-        rows = (
-            dataset.select(vec.alias("vec"), label.alias("label"))
-            .withColumn("id", F.monotonically_increasing_id())
-        )
-        kept = cut(rows).withColumn("chance", F.xxhash64("id")).withColumn("part", F.pmod("chance", F.lit(COPY_PARTS)))
+        # Of equal vectors k rows are enough. Copies are numbered, and a hash of content and number chooses
+        # among them: labels keep their chances, and how the rows are stored does not matter. First among
+        # parts of a vector's copies, then among what the parts kept.
+        rows = number_copies(dataset.select(vec.alias("vec"), label.alias("label")), ["vec", "label"])
+        kept = cut(rows.withColumn("id", F.xxhash64("vec", "label", "copy_no")))
+        kept = kept.withColumn("chance", F.xxhash64("id")).withColumn("part", F.pmod("chance", F.lit(COPY_PARTS)))
         for copies in (("vec", "part"), ("vec",)):
             place = F.row_number().over(Window.partitionBy(*copies).orderBy("chance", "id"))
             kept = kept.withColumn("c", place).filter(F.col("c") <= self.getOrDefault(self.k))

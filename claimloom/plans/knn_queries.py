@@ -61,3 +61,11 @@ def knn_vote(t):
 def knn_k_grid(t):
     scores = knn.k_grid(_vectors(t), list(range(10)), [3, 5, 7, 9, 11])
     return scores.withColumn("accuracy", F.round("accuracy", 6))
+
+
+@query("approximate_knn")
+def approximate_knn(t):
+    """Neighbours by random projections, k = 10, for all rows; a test measures recall against the exact join."""
+    rows = _vectors(t)
+    near = knn.approximate_knn_join(rows, rows, 10, exclude_self=True)
+    return near.select("id", "neighbour", F.round("distance", 6).alias("distance"), "rank")

@@ -1,5 +1,7 @@
 """Nearest neighbours against brute force."""
 
+import os
+
 import numpy as np
 import pytest
 from pyspark.ml.linalg import Vectors
@@ -78,3 +80,49 @@ def test_classifier_saves_and_scores(spark, tmp_path):
     again = knn.NeighbourModel.load(str(tmp_path / "knn")).transform(frame)
     key = lambda rows: sorted((r.id, r.prediction) for r in rows)
     assert key(again.collect()) == key(scored.collect())
+
+
+def test_rings_prune_clustered_vectors(spark, monkeypatch):
+    """Few of all pairs are compared, and none is missed."""
+    monkeypatch.setattr(knn, "RING_ROWS", 20)
+    draw = np.random.default_rng(6)
+    centres = draw.normal(0, 20, (25, 6))
+    base = np.vstack([c + draw.normal(0, 0.5, (60, 6)) for c in centres])
+    queries = base[::7] + draw.normal(0, 0.1, base[::7].shape)
+    report = {}
+    near = knn.knn_join(frame_of(spark, queries), frame_of(spark, base), 5, report=report).collect()
+    assert {(r.id, r.neighbour, r.distance, r["rank"]) for r in near} == brute(queries, base, 5)
+    assert report["all"] == len(base) * len(queries) and report["compared"] < 0.25 * report["all"]
+
+
+def test_layout_does_not_choose_copies(spark):
+    rows = [(Vectors.dense([float(i % 3)]), float(i % 5)) for i in range(200)]
+    frame = spark.createDataFrame(rows, ["features", "label"])
+    asked = frame.select("features").distinct()
+    answers = [
+        sorted((tuple(r.features), tuple(r.probability)) for r in knn.NeighbourClassifier(k=5).fit(f).transform(asked).collect())
+        for f in (frame, frame.orderBy("label").repartition(7))
+    ]
+    assert answers[0] == answers[1]
+
+
+def test_approximate_join_has_measured_recall(spark):
+    draw = np.random.default_rng(9)
+    centres = draw.normal(0, 3, (12, 16))
+    base = np.vstack([c + draw.normal(0, 1, (40, 16)) for c in centres])
+    rows = frame_of(spark, base).cache()
+    exact = knn.knn_join(rows, rows, 10, exclude_self=True).cache()
+    found = knn.approximate_knn_join(rows, rows, 10, exclude_self=True).cache()
+    distances = {(r.id, r.neighbour): r.distance for r in exact.collect()}
+    assert knn.recall(found, exact) >= 0.9 and knn.recall(exact, exact) == 1
+    assert all(distances.get((r.id, r.neighbour), r.distance) == r.distance for r in found.collect())
+    assert knn.approximate_knn_join(rows.limit(0), rows, 3).collect() == []
+
+
+def test_recall_on_the_given_vectors(spark):
+    folder = "/root/testdata/sf0.001"
+    if not os.path.isdir(folder):
+        pytest.skip("given tables are not here")
+    rows = spark.read.parquet(f"{folder}/embeddings.parquet").selectExpr("vec_id AS id", "CAST(embedding AS array<double>) AS vec")
+    exact = knn.knn_join(rows, rows, 10, exclude_self=True)
+    assert knn.recall(knn.approximate_knn_join(rows, rows, 10, exclude_self=True), exact) >= 0.9
