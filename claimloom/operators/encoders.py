@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimloom import settings as S
-from claimloom.functions.skew import BROADCAST_ROWS, lookup_join
+from claimloom.functions.skew import BROADCAST_ROWS, broadcast_if_small, lookup_join
 from claimloom.functions.storage import as_table
 from claimloom.operators.profile import frequency_table, scaler_statistics
 
@@ -118,6 +118,12 @@ class FrequencyEncoderModel(TableModel, _FrequencyParams):
     def frequencies(self, column: str) -> DataFrame:
         return self.table.filter(F.col("column_name") == column).select("value", "frequency")
 
+    def _measured(self, column: str, fitted: DataFrame) -> DataFrame:
+        known = self.__dict__.setdefault("_joined", {})
+        if column not in known:
+            known[column] = broadcast_if_small(fitted)
+        return known[column]
+
     def _transform(self, dataset: DataFrame) -> DataFrame:
         plan = zip(
             self.getInputCols(),
@@ -127,9 +133,9 @@ class FrequencyEncoderModel(TableModel, _FrequencyParams):
         )
         for name, output, unseen, entries in plan:
             fitted = self.frequencies(name).withColumnsRenamed({"value": name, "frequency": output})
-            # The number of entries was counted when fitting.
+            # The number of entries was counted when fitting; their bytes are measured once per model.
             if entries <= BROADCAST_ROWS:
-                dataset = dataset.join(F.broadcast(fitted), name, "left")
+                dataset = dataset.join(self._measured(name, fitted), name, "left")
             else:
                 dataset = lookup_join(dataset, fitted, [name], "left")
             dataset = dataset.withColumn(output, F.coalesce(F.col(output), F.lit(unseen)))
