@@ -4,18 +4,27 @@ Each helper works in two levels: rows are counted per coarse bucket, the small
 bucket table is accumulated, and only rows inside one bucket are ordered together.
 """
 
+import math
+import sys
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from claimloom.functions.skew import broadcast_if_small
 from claimloom.functions.storage import as_table
 
 # Groups up to this many rows are ordered by one task; above it buckets are used.
 WINDOW_ROWS = 1_000_000
 BUCKETS = 512
-MAX_BUCKETS = 20_000
+
+# Bins of a selection round, and the ratio of its ends beyond which an interval is cut in its logarithm.
+BINS = 1024
+WIDE = 2.0**20
+LARGEST = sys.float_info.max
 
 # Hex digits of an md5 hash that name a bucket: 65,536 even buckets.
 PREFIX = 4
@@ -27,24 +36,25 @@ def hash_of(*parts: Column | str, seed: int) -> Column:
     return F.md5(F.concat(F.concat_ws("|", *texts), F.lit(f":{seed}")))
 
 
-def hash_cuts(
+def hash_cut_table(
     keys: DataFrame,
     hash_col: str,
     weight_col: str,
     targets: Callable[[Column], Sequence[Column]],
     stratum_col: str | None = None,
-) -> dict:
+) -> DataFrame:
     """Hashes at which the running weight, in hash order, first reaches each target.
 
-    ``targets`` maps the total weight to the wanted running weights. Returns one
-    list of hashes per stratum (``None`` when not stratified); strata must be few,
-    such as class labels. Two aggregation passes; the driver only sees the cuts.
+    ``targets`` maps the total weight to the wanted running weights. Returns ``stratum`` (0 when not stratified;
+    null is a stratum of its own), ``target_no`` and ``h``. Two aggregation passes; strata may be many, as nothing
+    is listed on the driver.
     """
     frame = keys.select(
         (F.col(stratum_col) if stratum_col else F.lit(0)).alias("stratum"),
         F.col(hash_col).alias("h"),
         F.col(weight_col).cast("long").alias("w"),
     ).withColumn("prefix", F.substring("h", 1, PREFIX))
+    # At most 65,536 rows a stratum, also where Spark warns of a window without partitions.
     in_order = Window.partitionBy("stratum").orderBy("prefix")
     buckets = frame.groupBy("stratum", "prefix").agg(F.sum("w").alias("w"))
     wanted = (
@@ -53,52 +63,61 @@ def hash_cuts(
         .select("*", F.posexplode(F.array(*[t.cast("long") for t in targets(F.col("total"))])))
         .withColumnsRenamed({"pos": "target_no", "col": "target"})
         .filter((F.col("target") <= F.col("upto")) & (F.col("target") > F.col("upto") - F.col("w")))
-        .select("stratum", "prefix", "target_no", "target", (F.col("upto") - F.col("w")).alias("before"))
-        .collect()
-    )
-    if not wanted:
-        return {}
-    spark = keys.sparkSession
-    # One row per stratum and target: bounded by the caller's lists.
-    marks = spark.createDataFrame(
-        [r.asDict() for r in wanted],
-        f"stratum {frame.schema['stratum'].dataType.simpleString()}, prefix string, "
-        "target_no int, target long, before long",
+        .select(
+            F.col("stratum").alias("of"), F.col("prefix").alias("begin"), "target_no", "target",
+            (F.col("upto") - F.col("w")).alias("before"),
+        )
     )
+    marks = broadcast_if_small(as_table(wanted, "marks"))
+    here = F.col("stratum").eqNullSafe(F.col("of")) & (F.col("prefix") == F.col("begin"))
     inside = (
-        frame.join(F.broadcast(marks), ["stratum", "prefix"])
+        frame.join(marks, here)
         .groupBy("stratum", "target_no", "target", "before", "h")
         .agg(F.sum("w").alias("w"))
     )
     running = F.col("before") + F.sum("w").over(
         Window.partitionBy("stratum", "target_no").orderBy("h")
     )
-    rows = (
+    return (
         inside.withColumn("reached", running)
         .filter(F.col("reached") >= F.col("target"))
         .groupBy("stratum", "target_no")
         .agg(F.min("h").alias("h"))
-        .collect()
     )
+
+
+def hash_cuts(
+    keys: DataFrame,
+    hash_col: str,
+    weight_col: str,
+    targets: Callable[[Column], Sequence[Column]],
+    stratum_col: str | None = None,
+) -> dict:
+    """The rows of :func:`hash_cut_table` as one list of hashes per stratum (``None`` when not stratified).
+
+    Strata must be few, such as class labels: the driver holds their cuts.
+    """
+    rows = hash_cut_table(keys, hash_col, weight_col, targets, stratum_col).collect()
     cuts: dict = {}
     for row in sorted(rows, key=lambda r: r.target_no):
         cuts.setdefault(row.stratum if stratum_col else None, []).append(row.h)
     return cuts
 
 
-def _bucket_edges(frame: DataFrame, order: str, rows: int) -> list[float]:
-    """Values that cut the rows into nearly even buckets of at most ``WINDOW_ROWS``."""
-    buckets = min(max(BUCKETS, 2 * rows // WINDOW_ROWS), MAX_BUCKETS)
-    shares = [i / buckets for i in range(1, buckets)]
-    edges = F.percentile_approx(F.col(order).cast("double"), shares, 20 * buckets)
-    return sorted(set(frame.agg(edges.alias("edges")).first()["edges"] or []))
-
-
 def ordered_value(column: str) -> Column:
     """Whether a number can be ordered: neither null nor NaN."""
     return F.col(column).isNotNull() & ~F.isnan(F.col(column).cast("double"))
 
 
+def _in_buckets(frame: DataFrame, by: Sequence[str], order: str, rows: int) -> DataFrame:
+    """Add ``bucket``: ranges of (group, value), by Spark's range partitioning, of about half of ``WINDOW_ROWS``."""
+    if rows <= WINDOW_ROWS:
+        return frame.withColumn("bucket", F.lit(0))
+    ranges = frame.repartitionByRange(max(BUCKETS, 2 * rows // WINDOW_ROWS), *by, order)
+    # Stored, because the numbers of the partitions must not change between passes.
+    return as_table(ranges.withColumn("bucket", F.spark_partition_id()), "ranges")
+
+
 def running_totals(
     frame: DataFrame, by: Sequence[str], order: str, sums: Sequence[str]
 ) -> DataFrame:
@@ -111,14 +130,8 @@ def running_totals(
     """
     by = list(by)
     frame = as_table(frame.filter(ordered_value(order)), "ordered")
-    rows = frame.count()
-    edges = _bucket_edges(frame, order, rows) if rows > WINDOW_ROWS else []
-    if edges:
-        frame = Bucketizer(
-            splits=[float("-inf"), *edges, float("inf")], inputCol=order, outputCol="bucket"
-        ).transform(frame)
-    else:
-        frame = frame.withColumn("bucket", F.lit(0.0))
+    columns = frame.columns
+    frame = _in_buckets(frame, by, order, frame.count())
     whole = Window.partitionBy(*by)
     earlier = whole.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -142,9 +155,9 @@ def running_totals(
         F.lead(order).over(inside).alias("next_inside"),
         *[F.coalesce(F.sum(c).over(preceding), F.lit(0)).alias(f"inside_{c}") for c in sums],
     )
-    # At most (groups x buckets) rows, so the offsets are safe to broadcast.
+    # At most (groups + buckets) rows, so the offsets are safe to broadcast.
     return ordered.join(F.broadcast(offsets), [*by, "bucket"]).select(
-        *frame.drop("bucket").columns,
+        *columns,
         F.coalesce("next_inside", "next_lowest").alias("next_value"),
         *[(F.col(f"offset_{c}") + F.col(f"inside_{c}")).alias(f"before_{c}") for c in sums],
         *[f"total_{c}" for c in sums],
@@ -154,31 +167,119 @@ def running_totals(
 def exact_quantiles(
     frame: DataFrame, by: Sequence[str], value: str, probabilities: dict[str, float]
 ) -> DataFrame:
-    """Exact quantiles per group, interpolating linearly between neighbours.
+    """Exact quantiles per group, interpolating linearly between neighbours, by selection.
 
-    Equal values are counted together first, so copies cost nothing.
+    Values are doubles; null and NaN take no part, and a group without other values has no row. No order over
+    all values is made: rows are counted in ``BINS`` bins between the extremes of an interval, only bins that
+    hold a wanted rank are looked into again, and bins of at most ``WINDOW_ROWS`` rows are ordered. A
+    shuffle carries bin counts and, at the end, counts per value of the small bins.
+
+    Groups are few (columns, classes): the driver holds one interval per group and wanted rank.
     """
     by = list(by)
-    counts = (
-        frame.filter(ordered_value(value))
-        .groupBy(*by, value)
-        .agg(F.count(F.lit(1)).alias("n"))
+    rows = as_table(
+        frame.filter(ordered_value(value)).select(*by, F.col(value).cast("double").alias("__v")), "values"
     )
-    ordered = running_totals(counts, by, value, ["n"])
-    picks, results = [], []
-    for name, share in probabilities.items():
-        position = F.lit(share) * (F.col("total_n") - 1)
-        for side, rank in (("lo", F.floor(position)), ("hi", F.ceil(position))):
-            here = (F.col("before_n") <= rank) & (rank < F.col("before_n") + F.col("n"))
-            picks.append(F.max(F.when(here, F.col(value))).alias(f"{name}_{side}"))
-        part = position - F.floor(position)
-        low, high = F.col(f"{name}_lo"), F.col(f"{name}_hi")
-        results.append((low + (high - low) * part).alias(name))
-    return (
-        ordered.groupBy(*by)
-        .agg(F.max("total_n").alias("total_n"), *picks)
-        .select(*by, *results)
+    groups = rows.groupBy(*by).agg(F.count("__v").alias("n"), F.min("__v").alias("low"), F.max("__v").alias("high"))
+    totals, pending, found = {}, [], {}
+    for row in groups.collect():
+        key = tuple(row[c] for c in by)
+        totals[key] = row["n"]
+        ends = (share * (row["n"] - 1) for share in probabilities.values())
+        ranks = sorted({rank for at in ends for rank in (math.floor(at), math.ceil(at))})
+        pending.append(_Interval(key, row["low"], row["high"], 0, row["n"], ranks))
+    while pending:
+        for done in [i for i in pending if i.low == i.high]:
+            found.update({(done.key, rank): done.low for rank in done.ranks})
+        pending = [i for i in pending if i.low < i.high]
+        small = [i for i in pending if i.rows <= WINDOW_ROWS or not i.divisible()]
+        pending = [i for i in pending if i.rows > WINDOW_ROWS and i.divisible()]
+        for interval, low, _, before, n in _bins_with_ranks(rows, by, small, F.col("__v")):
+            found.update({(interval.key, rank): low for rank in interval.ranks if before <= rank < before + n})
+        pending = [
+            _Interval(interval.key, low, high, before, n, [r for r in interval.ranks if before <= r < before + n])
+            for interval, low, high, before, n in _bins_with_ranks(rows, by, pending, _bin_number())
+        ]
+    results = []
+    for key, n in totals.items():
+        quantiles = []
+        for share in probabilities.values():
+            at = share * (n - 1)
+            low, high = found[key, math.floor(at)], found[key, math.ceil(at)]
+            quantiles.append(low if low == high else low + (high - low) * (at - math.floor(at)))
+        results.append((*key, *quantiles))
+    names = [T.StructField(name, T.DoubleType()) for name in probabilities]
+    schema = T.StructType([*[frame.schema[c] for c in by], *names])
+    return frame.sparkSession.createDataFrame(results, schema)
+
+
+@dataclass
+class _Interval:
+    """Values of a group from ``low`` to ``high`` that hold wanted ``ranks``, after ``before`` smaller rows."""
+
+    key: tuple
+    low: float
+    high: float
+    before: int
+    rows: int
+    ranks: list[int]
+
+    def scale(self) -> tuple[int, bool, float, float]:
+        """Sign, whether bins are even in the logarithm, and where they begin and how far they reach.
+
+        An interval that spans zero is cut at zero and evenly on both sides. A wide one is cut in its logarithm, so that
+        values of any magnitude are told apart after few rounds.
+        """
+        low, high = max(self.low, -LARGEST), min(self.high, LARGEST)
+        if low <= 0 <= high:
+            return 0, False, 0.0, max(-low, high)
+        sign = 1 if low > 0 else -1
+        first, last = sorted((sign * low, sign * high))
+        logged = last / first > WIDE
+        if logged:
+            first, last = math.log(first), math.log(last)
+        return sign, logged, first, last - first
+
+    def divisible(self) -> bool:
+        """Whether bins can separate the two ends: not between the largest number and infinity."""
+        return max(self.low, -LARGEST) < min(self.high, LARGEST)
+
+
+def _bin_number() -> Column:
+    """Bin of ``__v`` in its interval; never falls when the value rises."""
+    v = F.greatest(F.least(F.col("__v"), F.lit(LARGEST)), F.lit(-LARGEST))
+    size = F.abs(v)
+    place = F.when(F.col("sign") == 0, size).when(F.col("logged"), F.ln(size)).otherwise(size)
+    bin_no = F.floor((place - F.col("first")) / F.col("reach") * BINS)
+    return F.when(F.col("sign") == 0, F.signum(v) * (1 + bin_no)).otherwise(F.col("sign") * bin_no)
+
+
+def _bins_with_ranks(rows: DataFrame, by: Sequence[str], intervals: list["_Interval"], bin_no: Column) -> list[tuple]:
+    """Bins that hold a wanted rank, as (interval, lowest, highest value, rows before, rows)."""
+    if not intervals:
+        return []
+    spark = rows.sparkSession
+    keys = [T.StructField(f"__by{i}", rows.schema[c].dataType) for i, c in enumerate(by)]
+    facts = T.StructType.fromDDL(
+        "no int, low double, high double, before long, ranks array<long>, sign int, logged boolean, first double, reach double"
+    )
+    marks = spark.createDataFrame(
+        [(*i.key, no, i.low, i.high, i.before, i.ranks, *i.scale()) for no, i in enumerate(intervals)],
+        T.StructType([*keys, *facts]),
+    )
+    same = [F.col(c).eqNullSafe(F.col(k.name)) for c, k in zip(by, keys)]
+    inside = F.col("__v").between(F.col("low"), F.col("high"))
+    counts = (
+        rows.join(F.broadcast(marks), reduce(Column.__and__, [*same, inside]))
+        .groupBy("no", "before", "ranks", bin_no.alias("bin"))
+        .agg(F.count("__v").alias("n"), F.min("__v").alias("lowest"), F.max("__v").alias("highest"))
     )
+    upto = F.col("before") + F.sum("n").over(Window.partitionBy("no").orderBy("bin"))
+    held = F.exists("ranks", lambda r: (r >= F.col("upto") - F.col("n")) & (r < F.col("upto")))
+    return [
+        (intervals[r["no"]], r["lowest"], r["highest"], r["upto"] - r["n"], r["n"])
+        for r in counts.withColumn("upto", upto).filter(held).collect()
+    ]
 
 
 def number_copies(frame: DataFrame, columns: Sequence[str], chunk: int = 10_000) -> DataFrame:

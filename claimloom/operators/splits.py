@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimloom import settings as S
-from claimloom.functions.ranks import exact_quantiles, hash_cuts, hash_of, number_copies
+from claimloom.functions.ranks import exact_quantiles, hash_cut_table, hash_cuts, hash_of, number_copies
+from claimloom.functions.skew import broadcast_if_small
 from claimloom.functions.storage import as_table, cut
 
 # A key above this share of the rows is placed on its own; there are at most 100.
@@ -134,15 +135,42 @@ def stratified_split(
     share: float = 0.7,
     seed: int = S.SEED,
 ) -> DataFrame:
-    """Take the first ``ceil(share * n)`` rows, in hash order, of every stratum as 'train'."""
+    """Take the first ``ceil(share * n)`` rows, in hash order, of every stratum as 'train'.
+
+    The cuts are joined back as a table, so strata may be many. Null is a stratum of its own.
+    """
     numbered, h = _row_hashes(frame, columns, seed)
-    cuts = hash_cuts(
+    cuts = hash_cut_table(
         numbered.select(stratum, h.alias("h"), F.lit(1).alias("w")), "h", "w", _first(share), stratum
+    ).select(F.col("stratum").alias("__of"), F.col("h").alias("__edge"))
+    edges = broadcast_if_small(as_table(cuts, "cuts"))
+    fold = F.when(h <= F.col("__edge"), F.lit("train")).otherwise(F.lit("test"))
+    return (
+        numbered.join(edges, F.col(stratum).eqNullSafe(F.col("__of")), "left")
+        .withColumn("fold", fold)
+        .drop("__of", "__edge")
+    )
+
+
+def sample_by(
+    frame: DataFrame, stratum: str, fractions: DataFrame, columns: Sequence[Column], seed: int = S.SEED
+) -> DataFrame:
+    """A sample with a fraction of its own per stratum: approximate sizes, one pass, nothing counted or ordered.
+
+    ``fractions`` has one row per value of ``stratum`` and ``fraction`` (0 to 1); it is joined, so strata may be many.
+    Strata without a row or with a null fraction give none; a row for null stands for null. A row is taken if the
+    first 32 bits of the hash of ``columns`` lie below its fraction, whatever the layout of the files; rows
+    that are equal in ``columns`` are taken together.
+    """
+    wanted = broadcast_if_small(
+        fractions.select(F.col(stratum).alias("__of"), F.col("fraction").cast("double").alias("__fraction"))
+    )
+    place = F.conv(F.substring(hash_of(*columns, seed=seed), 1, 8), 16, 10).cast("double") / 2.0**32
+    return (
+        frame.join(wanted, F.col(stratum).eqNullSafe(F.col("__of")))
+        .filter(place < F.col("__fraction"))
+        .drop("__of", "__fraction")
     )
-    in_train = F.lit(False)
-    for value, (edge,) in cuts.items():
-        in_train = in_train | (F.col(stratum).eqNullSafe(F.lit(value)) & (h <= F.lit(edge)))
-    return numbered.withColumn("fold", F.when(in_train, F.lit("train")).otherwise(F.lit("test")))
 
 
 def quantile_groups(frame: DataFrame, value: str, groups: int = 5) -> DataFrame:

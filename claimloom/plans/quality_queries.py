@@ -359,6 +359,7 @@ def row_texts():
 
 _ROW_HASH = """md5(concat(concat_ws('|', CAST(BENE_ID AS VARCHAR), PRNCPAL_DGNS_CD_inp,
   CLM_E_POA_IND_SW1, PRNCPAL_DGNS_CD_out, '1'), ':42'))"""
+_CONTENT_HASH = _ROW_HASH.replace(", '1'", "")
 
 
 @query(
@@ -416,6 +417,23 @@ def stratified_numeric_split(t):
                         "quantile_group", "fold")
 
 
+@query(
+    "stratified_sample",
+    f"""WITH {MODELING}, sizes AS (SELECT TC_class, count(*) AS n FROM model_rows GROUP BY 1),
+    hashed AS (SELECT m.*, n, CAST(concat('0x', substr({_CONTENT_HASH}, 1, 8)) AS BIGINT) / 4294967296.0 AS place
+      FROM model_rows m JOIN sizes USING (TC_class))
+    SELECT BENE_ID, PRNCPAL_DGNS_CD_inp, CLM_E_POA_IND_SW1, PRNCPAL_DGNS_CD_out, TC_class
+    FROM hashed WHERE place < least(1.0, sqrt(CAST(n AS DOUBLE)) * 10 / n)""",
+)
+def stratified_sample(t):
+    """About ten times the root of each tier's size."""
+    rows = t.model_rows()
+    sizes = rows.groupBy(S.TIER).agg(F.count(F.lit(1)).alias("n"))
+    fraction = F.least(F.lit(1.0), F.sqrt("n") * 10 / F.col("n"))
+    sample = splits.sample_by(rows, S.TIER, sizes.select(S.TIER, fraction.alias("fraction")), row_texts())
+    return sample.select("BENE_ID", "PRNCPAL_DGNS_CD_inp", "CLM_E_POA_IND_SW1", "PRNCPAL_DGNS_CD_out", S.TIER)
+
+
 @query(
     "background_sample",
     f"""WITH {FOLDS}, hashed AS (SELECT *, md5(concat(concat_ws('|', CAST(BENE_ID AS VARCHAR),
