@@ -20,6 +20,7 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--outpatient", required=True)
     job.add_argument("--output", required=True)
     job.add_argument("--rejects", default=None, help="folder for rows with unreadable cells; default: they end the job")
+    job.add_argument("--drops", default=None, help="folder for the nulls and dropped rows per column")
     job = jobs.add_parser("train", help="validate, tune, fit, compare and export models")
     job.add_argument("--claims", required=True)
     job.add_argument("--income", required=True)
@@ -61,13 +62,15 @@ def main(arguments: list[str] | None = None) -> None:
 
 def _run(spark: SparkSession, options: argparse.Namespace) -> None:
     if options.job == "rollup":
-        merged = rollup.merged_claims(
+        merged, report = rollup.merged_with_report(
             *[
                 tables.load_raw_extract(spark, path, options.rejects and f"{options.rejects}/{side}")
                 for side, path in (("inpatient", options.inpatient), ("outpatient", options.outpatient))
             ]
         )
         tables.write_claims(merged, options.output)
+        if options.drops:
+            tables.write_report({"drops": report.table(spark)}, options.drops)
     elif options.job == "train":
         claims = tables.load_claims(spark, options.claims)
         training.run(spark, claims, tables.load_income(spark, options.income), options.models)

@@ -38,7 +38,7 @@ def as_table(frame: DataFrame, name: str, split: bool = False) -> DataFrame:
     for steps that compute much per row.
     """
     spark = frame.sparkSession
-    path = f"{_run_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
     frame.write.parquet(path)
     table = spark.read.schema(frame.schema).parquet(path)
     if split and table.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:
@@ -48,7 +48,8 @@ def as_table(frame: DataFrame, name: str, split: bool = False) -> DataFrame:
     return table
 
 
-def _run_folder(spark: SparkSession) -> str:
+def run_folder(spark: SparkSession) -> str:
+    """Folder of this application's tables, removed by :func:`remove_tables`."""
     return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}"
 
 
@@ -60,7 +61,7 @@ def _delete(spark: SparkSession, path: str) -> None:
 
 def remove_tables(spark: SparkSession) -> None:
     """Delete all that ``as_table`` wrote in this application; frames that read it end with it."""
-    _delete(spark, _run_folder(spark))
+    _delete(spark, run_folder(spark))
 
 
 def tasks_for(spark: SparkSession, work: float = 0, per_task: float = 1) -> int:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from claimloom import settings as S
 from claimloom.functions import clean
 from claimloom.functions.skew import fan_out_join, lookup_join
+from claimloom.operators.dropped import DropReport, observed
 
 CHARGE = "CLM_TOT_CHRG_AMT"
 INPATIENT_KEYS = ["BENE_ID", "PRNCPAL_DGNS_CD", "CLM_E_POA_IND_SW1", "PRVDR_STATE_CD"]
@@ -58,13 +59,29 @@ def merge_sides(inpatient: DataFrame, outpatient: DataFrame, key: str = S.GROUP_
     )
 
 
+def rolled_up(inpatient: DataFrame, outpatient: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both prepared sides as groups, the inpatient one without incomplete rows."""
+    complete = clean.drop_incomplete(inpatient)
+    return roll_up(complete, INPATIENT_KEYS), roll_up(outpatient, OUTPATIENT_KEYS)
+
+
 def merged_claims(inpatient: DataFrame, outpatient: DataFrame) -> DataFrame:
     """The merged claims table from raw extracts.
 
     Both sides shrink to their groups before they meet. The inner join already
     drops people without a stay, so no separate semi join is needed here.
     """
-    inp = clean.drop_incomplete(prepare(inpatient, 1))
-    out = prepare(outpatient, 0)
-    merged = merge_sides(roll_up(inp, INPATIENT_KEYS), roll_up(out, OUTPATIENT_KEYS))
-    return merged.select(*S.CLAIMS_SCHEMA.fieldNames())
+    return _merged(prepare(inpatient, 1), prepare(outpatient, 0))
+
+
+def merged_with_report(inpatient: DataFrame, outpatient: DataFrame) -> tuple[DataFrame, DropReport]:
+    """The merged claims table, and the inpatient rows lost to nulls, known once the table has been written.
+
+    The rows are counted before a shuffle: see :func:`observed`.
+    """
+    watched, report = observed(prepare(inpatient, 1))
+    return _merged(watched, prepare(outpatient, 0)), report
+
+
+def _merged(inpatient: DataFrame, outpatient: DataFrame) -> DataFrame:
+    return merge_sides(*rolled_up(inpatient, outpatient)).select(*S.CLAIMS_SCHEMA.fieldNames())

@@ -9,6 +9,7 @@ from claimloom.plans import (  # noqa: F401
     metric_queries,
     model_queries,
     quality_queries,
+    report_queries,
 )
 from claimloom.plans.registry import ORACLE, QUERIES
 

@@ -22,6 +22,7 @@ from claimloom.operators.candidates import (
     feature_importance,
     fitting_regressors,
 )
+from claimloom.operators.dropped import DropReport, observed
 from claimloom.operators.encoders import FEATURE_VECTOR, build_preprocessor, with_class_weights
 from claimloom.operators.tuning import SEARCH_SPACES, Tuned, tune_classifier
 from claimloom.sources import bundles, runs
@@ -62,12 +63,19 @@ def ingest_and_validate(claims: DataFrame, income: DataFrame) -> DataFrame:
 
 def split(frame: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Labelled train and test tables sharing no person."""
-    folds = as_table(splits.group_split(frame), "folds", split=True)
+    return split_with_report(frame)[:2]
+
+
+def split_with_report(frame: DataFrame) -> tuple[DataFrame, DataFrame, DropReport]:
+    """The two tables, and the nulls per column with the rows that keeping complete rows alone would lose."""
+    watched, report = observed(splits.group_split(frame), frame.columns)
+    folds = as_table(watched, "folds", split=True)
     splits.require_disjoint(folds)
     labelled = folds.withColumn(LABEL, clean.to_zero_based(F.col(S.TIER)))
     train = labelled.filter("fold = 'train'").drop("fold")
     labels = [float(i) for i in range(len(S.TIERS))]
-    return with_class_weights(train, LABEL, labels, WEIGHT), labelled.filter("fold = 'test'").drop("fold")
+    weighted = with_class_weights(train, LABEL, labels, WEIGHT)
+    return weighted, labelled.filter("fold = 'test'").drop("fold"), report
 
 
 def tune(
@@ -256,7 +264,8 @@ def run(
     with the same data and path does not repeat them.
     """
     run_id = uuid.uuid4().hex
-    train, test = split(ingest_and_validate(claims, income))
+    train, test, report = split_with_report(ingest_and_validate(claims, income))
+    bundles.save_metadata({"nulls": report.table(spark)}, path)
     tuned = tune(train, n_iter, spaces, sizes, f"{path}/trials")
     data = encode(train, test)
     tiers = train_classifiers(data, tuned, sizes, f"{path}/trees")

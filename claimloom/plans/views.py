@@ -100,6 +100,10 @@ class Tables:
     def income(self) -> DataFrame:
         return sources.clean_income(self.income_text())
 
+    def rolled_up(self) -> tuple[DataFrame, DataFrame]:
+        """Inpatient and outpatient roll-ups, before they are joined."""
+        return rollup.rolled_up(rollup.prepare(self.raw_inpatient(), 1), rollup.prepare(self.raw_outpatient(), 0))
+
     def claims(self) -> DataFrame:
         """Merged claims, the ingestion boundary: written once, then scanned."""
         return self._stored(

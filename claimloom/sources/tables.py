@@ -119,6 +119,30 @@ def write_claims(frame: DataFrame, path: str) -> None:
     frame.write.mode("overwrite").parquet(path)
 
 
+def write_by_key(
+    frame: DataFrame, name: str, path: str, key: str = S.GROUP_KEY, buckets: int = 200, hot_share: float = 1.0
+) -> bool:
+    """Save a catalogue table ``name`` at ``path`` with the rows of a key together, replacing an earlier one.
+
+    Grouping by the key, and joining tables with the same number of buckets on it, then need no exchange, as often as
+    the table is read. Take buckets that hold some 200 MB each. A bucket is one task's work: if a single key has
+    more than ``hot_share`` of an even bucket's rows, the table is saved without buckets, where adaptive execution
+    can split the key. Returns whether buckets were made.
+    """
+    counts = frame.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    facts = counts.agg(F.sum("n").alias("rows"), F.max("n").alias("most")).first()
+    even = (facts["most"] or 0) <= hot_share * max((facts["rows"] or 0) / buckets, 1)
+    placed = frame
+    if even:
+        # One task per bucket, or each task would write a file for every bucket.
+        placed = frame.repartition(buckets, key)
+    writer = placed.write.mode("overwrite").option("path", path).format("parquet")
+    if even:
+        writer = writer.bucketBy(buckets, key).sortBy(key)
+    writer.saveAsTable(name)
+    return even
+
+
 def write_background(sample: DataFrame, path: str) -> None:
     """Write the background sample as CSV with a header and no index."""
     sample.write.mode("overwrite").csv(path, header=True)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from claimloom.functions.storage import as_table
-from claimloom.operators import drift
+from claimloom.operators import drift, sketches
 
 
 def start_batch_drift(
@@ -66,3 +66,27 @@ def start_window_counts(counts: DataFrame, output: str, checkpoint: str, **trigg
 def window_drift(counts: DataFrame, reference: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Jensen-Shannon distance of every closed window from the reference."""
     return drift.drift_of_counts(counts, reference, "window_start", columns)
+
+
+def start_window_sketches(
+    rows: DataFrame, time: str, columns: Sequence[str], length: str, output: str, checkpoint: str,
+    k: int = sketches.K, **trigger,
+) -> StreamingQuery:
+    """Append a quantile sketch per time window and column for every micro-batch; nothing is held as state.
+
+    A window's sketches of all batches merge into its own (:func:`merged_windows`), so late rows count whenever they
+    come. A batch that is repeated after a failure replaces its folder.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        placed = batch.withColumn("window_start", F.window(time, length)["start"])
+        found = sketches.column_sketches(placed, columns, ["window_start"], k)
+        found.write.mode("overwrite").parquet(f"{output}/batch_id={batch_id}")
+
+    writer = rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def merged_windows(stored: DataFrame, k: int = sketches.K) -> DataFrame:
+    """One sketch per window and column from those of all batches."""
+    return sketches.merged(stored, ["window_start"], k)
