@@ -137,19 +137,30 @@ class Automaton:
     """``next[state, column[byte]]`` is the next state, ``accepts[state]`` whether a pattern ends there.
 
     State 0 is the start. An anchored automaton has a dead state -1. With ``search`` a match may begin
-    anywhere and the accepting state is never left: it tells whether there is a match.
+    anywhere and the accepting state is never left: it tells whether there is a match. With ``backwards``
+    a text is read from its end; bit k of ``accepts`` says that a match of pattern k begins at the
+    byte read last.
     """
 
-    def __init__(self, patterns: list[str], search: bool = False):
+    def __init__(self, patterns: list[str], search: bool = False, backwards: bool = False):
         free: list[list[int]] = []
         edges: Edges = []
-        starts, ends = [], set()
-        for text in patterns:
+        starts, ends = [], {}
+        for k, text in enumerate(patterns):
             p, base = Pattern(text), len(free)
             free += [[s + base for s in f] for f in p.free]
             edges += [[(b, s + base) for b, s in e] for e in p.edges]
-            starts.append(p.start + base)
-            ends.add(p.end + base)
+            first, last = (p.end, p.start) if backwards else (p.start, p.end)
+            starts.append(first + base)
+            ends[last + base] = k
+        if backwards:
+            ahead_free, ahead = free, edges
+            free, edges = [[] for _ in ahead], [[] for _ in ahead]
+            for state, (steps, reads) in enumerate(zip(ahead_free, ahead)):
+                for to in steps:
+                    free[to].append(state)
+                for b, to in reads:
+                    edges[to].append((b, state))
 
         #: Bytes that occur in some pattern.
         self.used = np.zeros(256, bool)
@@ -173,15 +184,15 @@ class Automaton:
         number, todo, rows, accepts = {begin: 0}, [begin], [], []
         while todo:
             states = todo.pop(0)
-            accepted = bool(states & ends)
-            accepts.append(accepted)
+            accepted = states & ends.keys()
+            accepts.append(sum(1 << ends[s] for s in accepted) if backwards else bool(accepted))
             row = []
             for byte in first.tolist():
                 to = {s for state in states for b, s in edges[state] if byte in b}
-                after = closed(to | set(starts)) if search else closed(to)
+                after = closed(to | set(starts)) if search or backwards else closed(to)
                 if search and accepted:
                     after = states
-                elif search and after & ends:
+                elif search and after & ends.keys():
                     after = frozenset(ends)  # one accepting state
                 if not after:
                     row.append(-1)
@@ -195,7 +206,7 @@ class Automaton:
 
     def _minimise(self, table: np.ndarray, accepts: np.ndarray) -> None:
         """Merge states that no continuation tells apart, by refining a partition."""
-        part = accepts.astype(np.int64)
+        part = np.unique(accepts, return_inverse=True)[1].reshape(-1)
         while True:
             # The dead state -1 is a part of its own.
             after = np.where(table < 0, -1, part[table])

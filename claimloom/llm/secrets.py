@@ -2,11 +2,12 @@
 
 All rules are compiled into one minimal automaton that reads every byte once and says which
 stretches hold a match; stretches end at bytes that no rule uses and are walked side by
-side, one array step per byte. Exact places are read off the rules' own automata, in
-the few stretches that hold one.
+side, one array step per byte. In the few stretches that hold one, a second combined automaton reads
+backwards and marks where matches of each rule begin; a rule's own automaton reads on from there to the end.
 """
 
 import hashlib
+from array import array
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from claimloom.llm import textkernels as K
 from claimloom.llm.automata import Automaton
 
-# Stretches beyond this length are searched for places at once, without the first walk.
+# Stretches beyond this length are walked one by one, not side by side.
 LONG = 16_384
 
 # Bytes of text walked at once: many stretches side by side, one small array each.
@@ -70,6 +71,13 @@ def _search(rules: tuple[Rule, ...]) -> Automaton:
     return Automaton([r.prefix + r.body + (f"{{{r.least},}}" if not r.prefix else "") for r in rules], search=True)
 
 
+@lru_cache(maxsize=4)
+def _begins(rules: tuple[Rule, ...]) -> tuple[list[list[int]], list[int], np.ndarray]:
+    """Transitions, columns and rules of the automaton that reads backwards and marks where matches begin."""
+    a = Automaton([r.prefix + r.body + "+" for r in rules], backwards=True)
+    return a.next.tolist(), a.column.tolist(), a.accepts
+
+
 @lru_cache(maxsize=4)
 def _single(rules: tuple[Rule, ...]) -> list[tuple[Rule, list[list[int]], list[bool], list[int]]]:
     found = []
@@ -85,19 +93,30 @@ def _used(rules: tuple[Rule, ...]) -> np.ndarray:
 
 
 def places(text: bytes, rules: tuple[Rule, ...]) -> list[Span]:
-    """Leftmost non-overlapping matches of each rule, the short ones dropped; byte offsets."""
+    """Leftmost non-overlapping matches of each rule, the short ones dropped; byte offsets.
+
+    One pass from the end marks where matches of any rule begin. Only there a rule's own automaton
+    reads on, to the end of the match, so the time grows with the text and its matches.
+    """
+    table, column, begins = _begins(rules)
+    states = array("i", bytes(4 * len(text)))
+    state = 0
+    for i in range(len(text) - 1, -1, -1):
+        state = table[state][column[text[i]]]
+        states[i] = state
+    marks = begins[np.frombuffer(states, np.int32)]
+    some = int(np.bitwise_or.reduce(marks)) if len(marks) else 0
     found = []
     for number, (rule, table, accepts, column) in enumerate(_single(rules)):
-        codes = [column[b] for b in text]
-        first = [t >= 0 for t in table[0]]
-        i, n = 0, len(codes)
-        while i < n:
-            if not first[codes[i]]:
-                i += 1
-                continue
-            state, j, body, last = 0, i, -1, -1
+        if not some >> number & 1:
+            continue
+        starts = np.flatnonzero(marks >> number & 1)
+        k, n = 0, len(text)
+        while k < len(starts):
+            i = j = int(starts[k])
+            state, body, last = 0, -1, -1
             while j < n:
-                state = table[state][codes[j]]
+                state = table[state][column[text[j]]]
                 if state < 0:
                     break
                 j += 1
@@ -105,15 +124,23 @@ def places(text: bytes, rules: tuple[Rule, ...]) -> list[Span]:
                     last = j
                     if body < 0:
                         body = j - 1
-            if last < 0:
-                i += 1
-                continue
             if last - body >= rule.least:
                 found.append((i, last, number))
-            i = last
+            k = int(np.searchsorted(starts, last))
     return found
 
 
+def _holds_match(text: bytes, search: Automaton) -> bool:
+    """The automaton over one stretch, byte by byte."""
+    table, column, accepts = search.next.tolist(), search.column.tolist(), search.accepts.tolist()
+    state = 0
+    for b in text:
+        state = table[state][column[b]]
+        if accepts[state]:
+            return True
+    return False
+
+
 def stretches_with_match(data: np.ndarray, offsets: np.ndarray, rules: tuple[Rule, ...]) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the stretches of a block that hold a match."""
     search = _search(rules)
@@ -121,8 +148,9 @@ def stretches_with_match(data: np.ndarray, offsets: np.ndarray, rules: tuple[Rul
     words = K.Words(used, None, offsets)
     starts, ends = words.starts, words.ends
     lengths = ends - starts
-    long = lengths > LONG
-    walked = np.flatnonzero(~long)
+    alone = [k for k in np.flatnonzero(lengths > LONG).tolist() if _holds_match(data[starts[k] : ends[k]].tobytes(), search)]
+    long = np.array(alone, np.int64)
+    walked = np.flatnonzero(lengths <= LONG)
     order = walked[np.argsort(-lengths[walked], kind="stable")]
     if not len(order):
         return starts[long], ends[long]
@@ -136,7 +164,7 @@ def stretches_with_match(data: np.ndarray, offsets: np.ndarray, rules: tuple[Rul
     for t, n in enumerate(alive.tolist()):
         state[:n] = table[state[:n] + columns[begin[:n] + t]]
     hit = order[search.accepts[state // size]]
-    chosen = np.sort(np.concatenate([hit, np.flatnonzero(long)]))
+    chosen = np.sort(np.concatenate([hit, long]))
     return starts[chosen], ends[chosen]
 
 

@@ -5,6 +5,7 @@ import hashlib
 import os
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -87,6 +88,29 @@ def test_automaton_equals_re():
         assert bool(search.accepts[state]) == any(re.search(p, text) for p in patterns)
 
 
+def test_backwards_automaton_marks_where_matches_begin():
+    draw = random.Random(10)
+    patterns = ["ab", "a(b|c)*d", "[ab]{3,}c?", r"(?i:key)\x20*=", "x+y", "(a|ab)(c|bcd)"]
+    back = Automaton(patterns, backwards=True)
+    for _ in range(1000):
+        text = "".join(draw.choice("abcdxyKkeE =") for _ in range(draw.randint(1, 12)))
+        state = 0
+        for i in range(len(text) - 1, -1, -1):
+            state = back.next[state, back.column[ord(text[i])]]
+            begins = [bool(re.compile(p).match(text, i)) for p in patterns]
+            assert [bool(back.accepts[state] >> k & 1) for k in range(len(patterns))] == begins, (text, i)
+
+
+@pytest.mark.parametrize("part", ["eyJ", "eyJ.", "eyJa.", "password ", "-----BEGIN RSA "])
+def test_a_megabyte_of_beginnings_takes_linear_time(part):
+    text = (part * (1_000_000 // len(part)) + " token=" + "x" * 12).encode()
+    offsets = np.array([0, len(text)])
+    begun = time.process_time()
+    found = secrets.secrets_of(np.frombuffer(text, np.uint8), offsets, secrets.RULES)
+    assert time.process_time() - begun < 20
+    assert (len(text) - 18, len(text), 0) in found[0]
+
+
 def either(word):
     return "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in word)
 
