@@ -25,6 +25,9 @@ from claimloom.llm import textkernels as K
 # Tokens of the shortest tile.
 LEAST = 5
 
+# Runs that are made Python numbers at once.
+TILE_ROWS = 50_000
+
 # Characters of test items that are held in memory at once.
 BLOCK_CHARS = 8_000_000
 
@@ -49,95 +52,190 @@ def tokens(texts: list[str]) -> K.Words:
     return K.Words(token[flat], codes[flat], offsets)
 
 
+# Maximal common runs that are listed at once; a text with more is handled on its own.
+MOST_RUNS = 2_000_000
+
+# Stand for the token before the first or after the last of a document and of an item; they equal nothing.
+_NO_TOKEN, _NO_ITEM_TOKEN = np.uint64(1), np.uint64(2)
+
+
+def _beside(words: K.Words, owner: np.ndarray, at: np.ndarray, step: int, nothing: np.uint64) -> np.ndarray:
+    """The token one before (``step`` -1) or after the five at each place, or ``nothing`` at the text's edge."""
+    edge = at if step < 0 else at + LEAST - 1
+    beside = np.clip(edge + step, 0, max(len(owner) - 1, 0))
+    inside = (edge + step == beside) & (owner[beside] == owner[edge])
+    return np.where(inside, words.hashes[beside], nothing)
+
+
+def _pair_codes(number: np.ndarray, beside: np.ndarray) -> np.ndarray:
+    return K.mix(number.astype(np.uint64) + np.uint64(1)) ^ beside
+
+
+class Side:
+    """Places of items' five-token runs by their hash and the token beside them.
+
+    Equal runs of a document and an item that have equal tokens beside them continue there. So the
+    places at which a common run begins (or ends) are those of the same hash but for the ones of the
+    same token, which lie together: only these places are listed, not all pairs of equal runs.
+    """
+
+    def __init__(self, grams: np.ndarray, places: np.ndarray, beside: np.ndarray):
+        order = np.lexsort((beside, grams))
+        self.places = places[order]
+        grams, beside = grams[order], beside[order]
+        self.hashes, self.first = np.unique(grams, return_index=True)
+        self.last = np.append(self.first[1:], len(grams))
+        number = np.repeat(np.arange(len(self.hashes)), self.last - self.first)
+        codes = _pair_codes(number, beside)
+        self.by_code = np.argsort(codes, kind="stable")
+        self.codes = codes[self.by_code]
+
+    def counts(self, number: np.ndarray, beside: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Per document place: first and end of its hash, and of the part that continues."""
+        low, high = self.first[number], self.last[number]
+        codes = _pair_codes(number, beside)
+        begin = np.searchsorted(self.codes, codes, side="left")
+        many = np.searchsorted(self.codes, codes, side="right") - begin
+        skip = np.where(many > 0, self.by_code[np.minimum(begin, len(self.codes) - 1)], high)
+        skip = np.clip(skip, low, high)
+        return low, skip, np.clip(skip + many, skip, high), high
+
+    def list(self, at: np.ndarray, ranges: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray]:
+        """Document places and item places of all that does not continue."""
+        low, skip, resume, high = ranges
+        left, right = skip - low, high - resume
+        return (
+            np.concatenate([np.repeat(at, left), np.repeat(at, right)]),
+            self.places[np.concatenate([K.ragged(low, left), K.ragged(resume, right)])],
+        )
+
+
 class Items:
-    """Test items with an index from the rolling hash of ``LEAST`` tokens to its places."""
+    """Test items with an index of their runs of ``LEAST`` tokens."""
 
     def __init__(self, rows: list[tuple[int, str]]):
         self.ids = [i for i, _ in rows]
         words = tokens([t or "" for _, t in rows])
         self.first, self.hashes = words.first, words.hashes
-        owner = words.texts()
+        self.owner = owner = words.texts()
         grams = K.gram_hashes(words.hashes, LEAST)
         whole = np.flatnonzero(owner[: len(grams)] == owner[LEAST - 1 :]) if len(grams) else np.zeros(0, np.int64)
-        order = whole[np.argsort(grams[whole], kind="stable")]
-        self.grams, self.places = grams[order], order
-        self.owner = owner
+        self.begins = Side(grams[whole], whole, _beside(words, owner, whole, -1, _NO_ITEM_TOKEN))
+        self.ends = Side(grams[whole], whole, _beside(words, owner, whole, 1, _NO_ITEM_TOKEN))
+        self.grams = self.begins.hashes
         # A cheap first look: the top 20 bits of the hashes that occur.
         self.maybe = np.zeros(1 << 20, bool)
         self.maybe[self.grams >> np.uint64(44)] = True
 
-    def seeds(self, words: K.Words) -> tuple[np.ndarray, np.ndarray]:
-        """Places of equal runs of ``LEAST`` tokens: in the documents' words, in the items' words."""
+    def runs(self, words: K.Words) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Maximal common runs: places in the documents' words and in the items' words, lengths.
+
+        They come in parts of whole texts, each of at most ``MOST_RUNS`` or of a single text.
+        """
         grams = K.gram_hashes(words.hashes, LEAST)
         at = np.flatnonzero(self.maybe[grams >> np.uint64(44)])
-        low = np.searchsorted(self.grams, grams[at], side="left")
-        many = np.searchsorted(self.grams, grams[at], side="right") - low
-        at, low, many = at[many > 0], low[many > 0], many[many > 0]
+        number = np.searchsorted(self.grams, grams[at])
+        known = number < len(self.grams)
+        at, number = at[known], number[known]
         owner = words.texts()
-        inside = owner[at] == owner[at + LEAST - 1] if len(at) else np.zeros(0, bool)
-        at, low, many = at[inside], low[inside], many[inside]
-        return np.repeat(at, many), self.places[K.ragged(low, many)]
-
-
-def tiles(left: np.ndarray, right: np.ndarray, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int, int]]:
+        known = (self.grams[number] == grams[at]) & (owner[at] == owner[at + LEAST - 1])
+        at, number = at[known], number[known]
+        if not len(at):
+            return
+        begin = self.begins.counts(number, _beside(words, owner, at, -1, _NO_TOKEN))
+        end = self.ends.counts(number, _beside(words, owner, at, 1, _NO_TOKEN))
+        runs = (begin[1] - begin[0]) + (begin[3] - begin[2])
+        edges = np.flatnonzero(np.diff(owner[at], prepend=-1))
+        upto = np.append(np.cumsum(runs) - runs, runs.sum())
+        edges = np.append(edges, len(at))
+        low = 0
+        while low < len(edges) - 1:
+            high = max(low + 1, int(np.searchsorted(upto[edges], upto[edges[low]] + MOST_RUNS, side="right")) - 1)
+            part = slice(edges[low], edges[high])
+            yield self._joined(
+                self.begins.list(at[part], tuple(r[part] for r in begin)), self.ends.list(at[part], tuple(r[part] for r in end))
+            )
+            low = high
+
+    def _joined(self, begins, ends) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Beginnings with the next end on their diagonal."""
+        (p, q), (p_end, q_end) = begins, ends
+        size = int(max(p.max(initial=0), p_end.max(initial=0))) + 2
+        shift = len(self.owner)
+        keys = (p - q + shift) * size + p
+        order = np.argsort(keys)
+        p, q, keys = p[order], q[order], keys[order]
+        closing = np.append(np.sort((p_end - q_end + shift) * size + p_end), np.iinfo(np.int64).max)
+        end = closing[np.searchsorted(closing, keys)]
+        # Without an end of its own (unequal tokens of equal hash) a run has the least length; tiling compares it.
+        length = np.where(end // size == keys // size, end - keys, 0) + LEAST
+        return p, q, length
+
+
+def tiles(left: np.ndarray, right: np.ndarray, p: np.ndarray, q: np.ndarray, length: np.ndarray) -> list[tuple[int, int, int]]:
     """Greedy string tiling of ``right`` by ``left``: (place in left, place in right, length).
 
-    ``a`` and ``b`` are the places of equal runs of ``LEAST`` hashes. Equal runs next to
-    each other are one longer run; the longest is marked first, the earliest among
-    equals, and what is left of a run that overlaps a tile waits for its turn.
+    ``p``, ``q`` and ``length`` are the maximal equal runs of at least ``LEAST`` hashes. The longest is
+    marked first, the earliest among equals, and what is left of a run that overlaps a tile waits for
+    its turn. It ends when ``right`` has no free run of ``LEAST`` hashes.
     """
-    order = np.lexsort((a, a - b))
-    a, b = a[order], b[order]
-    new = np.ones(len(a), bool)
-    new[1:] = (np.diff(a) != 1) | (np.diff(b) != 1)
-    begin = np.flatnonzero(new)
-    length = np.diff(np.append(begin, len(a))) + LEAST - 1
-    heap = [(-int(n), int(q), int(p)) for n, q, p in zip(length, b[begin], a[begin])]
-    heapq.heapify(heap)
+    order = np.lexsort((p, q, -length))
+    given = (
+        run
+        for k in range(0, len(order), TILE_ROWS)
+        for run in zip(*(x[order[k : k + TILE_ROWS]].tolist() for x in (-length, q, p)))
+    )
     used_left, used_right = np.zeros(len(left), bool), np.zeros(len(right), bool)
-    found = []
-    while heap:
-        n, q, p = heapq.heappop(heap)
+    found: list[tuple[int, int, int]] = []
+    rest: list[tuple[int, int, int]] = []  # pieces of runs, a heap
+    head, wasted = next(given, None), 0
+    while head or rest:
+        if rest and (not head or rest[0] < head):
+            n, b, a = heapq.heappop(rest)
+        else:
+            (n, b, a), head = head, next(given, None)
         n = -n
-        free = ~(used_left[p : p + n] | used_right[q : q + n])
+        free = ~(used_left[a : a + n] | used_right[b : b + n])
         if free.all():
-            if (left[p : p + n] == right[q : q + n]).all():
-                used_left[p : p + n] = used_right[q : q + n] = True
-                found.append((p, q, n))
+            if (left[a : a + n] == right[b : b + n]).all():
+                used_left[a : a + n] = used_right[b : b + n] = True
+                found.append((a, b, n))
             continue
         edge = np.flatnonzero(np.diff(np.concatenate([[0], free.view(np.int8), [0]])))
-        for start, end in zip(edge[::2].tolist(), edge[1::2].tolist()):
-            if end - start >= LEAST:
-                heapq.heappush(heap, (start - end, q + start, p + start))
+        pieces = [(x, y) for x, y in zip(edge[::2].tolist(), edge[1::2].tolist()) if y - x >= LEAST]
+        for start, end in pieces:
+            heapq.heappush(rest, (start - end, b + start, a + start))
+        wasted += not pieces
+        if not pieces and wasted & (wasted - 1) == 0:  # looked at 1, 2, 4, 8, ... times
+            edge = np.flatnonzero(np.diff(np.concatenate([[1], used_right.view(np.int8), [1]])))
+            if not len(edge) or np.diff(edge)[::2].max() < LEAST:
+                break
     return found
 
 
 def leaks_of(texts: list[str], items: Items, threshold: float) -> list[tuple[int, int, int, int, int]]:
     """(text, item, covered tokens, item's tokens, tiles) of the texts that cover an item."""
     words = tokens(texts)
-    at, place = items.seeds(words)
+    owner = words.texts()
     found = []
-    if not len(at):
-        return found
-    text, item = words.texts()[at], items.owner[place]
-    order = np.lexsort((item, text))
-    at, place, text, item = at[order], place[order], text[order], item[order]
-    cuts = np.flatnonzero((np.diff(text) != 0) | (np.diff(item) != 0)) + 1
-    for start, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(at)]):
-        t, i = int(text[start]), int(item[start])
-        size = int(items.first[i + 1] - items.first[i])
-        b = place[start:end] - items.first[i]
-        # No tile reaches beyond the seeds, so what they cover bounds the result.
-        cover = np.zeros(size + 1, np.int64)
-        np.add.at(cover, b, 1)
-        np.add.at(cover, b + LEAST, -1)
-        if (np.cumsum(cover[:-1]) > 0).sum() < threshold * size:
-            continue
-        own = words.hashes[words.first[t] : words.first[t + 1]]
-        marked = tiles(own, items.hashes[items.first[i] : items.first[i + 1]], at[start:end] - words.first[t], b)
-        covered = sum(n for _, _, n in marked)
-        if covered >= threshold * size:
-            found.append((t, i, covered, size, len(marked)))
+    for at, place, length in items.runs(words):
+        text, item = owner[at], items.owner[place]
+        order = np.lexsort((item, text))
+        at, place, length, text, item = at[order], place[order], length[order], text[order], item[order]
+        cuts = np.flatnonzero((np.diff(text) != 0) | (np.diff(item) != 0)) + 1
+        for start, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(at)]):
+            t, i = int(text[start]), int(item[start])
+            size = int(items.first[i + 1] - items.first[i])
+            b, n = place[start:end] - items.first[i], length[start:end]
+            # No tile reaches beyond the common runs, so what they cover bounds the result.
+            cover = np.bincount(b, minlength=size + 1) - np.bincount(b + n, minlength=size + 1)
+            if (np.cumsum(cover[:size]) > 0).sum() < threshold * size:
+                continue
+            own = words.hashes[words.first[t] : words.first[t + 1]]
+            marked = tiles(own, items.hashes[items.first[i] : items.first[i + 1]], at[start:end] - words.first[t], b, n)
+            covered = sum(n for _, _, n in marked)
+            if covered >= threshold * size:
+                found.append((t, i, covered, size, len(marked)))
     return found
 
 

@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -159,3 +160,39 @@ def test_leaks_at_the_threshold_of_the_queries(spark):
     assert {(r.doc_id, r.item_id) for r in got.collect()} == wanted
     kept = decontaminate.without_leaks(frame(spark, rows), bench)
     assert {r.doc_id for r in kept.collect()} == {d for d, _ in rows} - {d for d, _ in wanted}
+
+
+def test_runs_are_all_maximal_common_runs(monkeypatch):
+    """Few different tokens, so that equal runs of five are many; also when texts are taken in several parts."""
+    draw = random.Random(29)
+    for _ in range(150):
+        letters = "abcdef"[: draw.randint(1, 6)]
+        texts, items = ([" ".join(draw.choice(letters) for _ in range(draw.randint(0, 50))) for _ in range(4)] for _ in range(2))
+        monkeypatch.setattr(decontaminate, "MOST_RUNS", draw.choice([1, 40, 2_000_000]))
+        index, words = decontaminate.Items(list(enumerate(items))), decontaminate.tokens(texts)
+        got = collections.Counter()
+        for at, place, length in index.runs(words):
+            for p, q, n in zip(at.tolist(), place.tolist(), length.tolist()):
+                t, i = int(words.texts()[p]), int(index.owner[q])
+                got[t, i, p - int(words.first[t]), q - int(index.first[i]), n] += 1
+        wanted = collections.Counter()
+        for t, left in enumerate(map(str.split, texts)):
+            for i, right in enumerate(map(str.split, items)):
+                for p in range(len(left)):
+                    for q in range(len(right)):
+                        n = 0
+                        while p + n < len(left) and q + n < len(right) and left[p + n] == right[q + n]:
+                            n += 1
+                        if n >= decontaminate.LEAST and not (p and q and left[p - 1] == right[q - 1]):
+                            wanted[t, i, p, q, n] += 1
+        assert got == wanted
+
+
+def test_a_million_equal_words():
+    items = decontaminate.Items([(1, "word " * 300), (2, "word " * 7 + "other"), (3, "clean words that no text of this test holds")])
+    tracemalloc.start()
+    found = decontaminate.leaks_of(["word " * 1_000_000, "a b c"], items, 0.6)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [r[:4] for r in sorted(found)] == [(0, 0, 300, 300), (0, 1, 7, 8)]
+    assert most < 500_000_000
