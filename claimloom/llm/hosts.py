@@ -7,9 +7,9 @@ pair of hosts, so the size of a host does not matter. A host is blocked when its
 outweighs its trust.
 """
 
+import math
 from collections.abc import Sequence
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,13 +20,16 @@ DAMPING = 0.85
 ROUNDS = 20
 
 # Rounds between two stored states: few jobs, and a short lineage.
-STORED_EVERY = 5
+STORED_EVERY = 10
 
-# Scores are settled when STORED_EVERY rounds change those of a kind by less than this together; a kind's sum is 1 at most.
+# Scores are settled when those of a kind are within this of their limits, in sum; a kind's sum is 1 at most.
 SETTLED = 1e-6
 
-# A graph of up to so many links is iterated in the driver's memory, a larger one by joins.
-FEW_LINKS = 100_000
+# Links of a host that one task follows in a round; a host with more is dealt to several.
+SLOT_LINKS = 100_000
+
+# Decimals of the difference of two scores that decide: sums in another order differ beyond them.
+DECIMALS = 12
 
 # A name longer than this is no host; only its direct parent counts.
 LONGEST_HOST = 253
@@ -111,85 +114,61 @@ def host_links(pages: DataFrame, whole: bool = False) -> DataFrame:
     return known.groupBy("src", "dst").agg(F.sum("links").alias("links"))
 
 
-def _spread_few(seeds: DataFrame, links: DataFrame, settled: float) -> DataFrame:
-    """``spread`` of a small graph, in the driver's memory."""
-    edges = links.collect()
-    # Scores arise only at seeds and where links end.
-    ends = links.select("kind", F.col("dst").alias("host")).distinct()
-    linked = links.select("kind", F.col("src").alias("host")).union(ends).distinct()
-    given = seeds.join(F.broadcast(linked), ["kind", "host"], "left_semi").collect()
-    rows = []
-    for kind in sorted({r.kind for r in given}):
-        own = [r for r in edges if r.kind == kind]
-        names = sorted({r.src for r in own} | {r.dst for r in own})
-        at = {host: k for k, host in enumerate(names)}
-        src, dst = (np.array([at[r[c]] for r in own], np.int64) for c in ("src", "dst"))
-        many = np.array([r.links for r in own], float)
-        share = many / np.bincount(src, many, len(names))[src]
-        base = np.zeros(len(names))
-        for r in given:
-            if r.kind == kind:
-                base[at[r.host]] += r.weight
-        state, before = base, None
-        while before is None or np.abs(state - before).sum() >= settled:
-            before = state
-            for _ in range(STORED_EVERY):
-                state = (1 - DAMPING) * base + DAMPING * np.bincount(dst, state[src] * share, len(names))
-        rows += [(kind, host, float(score)) for host, score in zip(names, state) if score > 0]
-    found = seeds.sparkSession.createDataFrame(rows, "kind string, host string, score double")
-    # A seed without links keeps the share that returns to it.
-    alone = seeds.join(F.broadcast(linked), ["kind", "host"], "left_anti")
-    return found.unionByName(alone.select("kind", "host", (F.col("weight") * (1 - DAMPING)).alias("score")))
-
-
-def _change(state: DataFrame, before: DataFrame) -> float:
-    """The largest change of a kind's scores."""
-    both = state.unionByName(before.withColumn("score", -F.col("score"))).groupBy("kind", "host").agg(F.sum("score").alias("score"))
-    by_kind = both.groupBy("kind").agg(F.sum(F.abs("score")).alias("change"))
-    return by_kind.agg(F.max("change")).first()[0] or 0.0
+def rounds_to(settled: float) -> int:
+    """Rounds after which scores are within ``settled`` of their limits: each shrinks what is open, at most 2, by ``DAMPING``."""
+    return max(1, math.ceil(math.log(settled / 2) / math.log(DAMPING)))
+
+
+def _shares(links: DataFrame, slot_links: int) -> DataFrame:
+    """``links`` as the share of its source's score that each takes, dealt into slots.
+
+    A host has a slot per ``slot_links`` links; ``slots`` is the number of slots of the
+    target, as a source.
+    """
+    of_host = links.groupBy("kind", "src").agg(
+        F.sum("links").alias("all_links"), F.ceil(F.count(F.lit(1)) / slot_links).cast("int").alias("of_src")
+    )
+    # Stored, so that the joins can split a domain with very many hosts.
+    of_host = as_table(of_host, "totals")
+    dealt = links.join(of_host, ["kind", "src"]).select(
+        "kind",
+        "src",
+        F.pmod(F.xxhash64("dst"), F.col("of_src")).cast("int").alias("slot"),
+        "dst",
+        (F.col("links") / F.col("all_links")).alias("share"),
+    )
+    of_target = of_host.select("kind", F.col("src").alias("dst"), F.col("of_src").alias("slots"))
+    return dealt.join(of_target, ["kind", "dst"], "left").select("kind", "src", "slot", "dst", "share", "slots")
 
 
 def spread(
-    seeds: DataFrame, links: DataFrame, rounds: int = ROUNDS, settled: float | None = None, few: int = FEW_LINKS
+    seeds: DataFrame, links: DataFrame, rounds: int = ROUNDS, settled: float | None = None, slot_links: int = SLOT_LINKS
 ) -> DataFrame:
     """Personalised PageRank of several kinds at once.
 
     ``seeds(kind, host, weight)`` has weights that sum to one per kind, ``links(kind,
     src, dst, links)`` the graph of each kind. Returns ``kind``, ``host``, ``score``: after
     each round, a share of ``1 - DAMPING`` returns to the seeds and the rest follows the links in
-    proportion; a host without links keeps nothing. With ``settled`` the rounds go on until
-    ``STORED_EVERY`` of them change the scores of each kind by less than that in sum, which they do
-    as each round shrinks a change by ``DAMPING``.
+    proportion; a host without links keeps nothing. With ``settled`` there are as many rounds as
+    bring the scores of each kind within that of their limits, in sum.
     """
-    seeds = as_table(seeds, "seeds")
-    if settled is not None and links.count() <= few:
-        return _spread_few(seeds, links, settled)
-    total = links.groupBy("kind", "src").agg(F.sum("links").alias("all_links"))
-    if settled is not None:
-        # Stored, so that the join can split a domain with very many hosts.
-        total = as_table(total, "totals")
-    shares = as_table(
-        links.join(total, ["kind", "src"]).select(
-            "kind", "src", "dst", (F.col("links") / F.col("all_links")).alias("share")
-        ),
-        "shares",
-    )
-    base = seeds.select("kind", "host", (F.col("weight") * (1 - DAMPING)).alias("score"))
-    before = state = seeds.select("kind", "host", F.col("weight").alias("score"))
-    done = 0
-    while settled is not None or done < rounds:
-        moved = state.withColumnRenamed("host", "src").join(shares, ["kind", "src"]).select(
-            "kind", F.col("dst").alias("host"), (F.col("score") * F.col("share") * DAMPING).alias("score")
+    rounds = rounds if settled is None else rounds_to(settled)
+    shares = as_table(_shares(links, slot_links), "shares")
+    of_seed = shares.groupBy("kind", F.col("src").alias("host")).agg((F.max("slot") + 1).alias("slots"))
+    seeds = as_table(seeds.join(of_seed, ["kind", "host"], "left").select("kind", "host", "weight", "slots"), "seeds")
+    base = seeds.select("kind", "host", "slots", (F.col("weight") * (1 - DAMPING)).alias("score"))
+    state = seeds.select("kind", "host", "slots", F.col("weight").alias("score"))
+    for done in range(1, rounds + 1):
+        # A score goes to each slot of its host; hosts without links have none.
+        slots = F.explode(F.sequence(F.lit(0), F.col("slots") - 1))
+        given = state.filter("slots > 0").select("kind", F.col("host").alias("src"), slots.alias("slot"), "score")
+        moved = given.join(shares, ["kind", "src", "slot"]).select(
+            "kind", F.col("dst").alias("host"), "slots", (F.col("score") * F.col("share") * DAMPING).alias("score")
         )
-        state = base.unionByName(moved).groupBy("kind", "host").agg(F.sum("score").alias("score"))
-        done += 1
-        if settled is not None or done % STORED_EVERY == 0:
+        state = base.unionByName(moved).groupBy("kind", "host").agg(F.max("slots").alias("slots"), F.sum("score").alias("score"))
+        if done % STORED_EVERY == 0 or done == rounds:
             state = as_table(state, "ranks")
-        if settled is not None and done % STORED_EVERY == 0:
-            if _change(state, before) < settled:
-                break
-            before = state
-    return state
+    return state.select("kind", "host", "score")
 
 
 def judge(
@@ -201,13 +180,12 @@ def judge(
     tolerance: float = 1.0,
     whole: bool = False,
     settled: float | None = None,
-    few: int = FEW_LINKS,
 ) -> DataFrame:
     """``page_id``, ``host``, ``path``, ``rule``, ``verdict``, ``trust``, ``distrust`` of every page.
 
     The longest rule that fits a url decides; else its host is blocked when its distrust
     is more than ``tolerance`` times its trust. With ``whole``, hosts without pages pass scores on
-    (see ``host_links``); with ``settled``, scores spread until they change by less (see ``spread``). A url that is null or has no ``://`` has
+    (see ``host_links``); with ``settled``, scores spread until they are that near to their limits (see ``spread``). A url that is null or has no ``://`` has
     an empty host and path and is allowed, as is a host that neither reaches. A null page
     has no links. Rows with equal ids are judged each. Extra columns are ignored,
     whatever their names. An empty table gives an empty result.
@@ -233,12 +211,13 @@ def judge(
     both_ways = links.select(F.lit("trust").alias("kind"), "src", "dst", "links").unionByName(
         links.select(F.lit("distrust").alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"), "links")
     )
-    ranks = spread(seeds, both_ways, settled=settled, few=few)
+    ranks = spread(seeds, both_ways, settled=settled)
     scores = ranks.groupBy("host").agg(
         *[F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("score"))), F.lit(0.0)).alias(k) for k in ("trust", "distrust")]
     )
-    judged = ruled.drop("html").join(scores, "host", "left")
-    suspect = F.coalesce(F.col("distrust") > tolerance * F.col("trust"), F.lit(False))
+    # Stored, so that the join can split the pages of a large host.
+    judged = ruled.drop("html").join(as_table(scores, "scores"), "host", "left")
+    suspect = F.coalesce(F.round(F.col("distrust") - tolerance * F.col("trust"), DECIMALS) > 0, F.lit(False))
     return judged.select(
         "page_id",
         "host",

@@ -93,6 +93,12 @@ def test_hosts(spark):
         assert r.trust == pytest.approx(trust.get(r.host, 0)) and r.distrust == pytest.approx(distrust.get(r.host, 0))
     assert {r.verdict for r in got if r.rule is None} == {"allow", "block"}
     assert hosts.judge(spark.createDataFrame([], PAGES), queries.URL_RULES).collect() == []
+    # Extra columns with the names that the operator uses itself.
+    clashing = frame_
+    for name in ("src", "dst", "kind", "hit", "trust", "distrust", "rule", "verdict", "path", "slot", "share"):
+        clashing = clashing.withColumn(name, hosts.F.lit("x"))
+    again = hosts.judge(clashing, queries.URL_RULES).collect()
+    assert collections.Counter((r.page_id, r.host, r.path, r.rule, r.verdict) for r in again) == wanted
 
 
 def settled_scores(pages, rules):
@@ -130,16 +136,18 @@ def settled_scores(pages, rules):
     return out
 
 
-@pytest.mark.parametrize("few", [hosts.FEW_LINKS, 0])
-def test_hosts_without_pages_pass_scores_on(spark, few):
-    """Siblings share only a domain without pages; a link leads to a host without pages."""
+@pytest.mark.parametrize("slot_links", [hosts.SLOT_LINKS, 2])
+def test_hosts_without_pages_pass_scores_on(spark, monkeypatch, slot_links):
+    """Siblings share only a domain without pages; a link leads to a host without pages; hosts may be dealt to several slots."""
+    plain = hosts.spread
+    monkeypatch.setattr(hosts, "spread", lambda *args, **named: plain(*args, **named, slot_links=slot_links))
     rules = (("bad.zone.net", "/", "block"), ("good.site.com", "/", "allow"), ("far.deep.zone.net", "/", "allow"))
     hosts_ = ["bad.zone.net", "adult-x.zone.net", "a.b.zone.net", "good.site.com", "www.site.com", "far.deep.zone.net",
               "lonely.zz", "10.0.0.1", "11.0.0.1", "linker.one.org", "one.org"]
     pages = [(i, f"http://{hosts_[i % len(hosts_)]}/{i}", "") for i in range(44)]
     pages += [(100, "http://linker.one.org/", '<a href="http://cdn.bad.zone.net/x"> <a href="http://nowhere.yy/">')]
     frame_ = spark.createDataFrame([(*p, "h", "l") for p in pages], PAGES).repartition(3)
-    got = hosts.judge(frame_, rules, whole=True, settled=hosts.SETTLED, few=few).collect()
+    got = hosts.judge(frame_, rules, whole=True, settled=hosts.SETTLED).collect()
     trust, distrust = settled_scores(pages, rules)
     assert len(got) == len(pages)
     for r in got:
