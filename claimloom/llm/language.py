@@ -102,44 +102,68 @@ def suffix_automaton(sequence: np.ndarray) -> list[dict[int, int]]:
     return step
 
 
-def parse_table(sample: np.ndarray, size: int) -> np.ndarray:
-    """Next state by state and symbol; a set ``_BREAK`` bit says that a new phrase begins."""
-    step = suffix_automaton(sample)
-    root = np.zeros(size, np.int32)
-    for c, state in step[0].items():
-        root[c] = state
-    table = np.empty((len(step), size), np.int32)
-    table[:] = root | _BREAK
-    for state, targets in enumerate(step):
-        if targets:
-            table[state, list(targets)] = list(targets.values())
-    # In the root no phrase is open: any symbol begins one.
-    table[0] = root | _BREAK
-    return table.ravel()
+class Tables:
+    """Parse tables of all languages' samples; the states of all are numbered through.
+
+    Most states of a suffix automaton have one way on, which is kept as a symbol and a state. Only
+    the others have a row of next states, as wide as the symbols of their own sample. A set ``_BREAK`` bit
+    says that a new phrase begins; row 0 of a language holds only these.
+    """
+
+    def __init__(self, samples: tuple[str, ...]):
+        points = [code_points(s) for s in samples]
+        seen = np.unique(np.concatenate(points))
+        #: Letters of all samples.
+        self.alphabet = seen[_letter_table()[seen]]
+        #: Column of a symbol in the rows of each language; 0 where its sample has none.
+        self.columns = np.zeros((len(samples), len(self.alphabet) + 2), np.int32)
+        #: First state of each language.
+        self.first: list[int] = []
+        rows, row_of, symbol, target = [], [], [], []
+        states = cells = 0
+        for k, p in enumerate(points):
+            given = symbols(p, self.alphabet)
+            own = np.unique(given)
+            self.columns[k, own] = np.arange(1, len(own) + 1)
+            step = suffix_automaton(self.columns[k, given])
+            wide = [state for state, to in enumerate(step) if state and len(to) > 1]
+            table = np.zeros((len(wide) + 1, len(own) + 1), np.int32)
+            table[0, list(step[0])] = list(step[0].values())
+            # In the root no phrase is open: any symbol begins one.
+            table[:] = (table[0] + states) | _BREAK
+            for row, state in enumerate(wide, 1):
+                to = step[state]
+                table[row, list(to)] = np.array(list(to.values())) + states
+            at = np.zeros(len(step), np.int64)
+            at[wide] = np.arange(1, len(wide) + 1)
+            only = [next(iter(to.items())) if state and len(to) == 1 else (-1, 0) for state, to in enumerate(step)]
+            ways = np.array(only, np.int32).reshape(-1, 2)
+            rows.append(table.ravel())
+            row_of.append(at * table.shape[1] + cells)
+            symbol.append(ways[:, 0])
+            target.append(ways[:, 1] + np.int32(states))
+            self.first.append(states)
+            states += len(step)
+            cells += table.size
+        self.cells, self.row_of = np.concatenate(rows), np.concatenate(row_of)
+        self.symbol, self.target = np.concatenate(symbol), np.concatenate(target)
+
+    def next(self, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        """Next states (with ``_BREAK``) of ``state[language, lane]`` after a symbol per lane."""
+        column = self.columns[:, symbol]
+        return np.where(self.symbol[state] == column, self.target[state], self.cells[self.row_of[state] + column])
 
 
 @lru_cache(maxsize=2)
-def _tables(samples: tuple[str, ...]) -> tuple[np.ndarray, np.ndarray, list[int]]:
-    """Alphabet, joined parse tables and each language's first state."""
-    points = [code_points(s) for s in samples]
-    seen = np.unique(np.concatenate(points))
-    alphabet = seen[_letter_table()[seen]]
-    size = len(alphabet) + 2
-    tables, first, states = [], [], 0
-    for p in points:
-        table = parse_table(symbols(p, alphabet), size)
-        # States of all languages are numbered through.
-        tables.append(table + states)
-        first.append(states)
-        states += len(table) // size
-    return alphabet, np.concatenate(tables), first
+def _tables(samples: tuple[str, ...]) -> Tables:
+    return Tables(samples)
 
 
 def phrase_counts(texts: list[str], samples: tuple[str, ...]) -> tuple[np.ndarray, np.ndarray]:
     """Phrases per text and language, and letters per text."""
-    alphabet, table, first = _tables(samples)
-    size, langs = len(alphabet) + 2, len(first)
-    coded = [symbols(code_points(t), alphabet) for t in texts]
+    tables = _tables(samples)
+    langs = len(tables.first)
+    coded = [symbols(code_points(t), tables.alphabet) for t in texts]
     letters = np.array([int((c > 0).sum()) for c in coded], np.int64)
     counts = np.zeros((len(texts), langs), np.int64)
     lengths = np.array([len(c) for c in coded], np.int64)
@@ -150,7 +174,7 @@ def phrase_counts(texts: list[str], samples: tuple[str, ...]) -> tuple[np.ndarra
     begin = np.repeat(np.cumsum(lengths) - lengths, stretches) + place * STRETCH
     many = np.minimum(lengths[owner] - place * STRETCH, STRETCH)
     order = np.argsort(-many, kind="stable")
-    roots = np.array(first, np.int32)[:, None]
+    roots = np.array(tables.first, np.int32)[:, None]
     mask = _BREAK - 1
     for low in range(0, len(order), LANES):
         lanes = order[low : low + LANES]
@@ -160,7 +184,7 @@ def phrase_counts(texts: list[str], samples: tuple[str, ...]) -> tuple[np.ndarra
         ends = np.searchsorted(-left, -np.arange(int(left[0])), side="left")
         for t in range(int(left[0])):
             n = int(ends[t])
-            entry = table[state[:, :n] * size + flat[begins[:n] + t]]
+            entry = tables.next(state[:, :n], flat[begins[:n] + t])
             found[:, :n] += entry >> 30
             state[:, :n] = entry & mask
         for k in range(langs):
@@ -218,7 +242,7 @@ def phrase_costs(counts: np.ndarray, letters: np.ndarray, samples: tuple[str, ..
     text in the sample's language fall with 1 / log2(n). The second figure keeps a sample of a few
     letters from winning texts that no sample explains.
     """
-    size = len(_tables(samples)[0]) + 2
+    size = len(_tables(samples).alphabet) + 2
     costs = counts * np.log2(np.array([len(s) for s in samples]) + size)
     return costs, np.minimum(costs, letters[:, None] * np.log2(size))
 

@@ -180,6 +180,30 @@ def test_phrase_counts():
         assert found.tolist() == [phrases(text, s) for s in samples.values()]
 
 
+def test_tables_grow_with_the_samples_and_not_with_the_alphabet():
+    """A sample of 3,000 different Chinese characters beside two Latin ones; phrases against a plain greedy parse."""
+    draw = random.Random(14)
+    signs = [chr(0x4E00 + k) for k in range(3000)]
+    odds = [1 / (k + 1) for k in range(3000)]
+    chinese = "".join(signs) + "".join(draw.choices(signs, odds, k=27_000))
+    samples = (chinese, sentence(draw, 6000)[:30_000], "die katze und der hund " * 1300)
+    tables = language.Tables(samples)
+    assert sum(a.nbytes for a in (tables.cells, tables.row_of, tables.symbol, tables.target, tables.columns)) < 300_000_000
+    texts = [chinese[5000:5400] + signs[7] * 3, sentence(draw, 30), "hund \u9fa0 und Katze", "", "\u0416\u0416 der"]
+    counts, _ = language.phrase_counts(texts, samples)
+    for k, sample in enumerate(samples):
+        known = "".join(c if c.isalpha() else " " for c in sample.lower())
+        for t, text in enumerate(texts):
+            left = "".join(c if c.isalpha() else " " for c in text.lower()).rstrip() if text else ""
+            phrases = 0
+            while left:
+                n = 1
+                while n < len(left) and left[: n + 1] in known:
+                    n += 1
+                phrases, left = phrases + 1, left[n:]
+            assert abs(int(counts[t, k]) - phrases) <= 1, (k, t)
+
+
 def test_language_held_out_accuracy(spark):
     draw = random.Random(12)
     vocab = {"aa": "bola dira muneta foro sali", "bb": "krist vlok brun drang schtel", "cc": "xiqu yuwa zhenli oqa"}
