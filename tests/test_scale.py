@@ -10,7 +10,7 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
 
 from claimloom.functions.storage import as_table
-from claimloom.operators import forest
+from claimloom.operators import forest, knn
 from claimloom.plans.views import Tables
 
 SMALL = "/root/testdata/sf0.001"
@@ -74,3 +74,17 @@ def test_forest_is_as_good_as_mllib(spark):
     other = RandomForestRegressor(featureSubsetStrategy="all", labelCol="number", **settings).fit(train)
     assert abs(error(model) / error(other) - 1) < 0.1
     assert np.allclose(model.featureImportances, other.featureImportances.toArray(), atol=0.03)
+
+
+@pytest.mark.parametrize("offset", [0.0, 1e5])
+def test_nearest_rows_are_those_of_all_distances(offset):
+    draw = np.random.default_rng(5)
+    b = np.vstack([draw.integers(0, 3, (300, 4)), draw.normal(size=(300, 4))]) + offset
+    a = np.vstack([b[::7], draw.normal(size=(40, 4)) + offset])
+    for k in (1, 5, 599, 600, 700):
+        gaps = np.round(np.sqrt(((a[:, None] - b[None]) ** 2).sum(axis=2)), knn.DIGITS)
+        order = np.argsort(gaps, axis=1, kind="stable")[:, :k]
+        row, place, distance = knn._nearest_rows(a, b, k)
+        assert np.array_equal(row, np.repeat(np.arange(len(a)), order.shape[1]))
+        assert np.allclose(distance, np.take_along_axis(gaps, order, axis=1).ravel(), atol=2e-9)
+        assert (place == order.ravel()).mean() > 0.999
