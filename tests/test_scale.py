@@ -10,7 +10,7 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
 
 from claimloom.functions.storage import as_table
-from claimloom.operators import forest, knn
+from claimloom.operators import forest, knn, tree_attribution
 from claimloom.plans.views import Tables
 
 SMALL = "/root/testdata/sf0.001"
@@ -88,3 +88,23 @@ def test_nearest_rows_are_those_of_all_distances(offset):
         assert np.array_equal(row, np.repeat(np.arange(len(a)), order.shape[1]))
         assert np.allclose(distance, np.take_along_axis(gaps, order, axis=1).ravel(), atol=2e-9)
         assert (place == order.ravel()).mean() > 0.999
+
+
+def test_vectors_that_no_split_tells_apart_are_explained_once(spark, monkeypatch):
+    nodes = spark.createDataFrame(
+        [(0, 1, 2, 3, 0, 0.5, 8.0, [0.0]), (0, 2, -1, -1, -1, None, 3.0, [1.0]), (0, 3, -1, -1, -1, None, 5.0, [4.0])],
+        tree_attribution.NODES,
+    )
+    vectors = spark.range(1000).select(F.array(F.col("id") / 1000.0, F.col("id") * 1.0).alias("__x"))
+    rows, add = [], tree_attribution._add
+
+    def counted(state, *rest):
+        rows.append(state.count())
+        return add(state, *rest)
+
+    monkeypatch.setattr(tree_attribution, "_add", counted)
+    found = tree_attribution.tree_values(nodes, vectors, 2, 1).collect()
+    assert rows == [2] and len(found) == 1000
+    for r in found:
+        out = 1.0 if r["__x"][0] <= 0.5 else 4.0
+        assert np.allclose(r["shap"], [[out - 23 / 8], [0.0]]) and np.allclose(r["base"], [23 / 8])
