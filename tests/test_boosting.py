@@ -128,3 +128,25 @@ def test_no_rows(spark):
     frame, *_ = table(spark, 5)
     with pytest.raises(ValueError, match="no rows"):
         boosting.fit(frame.limit(0), "features", "label", None, Settings(3))
+
+
+def test_lighter_children_are_summed_and_scores_folded_each_round(spark, monkeypatch):
+    """A level sums at most half of the curvature of the rows, and tasks apply the trees of a round once."""
+    sent, applied = [], []
+    advanced = boosting._advanced
+
+    def watched(state, rounds):
+        applied.append(len(rounds))
+        return advanced(state, rounds)
+
+    def added(sums, parts, keys, real=boosting._added):
+        found = real(sums, parts, keys)
+        sent.append(sum(float(total[1].sum()) for total in found.values()))
+        return found
+
+    monkeypatch.setattr(boosting, "_advanced", watched)
+    monkeypatch.setattr(boosting, "_added", added)
+    frame, *_ = table(spark)
+    boosting.fit(frame, "features", "label", "weight", Settings(3, rounds=2, depth=3, row_share=1.0))
+    assert applied == [0, 1]
+    assert len(sent) == 6 and all(max(sent[k + 1 : k + 3]) <= 0.5 * sent[k] + 1e-9 for k in (0, 3))
