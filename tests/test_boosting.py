@@ -4,10 +4,12 @@ import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.linalg import Vectors
+from pyspark.ml.regression import GBTRegressor
 
 from claimloom.operators import boosting
 from claimloom.operators.boosting import Settings
-from claimloom.operators.candidates import BoostedClassifier, BoostedModel
+from claimloom.operators.candidates import BoostedClassifier, BoostedModel, BoostedRegressor
+from claimloom.operators.tree_attribution import model_nodes
 
 
 def table(spark, n=600, seed=3, classes=3):
@@ -130,6 +132,41 @@ def test_no_rows(spark):
         boosting.fit(frame.limit(0), "features", "label", None, Settings(3))
 
 
+def numbers(spark, n=500, seed=4):
+    draw = np.random.default_rng(seed)
+    x = np.round(draw.normal(size=(n, 4)), 1)
+    y = 11 + x[:, 0] ** 2 + 2 * (x[:, 1] > 0.3) * x[:, 2] + draw.normal(0, 0.1, n)
+    return spark.createDataFrame([(Vectors.dense(v), float(k)) for v, k in zip(x, y)], ["features", "y"]).repartition(3).cache(), x, y
+
+
+def test_number_equals_mllib(spark):
+    """With all rows and features the trees, their importances and the attributed nodes are MLlib's."""
+    # Nodes with few rows have several splits of the same gain.
+    frame, _, _ = numbers(spark, 3000)
+    given = {"labelCol": "y", "maxIter": 6, "maxDepth": 2, "maxBins": 256}
+    theirs, ours = GBTRegressor(**given).fit(frame), BoostedRegressor(**given).fit(frame)
+    a, b = ([r.prediction for r in m.transform(frame).orderBy("features").collect()] for m in (theirs, ours))
+    assert np.allclose(a, b, atol=1e-9)
+    assert np.allclose(theirs.featureImportances.toArray(), ours.featureImportances, atol=1e-9)
+    for wanted, got in zip(*(
+        sorted((r.tree, r.cover, r["values"][0]) for r in model_nodes(m, 1).filter("left < 0").collect()) for m in (theirs, ours)
+    )):
+        assert wanted == pytest.approx(got)
+
+
+def test_number_with_samples_and_after_saving(spark, tmp_path):
+    frame, x, y = numbers(spark)
+    model = BoostedRegressor(
+        labelCol="y", maxIter=30, maxDepth=3, subsamplingRate=0.8, featureSubsetStrategy="0.7"
+    ).fit(frame)
+    errors = [((staged_scores[:, 0] - y) ** 2).mean() for staged_scores in staged(model.ensemble, x)]
+    assert errors[-1] < 0.05 * y.var() and model.ensemble.losses == pytest.approx(errors[3::4][:7])
+    PipelineModel([model]).write().overwrite().save(str(tmp_path / "m"))
+    again = PipelineModel.load(str(tmp_path / "m"))
+    a, b = ([r.prediction for r in m.transform(frame).collect()] for m in (model, again))
+    assert a == b and model.transform(frame.limit(0)).collect() == []
+
+
 def test_lighter_children_are_summed_and_scores_folded_each_round(spark, monkeypatch):
     """A level sums at most half of the curvature of the rows, and tasks apply the trees of a round once."""
     sent, applied = [], []
