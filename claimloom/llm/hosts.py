@@ -13,14 +13,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.functions.storage import as_table
+from claimloom.functions.storage import as_table, next_table
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 DAMPING = 0.85
 ROUNDS = 20
 
-# Rounds between two stored states: few jobs, and a short lineage.
-STORED_EVERY = 10
+# Rounds between two stored states. Adaptive execution plans and describes all of a plan anew after each of its stages,
+# so what the driver does and holds for a plan grows with the square of its rounds.
+STORED_EVERY = 2
 
 # Scores are settled when those of a kind are within this of their limits, in sum; a kind's sum is 1 at most.
 SETTLED = 1e-6
@@ -158,6 +159,7 @@ def spread(
     seeds = as_table(seeds.join(of_seed, ["kind", "host"], "left").select("kind", "host", "weight", "slots"), "seeds")
     base = seeds.select("kind", "host", "slots", (F.col("weight") * (1 - DAMPING)).alias("score"))
     state = seeds.select("kind", "host", "slots", F.col("weight").alias("score"))
+    stored = None
     for done in range(1, rounds + 1):
         # A score goes to each slot of its host; hosts without links have none.
         slots = F.explode(F.sequence(F.lit(0), F.col("slots") - 1))
@@ -167,7 +169,7 @@ def spread(
         )
         state = base.unionByName(moved).groupBy("kind", "host").agg(F.max("slots").alias("slots"), F.sum("score").alias("score"))
         if done % STORED_EVERY == 0 or done == rounds:
-            state = as_table(state, "ranks")
+            state, stored = next_table(state, "ranks", stored)
     return state.select("kind", "host", "score")
 
 

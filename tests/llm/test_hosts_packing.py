@@ -158,6 +158,29 @@ def test_hosts_without_pages_pass_scores_on(spark, monkeypatch, slot_links):
     assert by["10.0.0.1"].trust == by["lonely.zz"].distrust == 0
 
 
+def test_plans_of_rounds_stay_small(spark, monkeypatch):
+    """A stored plan holds two rounds at most, however many there are, and only the last state stays on disk."""
+    joins, paths = [], []
+    plain = hosts.next_table
+
+    def watched(frame, *args):
+        joins.append(frame._jdf.queryExecution().optimizedPlan().toString().count("Join Inner"))
+        table, path = plain(frame, *args)
+        paths.append(path)
+        return table, path
+
+    monkeypatch.setattr(hosts, "next_table", watched)
+    seeds = spark.createDataFrame([("trust", "a", 1.0)], "kind string, host string, weight double")
+    links = spark.createDataFrame([("trust", "a", "b", 1), ("trust", "b", "a", 1)], "kind string, src string, dst string, links long")
+    got = {r.host: r.score for r in hosts.spread(seeds, links, rounds=11).collect()}
+    state = [1.0, 0.0]
+    for _ in range(11):
+        state = [1 - hosts.DAMPING + hosts.DAMPING * state[1], hosts.DAMPING * state[0]]
+    assert got == pytest.approx(dict(zip("ab", state)))
+    assert sum(joins) == 11 and max(joins) <= 2
+    assert [os.path.exists(p.removeprefix("file:")) for p in paths] == [False] * (len(paths) - 1) + [True]
+
+
 @needs_tables
 def test_host_query_spreads_on_the_given_tables(spark):
     """Pages without a rule get scores from other hosts."""
